@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import licenses, mixing, sharding
+from tablewright.llm import decontamination, licenses, mixing, quality, sharding
 from tablewright.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assignments(table(spark, sf_dir, "documents"))
 
@@ -18,12 +22,16 @@ def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("copies")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_sharding, op6_license_digest, op8_mixing)}
+    return {f.__name__: f for f in (op1_quality, op4_sharding, op6_license_digest, op7_decontamination, op8_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

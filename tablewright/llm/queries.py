@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, licenses, mixing, quality, sharding
+from tablewright.llm import decontamination, licenses, linededup, mixing, quality, sharding
 from tablewright.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assignments(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dropped_lines(table(spark, sf_dir, "documents"))
+
+
 def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
@@ -31,7 +35,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_sharding, op6_license_digest, op7_decontamination, op8_mixing)}
+    return {f.__name__: f for f in (op1_quality, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

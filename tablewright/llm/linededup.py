@@ -194,7 +194,7 @@ class LineIndex:
 
     @staticmethod
     def _filters(touched: DataFrame) -> DataFrame:
-        return touched.filter("kind = 0").select("shard", F.col("value").alias("filter"))
+        return touched.filter("kind = 0").select((F.col("shard") + 0).alias("shard"), F.col("value").alias("filter"))
 
     def insert(self, docs: DataFrame) -> tuple[LineIndex, DataFrame]:
         """The index with docs in it, and the keys (shard, key) that more than one row of its references may hold.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import decontamination, licenses, linededup, mixing, quality, sharding
+from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, quality, sharding
 from tablewright.llm.common import table
 
 
@@ -34,8 +34,12 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing)}
+    return {f.__name__: f for f in (op1_quality, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, quality, sharding
+from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, quality, sharding, topk
 from tablewright.llm.common import table
 
 
@@ -34,12 +35,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing, op10_minhash)}
+    return {f.__name__: f for f in (op1_quality, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing, op9_ball_tree, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

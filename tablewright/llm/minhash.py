@@ -181,8 +181,7 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, side: n
     owner = np.repeat(np.arange(len(sets)), size)
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
-    new = np.concatenate([[True], every[1:] != every[:-1]])
-    group = np.cumsum(new) - 1
+    group = np.cumsum(np.concatenate([[True], every[1:] != every[:-1]])) - 1
     shared = np.bincount(group)[group] > 1
     common = np.zeros((len(sets), len(sets)), np.float32)
     group, owner = group[shared], owner[shared]
@@ -206,14 +205,26 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, side: n
 
 
 def _in_blocks(left: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) among the members (band, node) of buckets, block against block."""
-    parts = left.groupBy("band").agg(F.ceil(F.count("*") / (BLOCK // 2)).alias("parts"))
-    dealt = left.join(parts, "band").withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")))
-    both = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("x"), F.greatest(o, F.col("block")).alias("y")))
-    rows = dealt.withColumn("at", F.explode(both)).select("band", "at", "block", "node").join(labels.select("node", "label"), "node").join(sets, "node")
+    """Links (a, b) among the members (band, node) of buckets, block against block.
+
+    A bucket's members outside its largest component are compared among themselves and
+    with that component's, whose members need no comparison with each other.
+    """
+    known = left.join(labels.select("node", "label"), "node")
+    by_label = known.groupBy("band", "label").agg(F.count("*").alias("n"))
+    size = by_label.groupBy("band").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("major"), F.max("n").alias("n_major"), F.sum("n").alias("n"))
+    blocks = lambda n: F.greatest(F.ceil(n / (BLOCK // 2)), F.lit(1))
+    size = size.select("band", "major", blocks(F.col("n_major")).alias("majors"), blocks(F.col("n") - F.col("n_major")).alias("minors"))
+    dealt = known.join(size, "band").withColumn("is_major", F.col("label") == F.col("major"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("is_major"), F.col("majors")).otherwise(F.col("minors"))))
+    to = lambda n, at: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), at)
+    pair = lambda x, y, kind: F.struct(x.alias("x"), y.alias("y"), F.lit(kind).alias("kind"))
+    mixed = F.when(F.col("is_major"), to(F.col("minors"), lambda o: pair(o, F.col("block"), 1))).otherwise(to(F.col("majors"), lambda o: pair(F.col("block"), o, 1)))
+    same = F.when(~F.col("is_major"), to(F.col("minors"), lambda o: pair(F.least(o, F.col("block")), F.greatest(o, F.col("block")), 0))).otherwise(F.array().cast("array<struct<x:bigint,y:bigint,kind:int>>"))
+    rows = dealt.withColumn("at", F.explode(F.concat(mixed, same))).select("band", "at", "label", F.when(F.col("at.kind") == 1, F.col("is_major").cast("long")).otherwise(F.col("block")).alias("side"), "node").join(sets, "node")
 
     def test(rows: pd.DataFrame) -> pd.DataFrame:
-        edges = _forest(rows.node.to_numpy(), [np.frombuffer(s, np.uint64) for s in rows.set], rows.label.to_numpy(), rows.block.to_numpy())
+        edges = _forest(rows.node.to_numpy(), [np.frombuffer(s, np.uint64) for s in rows.set], rows.label.to_numpy(), rows.side.to_numpy())
         return pd.DataFrame(edges, columns=["a", "b"], dtype=np.int64)
 
     return rows.groupBy("band", "at").applyInPandas(test, "a long, b long")

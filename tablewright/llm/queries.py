@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, ngram, quality, sharding, topk
+from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, ngram, quality, sharding, suffixdedup, topk
 from tablewright.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.removed(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram.scores(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_ngram, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing, op9_ball_tree, op10_minhash)}
+    return {f.__name__: f for f in (op1_quality, op2_suffix_array, op3_ngram, op4_sharding, op5_line_dedup, op6_license_digest, op7_decontamination, op8_mixing, op9_ball_tree, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

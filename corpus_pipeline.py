@@ -1,13 +1,31 @@
-"""The corpus pipeline: each stage reads all that the one before it kept."""
+"""The corpus pipeline: five stages, each over all that the one before it kept.
+
+quality: documents that score below the threshold go; near_duplicates: one document of
+each group stays; decontamination: benchmark passages are cut out of the texts; mixing:
+documents are left out or repeated to meet the sources' target weights; sharding: every
+row gets its shard and slot. All stages but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import mixing, sharding
+from tablewright.llm import decontamination, minhash, mixing, quality, sharding
 from tablewright.llm.common import stored, table
 
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
@@ -16,14 +34,20 @@ def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return sharding.sharded(docs)
 
 
-STAGES = [("mixing", mixing_stage), ("sharding", sharding_stage)]
+STAGES = [
+    ("quality", quality_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
-#: Training and hashing stages have no SQL form.
+#: SQL can't train a classifier or hash shingles; the tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written and read again before the next."""
+    """The stages over documents, each written as Parquet and read again as the next one's input."""
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

@@ -51,9 +51,9 @@ from tablewright.llm.tokens import word_hashes
 HELD_OUT_OF, HELD_OUT = 7, 2
 DISCOUNT = 0.75
 #: Most words in the head of the vocabulary; tokens a shard is meant for; share of a shard that one context may fill.
-HEAD, SHARD_TOKENS, PART = 1 << 17, 3_000_000, 4
+HEAD, SHARD_TOKENS, PART = 1 << 17, 1_000_000, 4
 #: Bytes of text in one chunk of the second pass, and distinct words counted before they are handed on in the first.
-CHUNK_BYTES, FLUSH_WORDS = 8_000_000, 1_000_000
+CHUNK_BYTES, FLUSH_WORDS = 4_000_000, 1_000_000
 #: Logarithms are stored as multiples of this.
 STEP = 14 / 65535
 END = np.uint64(0x656E64)
@@ -130,30 +130,28 @@ class EliasFano:
         return ((self._one(i) - i).astype(np.uint64) << np.uint64(self.l)) | self._low(i)
 
     def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x in the sequence, through its successor; -1 where the successor is another number."""
+        """Index of each x in the sequence, through its successor; -1 where the successor is another number. x must be sorted: equal upper parts are looked up once."""
         out = np.full(len(x), -1, np.int64)
-        if not self.n or not len(x):
+        n = int(np.searchsorted(x, np.uint64(int(self.zeros_before[-1]) << self.l))) if self.n else 0  # beyond lies no successor
+        if not n:
             return out
-        x = x.astype(np.uint64)
-        inside = (x >> np.uint64(self.l)) < np.uint64(self.zeros_before[-1])
-        if not inside.all():  # beyond the universe
-            out[inside] = self.find(x[inside])
-            return out
-        high, low = (x >> np.uint64(self.l)).astype(np.int64), x & np.uint64((1 << self.l) - 1)
-        lo = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) - high + 1, 0)
-        end = self._zero(high) - high
-        hi = end.copy()
+        high, low = (x[:n] >> np.uint64(self.l)).astype(np.int64), x[:n] & np.uint64((1 << self.l) - 1)
+        new = np.concatenate([[True], high[1:] != high[:-1]])
+        h, at = high[new], np.cumsum(new) - 1
+        end = self._zero(h) - h
+        lo, hi = (self._zero(np.maximum(h - 1, 0)) - h + 1) * (h > 0), end
+        open_ = np.flatnonzero((lo < hi)[at])
+        lo, hi, end, low = lo[at[open_]], hi[at[open_]], end[at[open_]], low[open_]
         while True:
-            open_ = np.flatnonzero(lo < hi)
-            if not len(open_):
+            go = np.flatnonzero(lo < hi)
+            if not len(go):
                 break
-            mid = (lo[open_] + hi[open_]) >> 1
-            less = self._low(mid) < low[open_]
-            lo[open_] = np.where(less, mid + 1, lo[open_])
-            hi[open_] = np.where(less, hi[open_], mid)
+            mid = (lo[go] + hi[go]) >> 1
+            less = self._low(mid) < low[go]
+            lo[go[less]], hi[go[~less]] = mid[less] + 1, mid[~less]
         there = np.flatnonzero(lo < end)
         hit = there[self._low(lo[there]) == low[there]]
-        out[hit] = lo[hit]
+        out[open_[hit]] = lo[hit]
         return out
 
 
@@ -176,6 +174,27 @@ def _pointers(parent: np.ndarray, n: int) -> EliasFano:
     return EliasFano.of(np.searchsorted(parent, np.arange(n + 1)), len(parent) + 1)
 
 
+class Ranked:
+    """Tokens (v', u, w) as ranks in each level: distinct keys in order, and each token's place among them."""
+
+    def __init__(self, context: np.ndarray, before: np.ndarray, word: np.ndarray, n_words: int):
+        n = self.n = np.uint64(max(1, n_words))
+        self.context, a = np.unique(context, return_inverse=True)
+        key = a.astype(np.uint64) * n
+        self.bigram, g = np.unique(key + word, return_inverse=True)
+        self.longer, b = np.unique(key + before, return_inverse=True)
+        self.trigram, first, self.place = np.unique(b.astype(np.uint64) * n + word, return_index=True, return_inverse=True)
+        self.bigram_of = g[first]  # of each trigram
+        self.parent = {"bigram": (self.bigram // n).astype(np.int64), "longer": (self.longer // n).astype(np.int64), "trigram": (self.trigram // n).astype(np.int64)}
+
+    def counts(self, chosen: np.ndarray) -> dict[str, np.ndarray]:
+        """How many of the chosen tokens stand below each key."""
+        three = np.bincount(self.place, chosen, minlength=len(self.trigram))
+        two = np.bincount(self.bigram_of, three, minlength=len(self.bigram))
+        longer = np.bincount(self.parent["trigram"], three, minlength=len(self.longer))
+        return {"trigram": three, "bigram": two, "longer": longer, "context": np.bincount(self.parent["longer"], longer, minlength=len(self.context))}
+
+
 class Trie:
     """A shard's trie; built in memory, written to a file and used through its memory map."""
 
@@ -183,32 +202,35 @@ class Trie:
         self.levels = levels
 
     @classmethod
-    def build(cls, context: np.ndarray, before: np.ndarray, word: np.ndarray, n_words: int, log_p1: np.ndarray) -> Trie:
-        """From training tokens: context keys v', words u and w as numbers below n_words, and log10 P1 of each number."""
-        v, a = np.unique(context, return_inverse=True)
-        n = np.uint64(max(1, n_words))
-        c_a = np.bincount(a, minlength=len(v))
-        two, c_two = np.unique(a.astype(np.uint64) * n + word.astype(np.uint64), return_counts=True)
-        two_parent, two_word = (two // n).astype(np.int64), (two % n).astype(np.int64)
-        two_at = _pointers(two_parent, len(v))
-        kids = np.diff(two_at.at(np.arange(len(v) + 1)).astype(np.int64))
-        back2 = DISCOUNT * kids / np.maximum(c_a, 1)
-        p2 = np.maximum(c_two - DISCOUNT, 0) / c_a[two_parent] + back2[two_parent] * 10.0 ** log_p1[two_word]
-        con, b = np.unique(a.astype(np.uint64) * n + before.astype(np.uint64), return_inverse=True)
-        c_b = np.bincount(b, minlength=len(con))
-        three, c_three = np.unique(b.astype(np.uint64) * n + word.astype(np.uint64), return_counts=True)
-        three_parent, three_word = (three // n).astype(np.int64), three % n
-        three_at = _pointers(three_parent, len(con))
-        kids3 = np.diff(three_at.at(np.arange(len(con) + 1)).astype(np.int64))
-        back3 = DISCOUNT * kids3 / np.maximum(c_b, 1)
-        below = np.searchsorted(two, (con[three_parent] // n) * n + three_word)
-        p3 = np.maximum(c_three - DISCOUNT, 0) / c_b[three_parent] + back3[three_parent] * (p2[below] if len(p2) else 0)
+    def build(cls, tokens: Ranked, chosen: np.ndarray, log_p1: np.ndarray) -> Trie:
+        """From the chosen tokens, and log10 P1 of each word."""
+        n, c = tokens.n, tokens.counts(chosen)
+        kept = {k: np.flatnonzero(x) for k, x in c.items()}
+        c = {k: x[kept[k]] for k, x in c.items()}
+        # ranks among the kept entries; a kept entry's parent is kept
+        parent = {k: np.searchsorted(kept["longer" if k == "trigram" else "context"], tokens.parent[k][kept[k]]) for k in ("bigram", "longer", "trigram")}
+        word = {"bigram": tokens.bigram[kept["bigram"]] % n, "longer": tokens.longer[kept["longer"]] % n, "trigram": tokens.trigram[kept["trigram"]] % n}
+        two_at, three_at = _pointers(parent["bigram"], len(kept["context"])), _pointers(parent["trigram"], len(kept["longer"]))
+        back = {}
+        for level, pointers in (("context", two_at), ("longer", three_at)):
+            children = np.diff(pointers.at(np.arange(len(kept[level]) + 1)).astype(np.int64))
+            back[level] = DISCOUNT * children / np.maximum(c[level], 1)
+        at = parent["bigram"]
+        p2 = np.maximum(c["bigram"] - DISCOUNT, 0) / c["context"][at] + back["context"][at] * 10.0 ** log_p1[word["bigram"].astype(np.int64)]
+        at = parent["trigram"]
+        below = np.searchsorted(kept["bigram"], tokens.bigram_of[kept["trigram"]])
+        p3 = np.maximum(c["trigram"] - DISCOUNT, 0) / c["longer"][at] + back["longer"][at] * p2[below]
         log = lambda p: _codes(np.log10(np.maximum(p, 1e-300)))
+
+        def keys(level: str, above: str) -> EliasFano:
+            return EliasFano.of(parent[level].astype(np.uint64) * n + word[level], max(1, len(kept[above]) * int(n)))
+
+        v = tokens.context[kept["context"]]
         return cls({
-            "context": Level(EliasFano.of(v, int(v[-1]) + 1 if len(v) else 1), log(back2), two_at),
-            "bigram": Level(EliasFano.of(two, max(1, len(v) * int(n))), log(p2)),
-            "longer": Level(EliasFano.of(con, max(1, len(v) * int(n))), log(back3), three_at),
-            "trigram": Level(EliasFano.of(three, max(1, len(con) * int(n))), log(p3)),
+            "context": Level(EliasFano.of(v, int(v[-1]) + 1 if len(v) else 1), log(back["context"]), two_at),
+            "bigram": Level(keys("bigram", "context"), log(p2)),
+            "longer": Level(keys("longer", "context"), log(back["longer"]), three_at),
+            "trigram": Level(keys("trigram", "longer"), log(p3)),
         })
 
     def save(self, path: str) -> None:
@@ -238,21 +260,28 @@ class Trie:
             at += 1 + (2 * n + 7) // 8
         return cls(levels)
 
-    def score(self, context: np.ndarray, before: np.ndarray, word: np.ndarray, n_words: int, log_p1: np.ndarray) -> np.ndarray:
-        """log10 P(w | u v) of queries; words and P1 as in build()."""
-        n, out = np.uint64(max(1, n_words)), log_p1[word].astype(np.float64)
-        lv = self.levels
-        a = lv["context"].keys.find(context)
-        known = np.flatnonzero(a >= 0)
-        parent = a[known].astype(np.uint64) * n
-        g = lv["bigram"].keys.find(parent + word[known].astype(np.uint64))
-        out[known] = np.where(g >= 0, lv["bigram"].log10(np.maximum(g, 0)) if lv["bigram"].keys.n else 0.0, out[known] + lv["context"].log10(a[known]))
-        b = lv["longer"].keys.find(parent + before[known].astype(np.uint64))
-        longer = np.flatnonzero(b >= 0)
-        at = known[longer]
-        t = lv["trigram"].keys.find(b[longer].astype(np.uint64) * n + word[at].astype(np.uint64))
-        out[at] = np.where(t >= 0, lv["trigram"].log10(np.maximum(t, 0)) if lv["trigram"].keys.n else 0.0, out[at] + lv["longer"].log10(b[longer]))
-        return out
+    def score(self, tokens: Ranked, log_p1: np.ndarray) -> np.ndarray:
+        """log10 P(w | u v) of tokens; equal keys of a level are looked up once, in order."""
+        n = tokens.n
+
+        def looked_up(name: str, above: np.ndarray | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Index of each key in a level, where its parent is known, and the logarithm there (0 where it isn't)."""
+            out, value = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
+            if above is None:
+                out = self.levels[name].keys.find(keys)
+            else:
+                there = np.flatnonzero(above >= 0)
+                out[there] = self.levels[name].keys.find(above[there].astype(np.uint64) * n + keys[there] % n)
+            value[out >= 0] = self.levels[name].log10(out[out >= 0])
+            return out, value
+
+        parent = tokens.parent
+        a, back = looked_up("context", None, tokens.context)
+        g, two = looked_up("bigram", a[parent["bigram"]], tokens.bigram)
+        two = np.where(g >= 0, two, log_p1[(tokens.bigram % n).astype(np.int64)] + back[parent["bigram"]])
+        b, back = looked_up("longer", a[parent["longer"]], tokens.longer)
+        t, three = looked_up("trigram", b[parent["trigram"]], tokens.trigram)
+        return np.where(t >= 0, three, two[tokens.bigram_of] + back[parent["trigram"]])[tokens.place]
 
 
 # --- messages ----------------------------------------------------------------
@@ -449,8 +478,9 @@ def _scored_trigrams(messages: list[bytes], voc: Vocabulary) -> list[tuple[np.nd
     train = sent & np.uint32(1) == 0
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "trie")
-        Trie.build(context[train], u[train], w[train], len(own), p1).save(path)
-        value = Trie.load(path).score(context, u, w, len(own), p1)
+        tokens = Ranked(context, u, w, len(own))
+        Trie.build(tokens, train, p1).save(path)
+        value = Trie.load(path).score(tokens, p1)
     out, at = [], 0
     for part in parts:
         doc = part[0] >> np.uint32(1)

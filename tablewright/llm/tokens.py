@@ -52,6 +52,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), first
     length = end - begin
     inside = np.flatnonzero(~space)
-    offset = np.arange(len(inside)) - np.repeat(np.cumsum(length) - length, length)
-    value = _SIGNS[data[inside]] * _POWERS[offset % _OFFSETS] + (offset // _OFFSETS).astype(np.uint64)
-    return mix64(np.add.reduceat(value, np.cumsum(length) - length) + length.astype(np.uint64)), first
+    first_byte = np.cumsum(length) - length
+    offset = np.arange(len(inside), dtype=np.uint32) - np.repeat(first_byte.astype(np.uint32), length)
+    value = np.take(_SIGNS, np.take(data, inside))
+    if length.max() < _OFFSETS:
+        value *= np.take(_POWERS, offset)
+    else:  # beyond the table the powers recur, each time with another sum
+        value = value * _POWERS[offset & np.uint32(_OFFSETS - 1)] + (offset >> np.uint32(16)).astype(np.uint64)
+    return mix64(np.add.reduceat(value, first_byte) + length.astype(np.uint64)), first

@@ -90,7 +90,7 @@ def extract_period(c: Column) -> Column:
 
 def excluded(name: Column, patterns: Column) -> Column:
     """Whether a name holds any of the comma-separated patterns; empty ones don't count."""
-    return F.coalesce(F.exists(F.split(F.lower(patterns), ","), lambda p: (F.trim(p) != "") & (F.instr(F.lower(name), F.trim(p)) > 0)), F.lit(False))
+    return F.coalesce(F.exists(F.split(F.lower(patterns), ","), lambda p: (F.trim(p) != "") & F.lower(name).contains(F.trim(p))), F.lit(False))
 
 
 def strip_date_tokens(c: Column) -> Column:

@@ -134,7 +134,12 @@ def expression(spec: Column, own: bool = False) -> C:
     if not parts:
         return F.col(spec.name) if own else default
     out = parts[0] if len(parts) == 1 else F.concat_ws(spec.delimiter, *parts)
-    return out if spec.default is None else F.coalesce(out, default.cast("string") if isinstance(spec.default, str) else default)
+    if spec.default is None:
+        return out
+    if spec.data_type is not None and not spec.extensions.get("transform"):
+        # both sides in the declared type: a default of another type than the input's must not turn the input into its own
+        return F.when(out.isNull(), cast(default, spec)).otherwise(cast(out, spec))
+    return F.coalesce(out, default)
 
 
 def literal(x: Any) -> C:

@@ -59,9 +59,9 @@ def match_conditions(loose: bool = False) -> dict[str, object]:
     period = cleaning.extract_period(F.col("f.file_name")).try_cast("long")
     pattern = F.lower(F.coalesce(F.nullif(F.trim("c.file_name_wildcard"), F.lit("")), F.lit("%")))
     return {
-        "folder": (same | (F.instr(F.lower("f.folder"), F.lower("c.folder_name")) > 0)) if loose else same,
+        "folder": (same | F.lower("f.folder").contains(F.lower("c.folder_name"))) if loose else same,
         "extension": F.lower("f.extension") == F.lower(F.ltrim(F.col("c.extension"), F.lit("."))),
-        "wildcard": F.lower("f.file_name").like(pattern),
+        "wildcard": F.like(F.lower("f.file_name"), pattern),
         "period": F.coalesce(period.between(F.coalesce("c.time_range_min", F.lit(0)), F.coalesce("c.time_range_max", F.lit(999999))), F.col("c.time_range_min").isNull() & F.col("c.time_range_max").isNull()),
         "not_excluded": ~cleaning.excluded(F.col("f.file_name"), F.coalesce("c.exclude_file", F.lit(""))),
     }
@@ -69,7 +69,7 @@ def match_conditions(loose: bool = False) -> dict[str, object]:
 
 def matched_files(files: DataFrame, rules: DataFrame) -> DataFrame:
     """files with the columns of each rule they fit, and their period. Rules are equi-joined by folder and extension; the rest filters."""
-    f, c = files.alias("f"), rules.withColumnRenamed("extension", "rule_extension").withColumnRenamed("rule_extension", "extension").alias("c")
+    f, c = files.alias("f"), rules.alias("c")
     on = functools.reduce(lambda a, b: a & b, match_conditions().values())
     rest = [F.col(f"c.{n}") for n in rules.columns if n not in files.columns]
     return f.join(c, on).select("f.*", cleaning.extract_period(F.col("f.file_name")).alias("period"), *rest).distinct()

@@ -28,6 +28,8 @@ MAX_EPOCHS = 3
 SEED = "mix-1"
 #: Hexadecimal digits fixed in each round of the search for a threshold, and rounds.
 DIGITS, ROUNDS = 3, 4
+#: Parts into which a source's rows are dealt where they meet its plan, so that one source may hold most rows.
+SALTS = 64
 
 
 def words(text: Column) -> Column:
@@ -93,10 +95,19 @@ def copies() -> Column:
     return F.col("whole") + F.when(F.col("key") < F.col("threshold"), 1).otherwise(0)
 
 
+def _salt(key: Column) -> Column:
+    return F.conv(F.substring(key, 1, 4), 16, 10).cast("int") % SALTS
+
+
+def _salted(plans: DataFrame, name: str) -> DataFrame:
+    """Each source's plan once a salt."""
+    return plans.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def taken(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """Per row of docs: doc_id, size, source_size, target, taken (words, repeats counted) and copies."""
     sized = stored(measured(docs, seed), "mix-sizes")
-    joined = sized.join(plan(sized, weights, max_epochs), ["src", "src_null"], "left")
+    joined = sized.withColumn("salt", _salt(F.col("key"))).join(_salted(plan(sized, weights, max_epochs), "salt"), ["src", "src_null", "salt"], "left")
     return joined.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * copies()).alias("taken"), copies().alias("copies"))
 
 
@@ -104,7 +115,8 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
     """docs with each row repeated as often as the mix takes it; its columns are kept as they are."""
     sized = stored(measured(docs, seed), "mix-sizes")
     plans = plan(sized, weights, max_epochs).select(F.col("src").alias("__mix_src"), F.col("src_null").alias("__mix_null"), F.col("whole").alias("__mix_whole"), F.col("threshold").alias("__mix_threshold"))
-    on = (F.coalesce(docs["source"], F.lit("")) == F.col("__mix_src")) & (docs["source"].isNull() == F.col("__mix_null"))
+    plans = _salted(plans, "__mix_salt")
+    on = (_salt(order_key(docs["doc_id"], seed)) == F.col("__mix_salt")) & (F.coalesce(docs["source"], F.lit("")) == F.col("__mix_src")) & (docs["source"].isNull() == F.col("__mix_null"))
     n = F.col("__mix_whole") + F.when(order_key(docs["doc_id"], seed) < F.col("__mix_threshold"), 1).otherwise(0)
     times = F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("__mix_copy")
     return docs.join(plans, on).filter(n > 0).select(*[docs[c] for c in docs.columns], times).drop("__mix_copy")

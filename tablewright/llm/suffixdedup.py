@@ -344,7 +344,7 @@ def _second(docs: DataFrame, n_shards: int) -> DataFrame:
             kind, at, gram, owner, tops = [], [], [], [], []
             gap = bytes([PAD]) * REACH
             data = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
-            start = REACH + np.concatenate([[0], np.cumsum([len(t) + REACH for t in texts[:-1]])])
+            start = REACH + np.concatenate([[0], np.cumsum(np.array([len(t) + REACH for t in texts[:-1]], np.int64))])
             for i, need in enumerate(needs):
                 kind += [x["kind"] for x in need]
                 at += [x["a"] for x in need]

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tablewright.errors import ConfigError
 from tablewright.plans.config import Column, GroupBy, Join, Union
 
+#: A side that a plan wants broadcast is so only up to this size by Catalyst's estimate; beyond it, Spark chooses.
+BROADCAST_BYTES = 256 << 20
 COMPARE = {"=": op.eq, "!=": op.ne, "<": op.lt, "<=": op.le, ">": op.gt, ">=": op.ge}
 
 
@@ -24,10 +26,15 @@ def tiebreak(df: DataFrame, but: tuple[str, ...] | list[str] = ()) -> list[C]:
 
 def keep_first(df: DataFrame, by: list[str], order: list[C]) -> DataFrame:
     """One row for each key, the first in order and then by all other columns."""
-    place = F.row_number().over(W.partitionBy(*[F.col(f"`{k}`") for k in by]).orderBy(*order, *tiebreak(df, by)))
+    place = F.row_number().over(W.partitionBy(*[F.col(f"`{k}`") for k in by]).orderBy(*(order + tiebreak(df, by) or [F.lit(1)])))
     return df.withColumn("__place", place).filter("__place = 1").drop("__place")
 
 
+def small(df: DataFrame) -> bool:
+    """Whether Catalyst's estimate of df's size lets it be broadcast."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES
+
+
 def joined(left: DataFrame, right: DataFrame, spec: Join, right_broadcast: bool = False) -> DataFrame:
     """left joined to right. The result has left's columns, then right's: one that left has too is named alias__column if the
     join has an alias, else it is left's value (for keys of right and full joins, right's where left has no row)."""
@@ -43,7 +50,7 @@ def joined(left: DataFrame, right: DataFrame, spec: Join, right_broadcast: bool
         tests.append(COMPARE[c.operator](a, b))
     how = spec.type
     on = functools.reduce(op.and_, tests) if tests else F.lit(True)
-    if (spec.broadcast or right_broadcast) and how in ("inner", "left", "cross"):
+    if (spec.broadcast or right_broadcast) and how in ("inner", "left", "cross") and small(right):
         other = F.broadcast(other)
     both = left.join(other, on) if how == "cross" else left.join(other, on, how)
     keys = {c.right.rpartition(".")[2]: _resolved(left, c.left) for c in spec.conditions if c.operator == "="}

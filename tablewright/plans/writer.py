@@ -32,7 +32,7 @@ class SnapshotStore:
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
     def _pointer(self, table: str) -> str:
-        return f"{self.root}/{table}/_current"
+        return f"{self.root}/{table}/current.txt"
 
     def current(self, table: str) -> list[str]:
         """Folders that make up the table."""

@@ -76,8 +76,8 @@ def matched_files(files: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def match_debug(files: DataFrame, rules: DataFrame) -> DataFrame:
-    """Each file beside each rule with the outcome of every test: a report over a few rules."""
-    return files.alias("f").crossJoin(F.broadcast(rules.limit(1000)).alias("c")).select("f.file_name", "c.folder_name", *[F.coalesce(v, F.lit(False)).alias(f"is_{k}") for k, v in match_conditions(True).items()])
+    """Each file beside each rule of its extension with the outcome of every test."""
+    return files.alias("f").join(rules.alias("c"), match_conditions()["extension"]).select("f.file_name", "c.folder_name", *[F.coalesce(v, F.lit(False)).alias(f"is_{k}") for k, v in match_conditions(True).items()])
 
 
 def stamped(df: DataFrame, run_id: str, file: dict, at: datetime) -> DataFrame:

@@ -35,6 +35,8 @@ from tablewright.llm.common import LOWER, UPPER, mix64, short_batches, stored
 MIN_CHARS = 10
 #: Text bytes that a shard of the filters is meant for.
 SHARD_BYTES = 32_000_000
+#: Parts into which a key's rows are dealt where they meet its counts: a line may stand in most documents.
+SALTS = 32
 _FOLD = str.maketrans(UPPER, LOWER)
 _SPACE = " \t\n\x0b\x0c\r"
 _LAST = (1 << 63) - 1
@@ -220,12 +222,15 @@ class LineIndex:
 
     def counts(self, maybe: DataFrame | None = None) -> DataFrame:
         """Exact (key, n_rows, keeper) of the keys that two documents or more hold; only of the keys in maybe, if given."""
-        rows = self.references if maybe is None else self.references.join(maybe.select("key"), "key", "left_semi")
-        return rows.groupBy("key").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").drop("last")
+        # summed before they meet maybe: a key that most documents hold is then one row for each task that read it
+        out = self.references.groupBy("key").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").drop("last")
+        return out if maybe is None else out.join(maybe.select("key"), "key", "left_semi")
 
     def drops(self, maybe: DataFrame | None = None) -> DataFrame:
         """(doc_id, keys): the keys that each document loses."""
-        return self.references.join(self.counts(maybe), "key").filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+        rows = self.references.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        counts = self.counts(maybe).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        return rows.join(counts, ["key", "salt"]).filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
 
 def shards_for(docs: DataFrame) -> int:

@@ -44,8 +44,8 @@ SPELLINGS = [
     (r"https?://", "http "),
 ]
 #: Titles that stand above a licence's own words, and lines that name a holder: whole lines, dropped.
-COPYRIGHT_LINE = r"(?m)^[^a-z\n]*(copyright[ \t]*(\(c\)|©|[0-9]|holder:|by )|\(c\)|©|all rights reserved)[^\n]*$"
-TITLE_LINE = r"(?m)^[ \t]*(the )?((mit|isc|zlib|bsd [023]-clause|bsd zero clause|(simplified|new|modified) bsd) license)( \(.*\))?[ \t\r]*$"
+COPYRIGHT_LINE = r"(?md)^[^a-z\n]*(copyright[ \t]*(\(c\)|©|[0-9]|holder:|by )|\(c\)|©|all rights reserved)[^\n]*$"
+TITLE_LINE = r"(?md)^[ \t]*(the )?((mit|isc|zlib|bsd [023]-clause|bsd zero clause|(simplified|new|modified) bsd) license)( \(.*\))?[ \t\r]*$"
 #: What isn't a letter, digit or other non-ASCII sign, and typographic signs.
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F ‐-―‘-‟•…]+"
 

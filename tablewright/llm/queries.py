@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, ngram, quality, sharding, suffixdedup, topk
+from tablewright.llm import decontamination, licenses, linededup, minhash, mixing, ngram, quality, sharding, sql, suffixdedup, topk
 from tablewright.llm.common import table
 
 
@@ -56,4 +56,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(sql.ORACLE)

@@ -107,14 +107,16 @@ def _salted(plans: DataFrame, name: str) -> DataFrame:
 def taken(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """Per row of docs: doc_id, size, source_size, target, taken (words, repeats counted) and copies."""
     sized = stored(measured(docs, seed), "mix-sizes")
-    joined = sized.withColumn("salt", _salt(F.col("key"))).join(_salted(plan(sized, weights, max_epochs), "salt"), ["src", "src_null", "salt"], "left")
+    plans = stored(plan(sized, weights, max_epochs), "mix-plan")
+    joined = sized.withColumn("salt", _salt(F.col("key"))).join(_salted(plans, "salt"), ["src", "src_null", "salt"], "left")
     return joined.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * copies()).alias("taken"), copies().alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """docs with each row repeated as often as the mix takes it; its columns are kept as they are."""
     sized = stored(measured(docs, seed), "mix-sizes")
-    plans = plan(sized, weights, max_epochs).select(F.col("src").alias("__mix_src"), F.col("src_null").alias("__mix_null"), F.col("whole").alias("__mix_whole"), F.col("threshold").alias("__mix_threshold"))
+    # stored, its size is known before the join is planned: a small plan is broadcast and no text is shuffled
+    plans = stored(plan(sized, weights, max_epochs), "mix-plan").select(F.col("src").alias("__mix_src"), F.col("src_null").alias("__mix_null"), F.col("whole").alias("__mix_whole"), F.col("threshold").alias("__mix_threshold"))
     plans = _salted(plans, "__mix_salt")
     on = (_salt(order_key(docs["doc_id"], seed)) == F.col("__mix_salt")) & (F.coalesce(docs["source"], F.lit("")) == F.col("__mix_src")) & (docs["source"].isNull() == F.col("__mix_null"))
     n = F.col("__mix_whole") + F.when(order_key(docs["doc_id"], seed) < F.col("__mix_threshold"), 1).otherwise(0)

@@ -54,6 +54,20 @@ found as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (doc_id) left join found using (doc_id)"""
 
+OP2 = """
+with d as (select doc_id, hex(encode(coalesce(text, ''))) as h, len(hex(encode(coalesce(text, '')))) // 2 as n from documents),
+w as (select doc_id, unnest(list_transform(range(1, n - 198), lambda p: md5(substr(h, 2 * p - 1, 400)))) as string, unnest(range(1, n - 198)) as pos from d where n >= 200),
+s as (select doc_id, pos from w where string in (select string from w group by string having count(*) > 1)),
+i as (select *, pos > coalesce(lag(pos) over (partition by doc_id order by pos) + 200, 0) as new from s),
+g as (select *, sum(cast(new as int)) over (partition by doc_id order by pos) as run from i),
+sp as (select doc_id, run, min(pos) as a, max(pos) + 200 as b from g group by doc_id, run),
+f as (select *, coalesce(lag(b) over (partition by doc_id order by a), 1) as start from sp),
+p as (select doc_id, a, substr(h, 2 * start - 1, 2 * (a - start)) as piece from f join d using (doc_id) union all select doc_id, e, substr(h, 2 * e - 1) from (select doc_id, max(b) as e from sp group by 1) join d using (doc_id)),
+k as (select doc_id, sha256(unhex(string_agg(piece, '' order by a))) as kept from p group by 1),
+r as (select doc_id, sum(b - a) as n_removed, count(*) as n_spans from sp group by 1)
+select doc_id, cast(n as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed, coalesce(n_spans, 0) as n_spans, coalesce(kept, sha256(unhex(h))) as kept_sha256
+from d left join k using (doc_id) left join r using (doc_id)"""
+
 _KEY = mixing.DIGITS * mixing.ROUNDS
 OP8 = f"""
 with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size, md5('{mixing.SEED}:' || coalesce(cast(doc_id as varchar), 'null'))[1:{_KEY}] as key from documents),
@@ -87,4 +101,4 @@ reach as (select doc_id as a, doc_id as b from documents union select r.a, t.b f
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
 from d left join n using (doc_id) join (select a as doc_id, min(b) as component_id from reach group by 1) using (doc_id)"""
 
-ORACLE = {"op5_line_dedup": OP5, "op6_license_digest": OP6, "op7_decontamination": OP7, "op8_mixing": OP8, "op9_ball_tree": OP9, "op10_minhash": OP10}
+ORACLE = {"op2_suffix_array": OP2, "op5_line_dedup": OP5, "op6_license_digest": OP6, "op7_decontamination": OP7, "op8_mixing": OP8, "op9_ball_tree": OP9, "op10_minhash": OP10}

@@ -8,6 +8,7 @@ runs a Spark job except reading a high-water mark.
 from __future__ import annotations
 
 import functools
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,7 +134,9 @@ class PlanBuilder:
             for spec, transform in after:
                 name, options = (transform, {}) if isinstance(transform, str) else (transform["name"], {k: v for k, v in transform.items() if k != "name"})
                 options = options | {k: v for k, v in spec.extensions.items() if k not in ("transform", "description", "classification", "glossary", "sensitivity")}
+                began = time.monotonic()
                 df = registry.column_transform(name)(df, spec.name, options, context)
+                self._timed(context, name, "column", began)
                 df = df.withColumn(spec.name, relational.cast(F.col(f"`{spec.name}`"), spec))
         except ConfigError as e:
             raise PlanBuilderError(stage.name, None, str(e)) from e
@@ -141,13 +144,21 @@ class PlanBuilder:
 
     def _stepped(self, stage: Stage, step: str, df: DataFrame, context: registry.Context) -> DataFrame:
         options = {k: v for k, v in stage.extensions.items() if k not in ("stage_plugin", "on_error")}
+        began = time.monotonic()
         try:
-            return registry.stage_step(step)(df, options, context)
+            out = registry.stage_step(step)(df, options, context)
+            self._timed(context, step, "stage", began)
+            return out
         except ConfigError as e:
             if stage.extensions.get("on_error") == "passthrough":
                 return df
             raise PlanBuilderError(stage.name, None, str(e)) from e
 
+    @staticmethod
+    def _timed(context: registry.Context, name: str, kind: str, began: float) -> None:
+        if context.metrics is not None:
+            context.metrics.plugin(name, kind, time.monotonic() - began)
+
     def to_sql(self, stage: Stage) -> str:
         return stage_sql(self.config, stage)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
@@ -139,6 +140,14 @@ class Table:
     def temporary_columns(self) -> list[str]:
         return [c.name for c in self.columns if c.temporary]
 
+    def filter_columns(self, **wanted: Any) -> list[Column]:
+        """Columns whose fields or extensions have all the wanted values."""
+        return [c for c in self.columns if all((getattr(c, k) if hasattr(c, k) else c.extensions.get(k)) == v for k, v in wanted.items())]
+
+    @property
+    def persistent_columns(self) -> list[str]:
+        return [c.name for c in self.columns if not c.temporary]
+
     @property
     def target(self) -> str:
         """schema.name, the schema being the layer where none is given."""
@@ -146,6 +155,24 @@ class Table:
         return f"{schema}.{self.name}" if schema else self.name
 
 
+@dataclass(frozen=True)
+class Environment:
+    """Named sources by layer, with the paths and formats of one installation."""
+
+    name: str
+    layers: dict[str, dict[str, dict]] = field(default_factory=dict)
+
+    def source(self, layer: str, name: str) -> Source:
+        if name not in self.layers.get(layer, {}):
+            raise ConfigError(f"environment {self.name!r} has no {name!r} in layer {layer!r}")
+        return source({"name": name} | self.layers[layer][name])
+
+
+def environment(d: dict) -> Environment:
+    layers = {layer: {s["name"]: {k: v for k, v in s.items() if k != "name"} for s in sources} if isinstance(sources, list) else dict(sources) for layer, sources in (d.get("layers") or {}).items()}
+    return Environment(_need(d, "name", "an environment"), layers)
+
+
 def _texts(x: Any) -> tuple[str, ...]:
     """One text, comma-separated texts or a list, as a tuple."""
     if x is None:
@@ -257,6 +284,10 @@ def table(d: dict) -> Table:
     incremental = Incremental(i.get("filter_mode", "none"), i.get("watermark_column"), i.get("source_watermark_column") or i.get("watermark_column"), i.get("period_column"), i.get("source_period_column") or i.get("period_column"))
     if incremental.filter_mode not in ("none", "watermark", "period"):
         raise ConfigError(f"filter_mode {incremental.filter_mode!r}")
+    dq = d.get("dq") or {}
+    checked = any((s.get("extensions") or {}).get("stage_plugin") == "check_duplicates" for s in stages)
+    if bool(dq.get("duplicates_table")) != checked:
+        warnings.warn(f"table {d.get('name')!r}: " + ("no stage looks for duplicates, so dq.duplicates_table stays empty" if dq.get("duplicates_table") else "check_duplicates without dq.duplicates_table keeps its rows in the context only"), stacklevel=2)
     return Table(_need(d, "name", "a table"), d.get("layer", ""), d.get("target_schema"), d.get("description", ""), tuple(source(s) for s in d.get("sources") or []), tuple(stage(s) for s in stages), policies, incremental, dict(d.get("dq") or {}), _texts(d.get("tags")), dict(d.get("extensions") or {}))
 
 

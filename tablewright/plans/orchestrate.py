@@ -137,6 +137,10 @@ def ensure_schemas(spark: SparkSession, names: list[str]) -> None:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{n}`")
 
 
+def drop_schema(spark: SparkSession, name: str, cascade: bool = False) -> None:
+    spark.sql(f"DROP SCHEMA IF EXISTS `{name}`" + (" CASCADE" if cascade else ""))
+
+
 def drop_tables(spark: SparkSession, schema: str, prefix: str, dry_run: bool = True) -> list[str]:
     """Names of tables that begin with prefix; dropped unless dry_run."""
     names = [t.name for t in spark.catalog.listTables(schema) if t.name.startswith(prefix)]

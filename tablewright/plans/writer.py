@@ -115,6 +115,8 @@ class TableWriter:
                 post(spark, df, config, context, e)
             raise
         context.flush()
+        if context.metrics is not None:
+            context.metrics.write(outcome)
         if post:
             post(spark, df, config, context, outcome)
         return outcome

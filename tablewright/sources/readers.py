@@ -142,6 +142,15 @@ def list_files(spark: SparkSession, root: str, extensions: list[str] | None = No
     return out.filter(F.col("extension").isin([e.lower().lstrip(".") for e in extensions])) if extensions else out
 
 
+def read_manual_csv(spark: SparkSession, path: str, schema: str | None = None, source: str = "manual", at: object = None) -> DataFrame:
+    """A hand-kept CSV with a header and its types (inferred where no schema is given), with where it came from; columns of those names are replaced."""
+    reader = spark.read.option("header", "true")
+    df = (reader.schema(schema) if schema else reader.option("inferSchema", "true")).csv(path)
+    parts = F.split(F.lit(path), "/")
+    marks = {"_source": F.lit(source), "_source_file": F.element_at(parts, -1), "_source_folder": F.try_element_at(parts, F.lit(-2)), "_source_modified": F.lit(at).cast("timestamp"), "_source_period": F.lit(None).cast("string")}
+    return df.withColumns(marks)
+
+
 def schema_names(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
 

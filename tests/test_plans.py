@@ -119,3 +119,14 @@ def test_outer_join_keeps_keys(spark):
     out = compiler.PlanBuilder(config.table(plan)).build(spark, None, {"l": a, "r": b})
     assert sorted((r.k, r.a) for r in out.collect() if r.a) == [(1, "x")]
     assert sorted(r.k for r in out.collect()) == [1, 2]
+
+
+def test_columns_and_environment():
+    t = config.table(FACT)
+    assert [c.name for c in t.filter_columns(natural=True)] == ["id"] and t.persistent_columns == ["id", "customer", "segment"]
+    e = config.environment({"name": "dev", "layers": {"bronze": [{"name": "a", "path": "/x", "format": "csv"}]}})
+    assert e.source("bronze", "a").format == "csv"
+    with pytest.raises(ConfigError):
+        e.source("bronze", "b")
+    with pytest.warns(UserWarning, match="duplicates_table"):
+        config.table({"name": "t", "sources": [{"name": "s", "table": "x"}], "dq": {"duplicates_table": "d"}, "columns": [{"name": "a"}]})

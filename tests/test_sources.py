@@ -136,3 +136,14 @@ def test_batches_and_catalogue(spark, tmp_path):
         orchestrate.config_paths(["nope"], str(tmp_path))
     good, bad = orchestrate.load_entries([tmp_path / "p" / "x.yaml", tmp_path / "gone.yaml"], config.YamlConfigProvider())
     assert [g.name for g in good] == ["x"] and len(bad) == 1
+
+
+def test_manual_csv(spark, tmp_path):
+    path = write(tmp_path / "f" / "m.csv", "id,_source\n1,old\n")
+    r = readers.read_manual_csv(spark, path, "id int, _source string").collect()[0]
+    assert (r.id, r._source, r._source_file, r._source_folder) == (1, "manual", "m.csv", "f")
+    orchestrate.ensure_schemas(spark, ["tw_x"])
+    assert "tw_x" in readers.schema_names(spark)
+    assert orchestrate.drop_tables(spark, "tw_x", "a") == [] and readers.table_names(spark, "tw_x") == []
+    orchestrate.drop_schema(spark, "tw_x", True)
+    assert "tw_x" not in readers.schema_names(spark)

@@ -18,12 +18,13 @@ def clean_decimal(c: Column, precision: int = 38, scale: int = 2) -> Column:
     return F.nullif(digits, F.lit("")).try_cast(f"decimal({precision},{scale})")
 
 
-def parse_mixed_date(c: Column) -> Column:
+def parse_mixed_date(c: Column, excel_epoch: str = "1899-12-30") -> Column:
     """A date from a spreadsheet's day number or any of several spellings, the first that fits."""
     text = F.trim(c.cast("string"))
+    days = F.floor(text.try_cast("double")).cast("int")
     stamp = lambda x, pattern: F.try_to_timestamp(x, F.lit(pattern)).cast("date")
     return (
-        F.when(text.rlike(r"^\d{1,6}(\.0+)?$"), F.date_add(F.lit("1899-12-30").cast("date"), F.regexp_replace(text, r"\.0+$", "").try_cast("int")))
+        F.when(text.rlike(r"^\d{1,7}(\.\d+)?$"), F.date_add(F.lit(excel_epoch).cast("date"), days))
         .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), stamp(text, "y-M-d"))
         .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}[ T]\d"), stamp(F.regexp_replace(F.regexp_replace(text, r"\.\d+$", ""), "T", " "), "y-M-d H:mm:ss"))
         .when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4} \d"), stamp(text, "d/M/y H:mm:ss"))
@@ -38,20 +39,25 @@ def clean_uk_postcode(c: Column) -> Column:
     return F.regexp_replace(F.upper(F.trim(c)), r"^([A-Z0-9]+?)\s*([0-9][A-Z]{2})$", "$1 $2")
 
 
+#: Titles before a name; forms of companies, in the order in which they are taken off.
+TITLES = ["Mr", "Mrs", "Miss", "Ms", "Dr", "Prof", "Sir", "Lady", "Lord"]
+COMPANY_FORMS = ["LIMITED", "LTD", "LLP", "PLC", "INC"]
+
+
 def clean_contact_name(c: Column) -> Column:
     """'Last, First' becomes 'First Last'; of 'Company - Name' the name; titles go; single spaces."""
-    comma = F.concat_ws(" ", F.trim(F.element_at(F.split(c, ",", 2), 2)), F.trim(F.element_at(F.split(c, ",", 2), 1)))
-    name = F.when(c.contains(","), comma).otherwise(F.element_at(F.split(c, " - "), -1))
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(name), r"(?i)^(mr|mrs|ms|miss|dr|prof|sir)\.?\s+", ""), r"\s+", " "))
+    halves = F.split(c, ",")
+    turned = F.concat_ws(" ", *[F.trim(F.try_element_at(halves, F.lit(i))) for i in (2, 1)])
+    name = F.when(c.contains(","), turned).otherwise(F.trim(F.element_at(F.split(c, " - "), -1)))
+    return F.regexp_replace(F.regexp_replace(name, rf"^({'|'.join(TITLES)})\.?\s+", ""), r"\s+", " ")
 
 
-def clean_company_name(c: Column, strip_suffix: bool = True) -> Column:
+def clean_company_name(c: Column, remove_legal_suffix: bool = True) -> Column:
     """Upper case, single spaces, AND for &, without the company's legal form."""
-    name = F.regexp_replace(F.upper(F.trim(c)), r"\s+", " ")
-    if strip_suffix:
-        for form in ("LIMITED", "LTD", "LLP", "PLC", "INC"):
-            name = F.regexp_replace(name, rf"[ ,]+{form}\.?$", "")
-    return F.trim(F.regexp_replace(name, " & ", " AND "))
+    name = F.regexp_replace(F.trim(F.upper(c)), r"\s+", " ")
+    for form in COMPANY_FORMS if remove_legal_suffix else []:
+        name = F.regexp_replace(name, rf" {form}\.?$", "")
+    return F.regexp_replace(name, " & ", " AND ")
 
 
 def sanitize_name(c: Column) -> Column:
@@ -66,25 +72,24 @@ MONTHS = ["january", "february", "march", "april", "may", "june", "july", "augus
 def extract_period(c: Column) -> Column:
     """Period yymmdd in a file name: eight digits, six, a month's name with a year, or yymm; the first that is a date."""
     text = F.lower(c)
-    names = "|".join(f"{m}|{m[:3]}" for m in MONTHS)
+    names = "|".join([*MONTHS, "sept", *(m[:3] for m in MONTHS)])
 
-    def month(word: Column) -> Column:
-        return F.coalesce(*[F.when(word.startswith(m[:3]), F.lit(f"{i:02d}")) for i, m in enumerate(MONTHS, 1)])
-
-    def found(pattern: str, group: int) -> Column:
+    def found(pattern: str, group: int = 1) -> Column:
         return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
-    def date(digits: Column, pattern: str) -> Column:
-        return F.date_format(F.try_to_timestamp(digits, F.lit(pattern)), "yyMMdd")
+    def date(digits: Column) -> Column:
+        return F.date_format(F.try_to_timestamp(digits, F.lit("yyyyMMdd")), "yyMMdd")
+
+    def of_month(pattern: str, year: int, month: int) -> Column:
+        number = F.coalesce(*[F.when(found(pattern, month).startswith(m[:3]), F.lit(f"{i:02d}")) for i, m in enumerate(MONTHS, 1)])
+        return F.concat(F.substring(found(pattern, year), 3, 2), number, F.lit("01"))
 
-    first, last = rf"(?:^|[^a-z])({names})[^a-z0-9]*(20\d{{2}})", rf"(20\d{{2}})[^a-z0-9]*({names})(?![a-z])"
-    four = found(r"(?<![a-z0-9])(\d{2}(?:0[1-9]|1[0-2]))(?![a-z0-9])", 1)
     return F.coalesce(
-        date(found(r"(\d{8})", 1), "yyyyMMdd"),
-        date(F.concat(F.lit("20"), found(r"(?<![a-z0-9])(\d{6})(?![a-z0-9])", 1)), "yyyyMMdd"),
-        F.concat(F.substring(found(first, 2), 3, 2), month(found(first, 1)), F.lit("01")),
-        F.concat(F.substring(found(last, 1), 3, 2), month(found(last, 2)), F.lit("01")),
-        F.concat(four, F.lit("01")),
+        date(found(r"(?<!\d)(\d{8})(?!\d)")),
+        date(F.concat(F.lit("20"), found(r"\b(\d{6})\b"))),
+        of_month(rf"\b({names})[\s_-]*(20\d\d)\b", 2, 1),
+        of_month(rf"\b(20\d\d)[\s_-]*({names})\b", 1, 2),
+        F.concat(found(r"\b(\d\d(?:0[1-9]|1[0-2]))\b"), F.lit("01")),
     )
 
 

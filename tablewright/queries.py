@@ -343,7 +343,7 @@ text_query("clean_postcode", "customer", "c_custkey", _CODE.format("string"), _C
 _WHO = "case when c_custkey % 3 = 0 then concat('Smith', cast(c_custkey as {0}), ', Jane') when c_custkey % 3 = 1 then concat('Acme - Mr.  John   Doe', cast(c_custkey as {0})) else c_name end"
 text_query("clean_contact", "customer", "c_custkey", _WHO.format("string"), _WHO.format("varchar"), cleaning.clean_contact_name, "case when c_custkey % 3 = 0 then 'Jane ' || split_part(x, ',', 1) when c_custkey % 3 = 1 then 'John Doe' || c_custkey else x end")
 _FIRM = "case when s_suppkey % 4 = 0 then concat(' big  ', s_name, ' & sons ltd') when s_suppkey % 4 = 1 then concat(s_name, ' Limited') when s_suppkey % 4 = 2 then concat(s_name, ', Inc.') else s_name end"
-text_query("clean_company", "supplier", "s_suppkey", _FIRM, _FIRM, cleaning.clean_company_name, "case when s_suppkey % 4 = 0 then 'BIG ' || upper(substr(x, 7, length(x) - 17)) || ' AND SONS' when s_suppkey % 4 = 1 then upper(substr(x, 1, length(x) - 8)) when s_suppkey % 4 = 2 then upper(substr(x, 1, length(x) - 6)) else upper(x) end")
+text_query("clean_company", "supplier", "s_suppkey", _FIRM, _FIRM, cleaning.clean_company_name, "case when s_suppkey % 4 = 0 then 'BIG ' || upper(substr(x, 7, length(x) - 17)) || ' AND SONS' when s_suppkey % 4 = 1 then upper(substr(x, 1, length(x) - 8)) when s_suppkey % 4 = 2 then upper(substr(x, 1, length(x) - 5)) else upper(x) end")
 text_query("sanitize_name", "pages", "page_id", "url", "url", cleaning.sanitize_name, "nullif(trim(regexp_replace(lower(trim(x)), '[^a-z0-9]+', '_', 'g'), '_'), '')")
 _FILE = "case o_orderkey % 6 when 0 then concat('sales_', {0}, '.csv') when 1 then concat('sales-', {1}, '.csv') when 2 then concat('rep ', {2}) when 3 then concat(lower({3}), '-', {4}, '.csv') when 4 then concat({4}, ' ', substr({3}, 1, 3), '.txt') else 'no digits.csv' end"
 text_query(

@@ -19,8 +19,9 @@ pairs of a bucket. Components are found by minimum labels over verified links, i
 of the shared folder.
 
 Defined cases: a text without words, or null, has the empty set and no links; fewer than
-five words are one shingle; rows that share a doc_id are one document; null doc_ids are
-one document that counts as larger than all others; extra columns play no part.
+five words are one shingle; rows that share a doc_id are one document; rows without one
+are documents by their text and count as larger than all others (their component_id is
+null unless one with an id is in it); extra columns play no part.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import mix64, short_batches, stored
@@ -41,7 +43,8 @@ LEAST = (75, 100)
 PERMUTATIONS, BANDS = 72, 36
 PIVOT_ROUNDS = 3
 BLOCK = 256
-_LAST = (1 << 63) - 1
+#: Rows without doc_id get numbers from here on, from a hash of their text.
+_NULLS = 1 << 62
 
 _MULTIPLY = (mix64(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 _FLIP = (mix64(np.arange(1001, PERMUTATIONS + 1001, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -151,11 +154,16 @@ def _fits(n: Column, m: Column) -> Column:
 
 
 def _tested(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (pivot, node) whose sets are linked, as (a, b). A pivot's members are dealt into tasks of about BLOCK."""
+    """Those pairs (pivot, node) whose sets are linked, as (a, b). A pivot's members are dealt into tasks of about BLOCK.
+
+    The pairs are stored first: their size is then known where they meet the sets, and a few pairs don't move all sets.
+    """
+    pairs = stored(pairs, "near-pairs")
     parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
     dealt = pairs.join(parts, "pivot").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = stored(dealt.select("pivot", "part", "node"), "near-dealt")
     member = dealt.join(sets, "node").select("pivot", "part", "node", "set")
-    lead = dealt.select("pivot", "part").distinct().join(sets.withColumnRenamed("node", "pivot"), "pivot").select("pivot", "part", F.lit(None).cast("long").alias("node"), "set")
+    lead = stored(dealt.select("pivot", "part").distinct(), "near-leads").join(sets.withColumnRenamed("node", "pivot"), "pivot").select("pivot", "part", F.lit(None).cast("long").alias("node"), "set")
 
     def test(rows: pd.DataFrame) -> pd.DataFrame:
         of = [np.frombuffer(s, np.uint64) for s in rows.set]
@@ -221,7 +229,8 @@ def _in_blocks(left: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame
     pair = lambda x, y, kind: F.struct(x.alias("x"), y.alias("y"), F.lit(kind).alias("kind"))
     mixed = F.when(F.col("is_major"), to(F.col("minors"), lambda o: pair(o, F.col("block"), 1))).otherwise(to(F.col("majors"), lambda o: pair(F.col("block"), o, 1)))
     same = F.when(~F.col("is_major"), to(F.col("minors"), lambda o: pair(F.least(o, F.col("block")), F.greatest(o, F.col("block")), 0))).otherwise(F.array().cast("array<struct<x:bigint,y:bigint,kind:int>>"))
-    rows = dealt.withColumn("at", F.explode(F.concat(mixed, same))).select("band", "at", "label", F.when(F.col("at.kind") == 1, F.col("is_major").cast("long")).otherwise(F.col("block")).alias("side"), "node").join(sets, "node")
+    rows = dealt.withColumn("at", F.explode(F.concat(mixed, same))).select("band", "at", "label", F.when(F.col("at.kind") == 1, F.col("is_major").cast("long")).otherwise(F.col("block")).alias("side"), "node")
+    rows = stored(rows, "near-blocks").join(sets, "node")
 
     def test(rows: pd.DataFrame) -> pd.DataFrame:
         edges = _forest(rows.node.to_numpy(), [np.frombuffer(s, np.uint64) for s in rows.set], rows.label.to_numpy(), rows.side.to_numpy())
@@ -251,10 +260,15 @@ def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(labels.join(moved, "label", "left").select("node", F.coalesce("new", "label").alias("label"), *rest), "near-labels")
 
 
+def _number(docs: DataFrame) -> Column:
+    """doc_id as long, with a number of its own for each text without one."""
+    return F.coalesce(docs["doc_id"].cast("long"), F.lit(_NULLS) + F.shiftrightunsigned(F.xxhash64(docs["text"]), 2))
+
+
 def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row for each row of docs, doc_id as long with nulls as the largest number."""
+    """(doc_id, n_shingles, component_id), one row for each row of docs, doc_id as in _number()."""
     short_batches(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text")
+    rows = docs.select(_number(docs).alias("doc_id"), docs["text"])
     each = stored(rows.select("doc_id", described(F.col("text")).alias("d")).select("doc_id", "d.*"), "near-signatures")
     classes = stored(each.filter("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node"), F.min(F.struct("doc_id", "bands"))["bands"].alias("bands"), F.first("n_shingles").alias("n")), "near-classes")
     band_rows = classes.select("node", F.explode("bands").alias("band"))
@@ -273,13 +287,16 @@ def components(docs: DataFrame) -> DataFrame:
         known = left.join(labels, "node")
         open_ = known.groupBy("band").agg(F.min(F.struct("node", "label", "n")).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
         known = stored(known.join(open_, "band").filter("node <> p.node").select("band", "node", "label", "n", "most", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), F.col("p.n").alias("pivot_n")), "near-buckets")
+        left = known.select("band", "node")
+        if not known.take(1):
+            break
         pairs = known.filter((F.col("label") != F.col("pivot_label")) & fits).select("pivot", "node").distinct()
         labels = relabelled(labels, stored(_tested(pairs, sets), "near-links"))
-        left = known.select("band", "node")
     known = left.join(labels.select("node", "label"), "node")
     open_ = known.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("band")
     rest = stored(left.join(open_, "band"), "near-buckets")
-    labels = relabelled(labels, stored(_in_blocks(rest, labels, sets), "near-links"))
+    if rest.take(1):
+        labels = relabelled(labels, stored(_in_blocks(rest, labels, sets), "near-links"))
     of_class = classes.select("mark", "node").join(labels.select("node", "label"), "node", "left").select("mark", F.coalesce("label", "node").alias("label"))
     return each.join(of_class, "mark", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
@@ -287,11 +304,16 @@ def components(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id, kept."""
     out = components(docs)
-    null = lambda c: F.when(F.col(c) != _LAST, F.col(c)).alias(c)
+    null = lambda c: F.when(F.col(c) < _NULLS, F.col(c)).alias(c)
     return out.select(null("doc_id"), "n_shingles", null("component_id"), (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the smallest of their component, as they are."""
-    lost = components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("__nd_id")).distinct()
-    return docs.join(lost, F.coalesce(docs["doc_id"].cast("long"), F.lit(_LAST)) == F.col("__nd_id"), "left_anti")
+    """The rows of docs whose doc_id is the smallest of their component, as they are; of rows that repeat such an id, one."""
+    each = stored(components(docs).groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n_rows")), "near-components")
+    number, row = _number(docs), F.xxhash64(*[docs[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    odd = each.filter("doc_id <> component_id or n_rows > 1").select(F.col("doc_id").alias("__nd_id"))
+    many = each.filter("doc_id = component_id and n_rows > 1").select(F.col("doc_id").alias("__nd_id"))
+    once = F.row_number().over(W.partitionBy("__nd_id").orderBy("__nd_row"))
+    first = docs.withColumns({"__nd_id": number, "__nd_row": row}).join(many, "__nd_id", "left_semi").withColumn("__nd_place", once).filter("__nd_place = 1")
+    return docs.join(odd, number == F.col("__nd_id"), "left_anti").unionByName(first.select(*docs.columns))

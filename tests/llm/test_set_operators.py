@@ -83,7 +83,11 @@ def test_no_documents_and_one_of_each(spark):
     kept = minhash.one_of_each(docs(spark, extra=True))
     assert kept.columns == docs(spark, extra=True).columns
     want = {r[0] for r in plain_components(odd_rows()) if r[3]}
-    assert {r.doc_id for r in kept.collect()} == want
+    assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted(want, key=repr)
+    nameless = [(None, prose(1, 40), "", "", 0), (None, prose(2, 40), "", "", 0), (None, prose(2, 40), "", "", 0), (5, prose(1, 40), "", "", 0), (None, None, "", "", 0)]
+    out = minhash.near_duplicates(docs(spark, nameless)).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in out), key=repr) == sorted([(None, 5, False), (None, None, True), (None, None, True), (5, 5, True), (None, None, True)], key=repr)
+    assert minhash.one_of_each(docs(spark, nameless)).count() == 3
 
 
 def test_signatures_estimate_similarity():

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import crc_mod, short_batches
+from tablewright.llm.common import crc_mod, short_batches, stored
 
 BLOCK, DICTIONARY_BYTES, LEVEL = 2048, 65_536, 3
 PRIOR_BYTES = 64
@@ -103,7 +103,7 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> list[tuple[in
     label = labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sizes = docs.filter(usable).select("doc_id", F.octet_length("text").alias("size")).dropna()
     fold = F.when(F.crc32(F.concat(F.lit("fold:"), F.col("doc_id").cast("string"))) % 3 == 0, 0).otherwise(1)
-    pool = sizes.join(label, "doc_id").filter((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES // 8)).withColumn("fold", fold)
+    pool = stored(sizes.join(label, "doc_id").filter((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES // 8)).withColumn("fold", fold), "quality-pool")
     picked: dict[int, tuple[int, int]] = {}
     for f in (0, 1):
         for q in (0, 1):

@@ -19,6 +19,7 @@ item_id is written "null"; an empty benchmark hits nothing; extra columns play n
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import defaultdict
@@ -249,14 +250,15 @@ def cut(text: str, phrases: Phrases) -> tuple[str, list[tuple[int, int]]]:
 
 
 def cleaned(text: Column, phrases: Phrases) -> Column:
-    """struct(text, gone) of a text column: without its removal spans; gone if those held all its words."""
+    """struct(hit, text, gone) of a text column: where spans were found, the text without them; gone if those held all its words."""
 
-    @F.pandas_udf("text string, gone boolean")
+    @F.pandas_udf("hit boolean, text string, gone boolean")
     def done(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             _, found = phrases.find([fold(t) for t in texts])
-            new = [cut(t, phrases)[0] if len(f[0]) else t for t, f in zip(texts, found)]
-            yield pd.DataFrame({"text": new, "gone": [bool(len(f[0])) and not fold(t).split() for t, f in zip(new, found)]})
+            hit = np.array([len(f[0]) > 0 for f in found], bool)
+            new = [cut(t, phrases)[0] if h else None for t, h in zip(texts, hit)]  # untouched texts don't travel back
+            yield pd.DataFrame({"hit": hit, "text": pd.Series(new, dtype=object), "gone": [t is not None and not fold(t).split() for t in new]})
 
     return done(text)
 
@@ -268,10 +270,28 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for i, items in enumerate(blocks(benchmark)):
         out = stored(out, "decontaminated") if i else out
         out = out.withColumn("__dc_new", cleaned(out["text"], Phrases(items))).filter(~F.col("__dc_new.gone"))
-        out = out.select(*[F.col("__dc_new.text").alias(c) if c == "text" else F.col(f"`{c}`") for c in columns])
+        text = F.when(F.col("__dc_new.hit"), F.col("__dc_new.text")).otherwise(F.col("text")).alias("text")
+        out = out.select(*[text if c == "text" else F.col(f"`{c}`") for c in columns])
     return out
 
 
+def removal_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, start, stop) of each span to remove, in bytes of the text; several blocks of a benchmark may give spans that overlap."""
+    short_batches(docs.sparkSession)
+
+    def of(phrases: Phrases) -> Column:
+        @F.pandas_udf("array<struct<start: int, stop: int>>")
+        def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                _, found = phrases.find([fold(t) for t in texts])
+                yield pd.Series([[{"start": a, "stop": b} for a, b in cut(t, phrases)[1]] if len(f[0]) else [] for t, f in zip(texts, found)], dtype=object)
+
+        return spans(docs["text"])
+
+    parts = [docs.select("doc_id", F.explode(of(Phrases(items))).alias("s")).select("doc_id", "s.start", "s.stop") for items in blocks(benchmark)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row of docs: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
     short_batches(docs.sparkSession)

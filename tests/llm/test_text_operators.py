@@ -104,6 +104,13 @@ def test_decontamination(spark):
     assert not any(r.contaminated for r in decontamination.contamination(clean, bench).collect())
 
 
+def test_removal_spans(spark):
+    text = "Héad: " + prose(2, 12).upper() + "! tail"
+    bench = spark.createDataFrame([(1, prose(2, 12))], "item_id long, text string")
+    out = decontamination.removal_spans(docs(spark, [(1, text, "", "", 0), (2, None, "", "", 0), (3, "none", "", "", 0)]), bench).collect()
+    assert [(r.doc_id, text.encode()[r.start : r.stop].decode()) for r in out] == [(1, prose(2, 12).upper())]
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     items = [(i, prose(2, 300)[i * 30 : i * 30 + 200]) for i in range(20)]
     bench = spark.createDataFrame(items, "item_id long, text string")

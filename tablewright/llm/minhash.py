@@ -274,7 +274,7 @@ def components(docs: DataFrame) -> DataFrame:
     band_rows = classes.select("node", F.explode("bands").alias("band"))
     full = band_rows.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last").drop("last")
     members = stored(band_rows.join(full, "band").select("band", "node", "pivot"), "near-buckets")
-    suspects = members.select("node").distinct()
+    suspects = stored(members.select("node").distinct(), "near-suspects")  # a few ids, known to be so, don't move all texts
     sets = stored(rows.join(suspects, rows["doc_id"] == suspects["node"]).select("node", set_of(F.col("text")).alias("set")), "near-sets")
     labels = stored(classes.join(suspects, "node").groupBy("node").agg(F.min("n").alias("n"), F.max("n").alias("most")).withColumn("label", F.col("node")), "near-labels")
     sized = labels.select("node", "n", "most")
@@ -286,6 +286,7 @@ def components(docs: DataFrame) -> DataFrame:
     for _ in range(PIVOT_ROUNDS):
         known = left.join(labels, "node")
         open_ = known.groupBy("band").agg(F.min(F.struct("node", "label", "n")).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+        open_ = stored(open_, "near-open")
         known = stored(known.join(open_, "band").filter("node <> p.node").select("band", "node", "label", "n", "most", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), F.col("p.n").alias("pivot_n")), "near-buckets")
         left = known.select("band", "node")
         if not known.take(1):
@@ -294,6 +295,7 @@ def components(docs: DataFrame) -> DataFrame:
         labels = relabelled(labels, stored(_tested(pairs, sets), "near-links"))
     known = left.join(labels.select("node", "label"), "node")
     open_ = known.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("band")
+    open_ = stored(open_, "near-open")
     rest = stored(left.join(open_, "band"), "near-buckets")
     if rest.take(1):
         labels = relabelled(labels, stored(_in_blocks(rest, labels, sets), "near-links"))
@@ -312,8 +314,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id is the smallest of their component, as they are; of rows that repeat such an id, one."""
     each = stored(components(docs).groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n_rows")), "near-components")
     number, row = _number(docs), F.xxhash64(*[docs[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
-    odd = each.filter("doc_id <> component_id or n_rows > 1").select(F.col("doc_id").alias("__nd_id"))
-    many = each.filter("doc_id = component_id and n_rows > 1").select(F.col("doc_id").alias("__nd_id"))
+    odd = stored(each.filter("doc_id <> component_id or n_rows > 1").select(F.col("doc_id").alias("__nd_id")), "near-odd")
+    many = stored(each.filter("doc_id = component_id and n_rows > 1").select(F.col("doc_id").alias("__nd_id")), "near-many")
     once = F.row_number().over(W.partitionBy("__nd_id").orderBy("__nd_row"))
     first = docs.withColumns({"__nd_id": number, "__nd_row": row}).join(many, "__nd_id", "left_semi").withColumn("__nd_place", once).filter("__nd_place = 1")
     return docs.join(odd, number == F.col("__nd_id"), "left_anti").unionByName(first.select(*docs.columns))

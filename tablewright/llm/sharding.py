@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 SHARDS = 8
 SEED = 20_240_601
 #: Rows that a partition or a block of a shard is meant to hold, and the most partitions.
-BLOCK_ROWS, MAX_PARTITIONS = 20_000, 1 << 16
+BLOCK_ROWS, MAX_PARTITIONS = 5_000, 1 << 16
 
 
 def communication_matrix(counts: list[int], n_shards: int, seed: int = SEED) -> np.ndarray:

@@ -6,15 +6,16 @@ interpolated absolute discounting,
     P3(w | u v) = max(c(u v w) - D, 0) / c(u v) + D n(u v) / c(u v) * P2(w | v')
     P2(w | v')  = max(c(v' w) - D, 0) / c(v') + D n(v') / c(v') * P1(w)
 
-where n counts different successors. P1 adds one to the counts of the head of the
-vocabulary, its at most HEAD most frequent words; all rarer words, unknown ones among
-them, share the rest of the mass evenly. v' is v or, for a v so frequent that its tokens
+where n counts different successors. P1 adds one to the count of each word and to that of
+an unknown one, at every size: P1(w) = (c(w) + 1) / (N + V + 1). v' is v or, for a v so frequent that its tokens
 would fill more than a part of a shard, v with one of some classes of the word before it:
 then each class is a context of its own and goes to a shard of its own.
 
-Two passes over the texts. The first counts words. The second packs each chunk of texts,
-for every shard of contexts, into one compressed message of (u, v, w) and, for every shard
-of the vocabulary, one of its rare words. A shard's task puts the training tokens into a
+Three passes over the texts. The first counts words; only the counts of the head of the
+vocabulary, its at most HEAD most frequent words, are known to all tasks. The second tells
+each shard of the vocabulary which shards of contexts hold its rare words, and the counts
+are sent there. The third packs each chunk of texts, for every shard of contexts, into one
+compressed message of (u, v, w) and, for every shard of the vocabulary, one of its rare words. A shard's task puts the training tokens into a
 trie - contexts v', below them words w (bigrams) and words u (contexts), below those words
 w (trigrams) - whose levels are Elias-Fano sequences of parent and word with Elias-Fano
 pointers to each parent's children and 16-bit codes of logarithms, written to a file of
@@ -23,10 +24,11 @@ word) in its level. The answer is one number a text, summed over shards; no task
 another's trie and no model is sent around. Only the head of the vocabulary goes to the
 tasks; its size has a bound. What is shuffled grows with the tokens.
 
-Rare words are numbers of 32 bits within a trie, words in counts are 64-bit hashes.
+Rare words are numbers of 32 bits within a trie (of two with one number the larger count
+stands), words in counts are 64-bit hashes.
 
 Defined cases: null and empty texts are one end mark; an empty training set gives every
-token the unknown word's share; rows that are equal in doc_id and text have equal scores;
+token the unknown word's probability; rows that are equal in doc_id and text have equal scores;
 extra columns play no part.
 """
 
@@ -52,7 +54,7 @@ HELD_OUT_OF, HELD_OUT = 7, 2
 DISCOUNT = 0.75
 #: Most words in the head of the vocabulary; tokens a shard is meant for; share of a shard that one context may fill.
 HEAD, SHARD_TOKENS, PART = 1 << 17, 1_000_000, 4
-#: Bytes of text in one chunk of the second pass, and distinct words counted before they are handed on in the first.
+#: Bytes of text in one chunk of the later passes, and distinct words counted before they are handed on in the first.
 CHUNK_BYTES, FLUSH_WORDS = 4_000_000, 1_000_000
 #: Logarithms are stored as multiples of this.
 STEP = 14 / 65535
@@ -302,11 +304,6 @@ class Vocabulary:
         """log10 of N + 1 * (V + 1)."""
         return math.log10(self.tokens + self.types + 1)
 
-    def log_p1(self) -> tuple[np.ndarray, float]:
-        """log10 P1 of each head word, and of any other."""
-        rest = self.tokens - int(self.counts.sum()) + self.types - len(self.head) + 1
-        return np.log10(self.counts + 1.0) - self.log_unit, math.log10(rest) - self.log_unit - math.log10(self.types - len(self.head) + 1)
-
     def classes(self) -> np.ndarray:
         """How many classes the contexts of each head word are split into."""
         share = max(1, self.tokens // (self.n_shards * PART))
@@ -409,49 +406,130 @@ def _stretch(raw: bytes, kinds: str) -> list[np.ndarray]:
     return [np.frombuffer(data, np.int64 if k == "i" else np.float64, n, 8 + 8 * n * j) for j, k in enumerate(kinds)]
 
 
+def _numbers(rare: np.ndarray, n_head: int) -> np.ndarray:
+    """Numbers of 32 bits, after those of the head, of rare words' hashes."""
+    return (n_head + mix64(rare) % np.uint64(_NO_WORD - n_head)).astype(np.uint32)
+
+
+class Tokens:
+    """The tokens of a chunk's texts."""
+
+    def __init__(self, texts: list[bytes], voc: Vocabulary):
+        n_head = len(voc.head)
+        words, first = word_hashes(texts)
+        self.n = np.diff(first) + 1
+        begin = np.concatenate([[0], np.cumsum(self.n)])
+        self.start, inner = begin[:-1], np.ones(begin[-1], bool)
+        inner[begin[1:] - 1] = False
+        self.hash = np.full(begin[-1], END, np.uint64)
+        self.hash[inner] = words
+        self.place = np.minimum(np.searchsorted(voc.head, self.hash), max(0, n_head - 1))
+        self.in_head = voc.head[self.place] == self.hash if n_head else np.zeros(len(self.hash), bool)
+        self.rare = np.flatnonzero(~self.in_head)
+        self.number = self.place.astype(np.uint32)
+        self.number[self.rare] = _numbers(self.hash[self.rare], n_head)
+        self.doc = np.repeat(np.arange(len(texts), dtype=np.uint32), self.n)
+
+    def trigrams(self, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of tokens that have a context, their u, v and w, and the shards of the contexts."""
+        later = np.ones(len(self.hash), bool)
+        later[self.start] = False
+        later = np.flatnonzero(later)  # a text's first token has no context
+        w, v = self.number[later], self.number[later - 1]
+        u = np.where(later - 1 > self.start[self.doc[later]], self.number[np.maximum(later - 2, 0)], np.uint32(_NO_WORD))
+        return later, u, v, w, (mix64(_classed(u, v, voc.classes())) % np.uint64(voc.n_shards)).astype(np.uint16)
+
+
+def _dealt(to: np.ndarray, n_shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each shard that has any, the places that go to it."""
+    order = np.argsort(to, kind="stable")
+    cut = np.searchsorted(to[order], np.arange(n_shards + 1))
+    for s in np.flatnonzero(np.diff(cut)).tolist():
+        yield s, order[cut[s] : cut[s + 1]]
+
+
+def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lower and upper 32 bits."""
+    x = x.astype(np.uint64, copy=False)
+    return x.astype(np.uint32), (x >> np.uint64(32)).astype(np.uint32)
+
+
+def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+
+
+def _wanted_rows(texts: list[bytes], held: list[bool], voc: Vocabulary) -> Iterator[tuple[int, int, int, bytes]]:
+    """For each shard of the vocabulary, its rare words that follow others in some texts, with the shards of those contexts."""
+    t = Tokens(texts, voc)
+    later, _, _, _, to = t.trigrams(voc)
+    at = np.flatnonzero(~t.in_head[later])
+    word, to = t.hash[later[at]], to[at]
+    order = np.lexsort((to, word))
+    word, to = word[order], to[order]
+    new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (to[1:] != to[:-1])])) if len(word) else at
+    word, to = word[new], to[new]
+    for s, at in _dealt((word.view(np.int64) % voc.n_shards).astype(np.uint16), voc.n_shards):
+        yield s, 0, 0, _pack(*_halves(word[at]), to[at])
+
+
 def _message_rows(ids: list, texts: list[bytes], held: list[bool], voc: Vocabulary) -> Iterator[tuple[int, int, int, bytes]]:
     """The messages of one chunk."""
-    n_head, shards = len(voc.head), np.arange(voc.n_shards + 1)
-    head_p1, rest_p1 = voc.log_p1()
-    words, first = word_hashes(texts)
-    n = np.diff(first) + 1
-    begin = np.concatenate([[0], np.cumsum(n)])
-    start, inner = begin[:-1], np.ones(begin[-1], bool)
-    inner[begin[1:] - 1] = False
-    tokens = np.full(begin[-1], END, np.uint64)
-    tokens[inner] = words
-    place = np.minimum(np.searchsorted(voc.head, tokens), max(0, n_head - 1))
-    in_head = voc.head[place] == tokens if n_head else np.zeros(len(tokens), bool)
-    rare = np.flatnonzero(~in_head)
-    number = place.astype(np.uint32)
-    number[rare] = (n_head + mix64(tokens[rare]) % np.uint64(_NO_WORD - n_head)).astype(np.uint32)
-    doc = np.repeat(np.arange(len(texts), dtype=np.uint32), n)
-    base = np.where(in_head, np.log10(voc.counts + 1.0)[place], 0.0) if n_head else np.zeros(len(tokens))
-    of_first = np.where(in_head[start], head_p1[place[start]], rest_p1) if n_head else np.full(len(texts), rest_p1)
+    t = Tokens(texts, voc)
+    n, start, doc = t.n, t.start, t.doc
+    base = np.where(t.in_head, np.log10(voc.counts + 1.0)[t.place], 0.0) if len(voc.head) else np.zeros(len(t.hash))
     null = np.array([i is None or i != i for i in ids])
     own = np.array([0 if x else int(i) for i, x in zip(ids, null)], np.int64)
     chunk = int((np.bitwise_xor.reduce(mix64(own.view(np.uint64) + mix64(n.astype(np.uint64)) + mix64(np.arange(len(n), dtype=np.uint64)))) >> np.uint64(1)).astype(np.int64))
-    yield chunk % voc.n_shards, 0, chunk, _squeeze(own, null.astype(np.int64), np.array(held, np.int64), n, np.add.reduceat(in_head.astype(np.int64), start), np.add.reduceat(base, start), of_first)
-    to = (tokens[rare].view(np.int64) % voc.n_shards).astype(np.uint16)
-    order = np.argsort(to, kind="stable")
-    cut = np.searchsorted(to[order], shards)
-    for s in range(voc.n_shards):
-        at = rare[order[cut[s] : cut[s + 1]]]
-        if len(at):
-            yield s, 1, chunk, _pack(doc[at], tokens[at].astype(np.uint32), (tokens[at] >> np.uint64(32)).astype(np.uint32))
-    later = np.ones(len(tokens), bool)
-    later[start] = False
-    later = np.flatnonzero(later)  # a text's first token has no context
-    w, v = number[later], number[later - 1]
-    u = np.where(later - 1 > start[doc[later]], number[np.maximum(later - 2, 0)], np.uint32(_NO_WORD))
-    to = (mix64(_classed(u, v, voc.classes())) % np.uint64(voc.n_shards)).astype(np.uint16)
+    yield chunk % voc.n_shards, 0, chunk, _squeeze(own, null.astype(np.int64), np.array(held, np.int64), n, np.add.reduceat(t.in_head.astype(np.int64), start), np.add.reduceat(base, start), base[start] - voc.log_unit)
+    for s, at in _dealt((t.hash[t.rare].view(np.int64) % voc.n_shards).astype(np.uint16), voc.n_shards):
+        at = t.rare[at]
+        yield s, 1, chunk, _pack(doc[at] * np.uint32(2) + (start[doc[at]] == at), *_halves(t.hash[at]))
+    later, u, v, w, to = t.trigrams(voc)
     sent = doc[later] * np.uint32(2) + np.array(held, np.uint32)[doc[later]]
-    order = np.argsort(to, kind="stable")
-    cut = np.searchsorted(to[order], shards)
-    for s in range(voc.n_shards):
-        at = order[cut[s] : cut[s + 1]]
-        if len(at):
-            yield s, 2, chunk, _pack(sent[at], u[at], v[at], w[at])
+    for s, at in _dealt(to, voc.n_shards):
+        yield s, 2, chunk, _pack(sent[at], u[at], v[at], w[at])
+
+
+def _by_shard(counts: DataFrame, voc: Vocabulary):
+    return counts.withColumn("shard", F.pmod("word", F.lit(voc.n_shards)).cast("int")).select("shard", "word", "n").groupBy("shard")
+
+
+def _found(words: pd.DataFrame, hashes: np.ndarray) -> np.ndarray:
+    """The count of each hash by a shard's words, 0 where there is none."""
+    order = np.argsort(words.word.to_numpy())
+    known, n = words.word.to_numpy()[order], words.n.to_numpy()[order]
+    if not len(known):
+        return np.zeros(len(hashes), np.int64)
+    hashes = hashes.view(np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, n[at], 0)
+
+
+def _sent_counts(docs: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
+    """Messages of kind 3: for each shard of contexts, numbers and counts of the rare words that it meets."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, texts, held in _chunks(batches):
+            rows = list(_wanted_rows(texts, held, voc))
+            if rows:
+                yield pd.DataFrame(rows, columns=["shard", "kind", "chunk", "data"])
+
+    def tell(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        rare = [_unpack(d, 3) for d in rows.data[rows.kind == 0]]
+        if rare:
+            low, high, to = (np.concatenate(c) for c in zip(*rare))
+            word, at = np.unique(_whole(low, high), return_inverse=True)
+            n = _found(words, word)
+            pair = np.unique(at.astype(np.int64) * voc.n_shards + to)
+            at, to = pair // voc.n_shards, pair % voc.n_shards
+            at, to = at[n[at] > 0], to[n[at] > 0]
+            number = _numbers(word, len(voc.head))
+            out += [(s, 3, 0, _pack(number[at[k]], *_halves(n[at[k]]))) for s, k in _dealt(to, voc.n_shards)]
+        return pd.DataFrame(out, columns=["shard", "kind", "chunk", "data"])
+
+    schema = "shard int, kind int, chunk long, data binary"
+    return docs.mapInPandas(ask, schema).groupBy("shard").cogroup(_by_shard(counts, voc)).applyInPandas(tell, schema)
 
 
 def _messages(docs: DataFrame, voc: Vocabulary) -> DataFrame:
@@ -466,15 +544,18 @@ def _messages(docs: DataFrame, voc: Vocabulary) -> DataFrame:
     return docs.mapInPandas(pack, "shard int, kind int, chunk long, data binary")
 
 
-def _scored_trigrams(messages: list[bytes], voc: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each message of a shard, its texts' numbers and sums of log10 probabilities."""
+def _scored_trigrams(messages: list[bytes], rare: list[bytes], voc: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each message of a shard, its texts' numbers and sums of log10 probabilities; rare holds the counts sent to it."""
     parts = [_unpack(m, 4) for m in messages]
     sent, u, v, w = (np.concatenate(c) for c in zip(*parts))
-    head_p1, rest_p1 = voc.log_p1()
     context = _classed(u, v, voc.classes())
     own = np.unique(np.concatenate([np.unique(u), np.unique(w)]))
     u, w = np.searchsorted(own, u).astype(np.uint32), np.searchsorted(own, w).astype(np.uint32)
-    p1 = np.where(own < len(head_p1), head_p1[np.minimum(own, len(head_p1) - 1)], rest_p1) if len(head_p1) else np.full(len(own), rest_p1)
+    n, n_head = np.zeros(len(own), np.int64), int(np.searchsorted(own, len(voc.head)))
+    n[:n_head] = voc.counts[own[:n_head]]
+    for number, *count in (_unpack(m, 3) for m in rare):
+        np.maximum.at(n, np.searchsorted(own, number), _whole(*count).astype(np.int64))
+    p1 = np.log10(n + 1.0) - voc.log_unit
     train = sent & np.uint32(1) == 0
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "trie")
@@ -492,27 +573,23 @@ def _scored_trigrams(messages: list[bytes], voc: Vocabulary) -> list[tuple[np.nd
 
 
 def _answers(messages: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
-    """(chunk, kind, data) for each message: kind 0 as it came, 1 (text, words known, sum of log10 (c + 1)), 2 (text, sum of log10 P)."""
+    """(chunk, kind, data) for each message: kind 0 as it came, 1 (text, words known, sum of log10 (c + 1), that of a first word), 2 (text, sum of log10 P)."""
 
     def answer(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         out = [(c, 0, d) for c, d in zip(rows.chunk[rows.kind == 0], rows.data[rows.kind == 0])]
-        order = np.argsort(words.word.to_numpy())
-        known, n = words.word.to_numpy()[order], words.n.to_numpy()[order]
         for c, d in zip(rows.chunk[rows.kind == 1], rows.data[rows.kind == 1]):
             doc, low, high = _unpack(d, 3)
-            t = (low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))).view(np.int64)
-            at = np.minimum(np.searchsorted(known, t), max(0, len(known) - 1))
-            hit = known[at] == t if len(known) else np.zeros(len(t), bool)
+            doc, first = doc >> np.uint32(1), doc & np.uint32(1)
+            n = _found(words, _whole(low, high))
             there = np.flatnonzero(np.bincount(doc))
-            value = np.where(hit, np.log10(n[at] + 1.0), 0.0) if len(known) else np.zeros(len(t))
-            out.append((c, 1, _squeeze(there, np.bincount(doc, hit)[there].astype(np.int64), np.bincount(doc, value)[there])))
+            value = np.log10(n + 1.0)
+            out.append((c, 1, _squeeze(there, np.bincount(doc, n > 0)[there].astype(np.int64), np.bincount(doc, value)[there], np.bincount(doc, value * first)[there])))
         third = rows[rows.kind == 2]
         if len(third):
-            out += [(c, 2, _squeeze(there, sums)) for c, (there, sums) in zip(third.chunk, _scored_trigrams(list(third.data), voc))]
+            out += [(c, 2, _squeeze(there, sums)) for c, (there, sums) in zip(third.chunk, _scored_trigrams(list(third.data), list(rows.data[rows.kind == 3]), voc))]
         return pd.DataFrame(out, columns=["chunk", "kind", "data"])
 
-    rare = counts.withColumn("shard", F.pmod("word", F.lit(voc.n_shards)).cast("int")).select("shard", "word", "n")
-    return messages.groupBy("shard").cogroup(rare.groupBy("shard")).applyInPandas(answer, "chunk long, kind int, data binary")
+    return messages.groupBy("shard").cogroup(_by_shard(counts, voc)).applyInPandas(answer, "chunk long, kind int, data binary")
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -528,9 +605,10 @@ def scores(docs: DataFrame) -> DataFrame:
         known, same = known.astype(np.float64), len(own)  # equal chunks share their sums
         for kind, data in zip(rows.kind, rows.data):
             if kind == 1:
-                there, hits, value = _stretch(data, "iif")
+                there, hits, value, first = _stretch(data, "iiff")
                 known[there] += hits / same
                 base[there] += value / same
+                score[there] += first / same
             elif kind == 2:
                 there, value = _stretch(data, "if")
                 score[there] += value / same
@@ -541,4 +619,4 @@ def scores(docs: DataFrame) -> DataFrame:
         return pd.concat([out] * same)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _answers(_messages(rows, voc), counts, voc).groupBy("chunk").applyInPandas(total, schema)
+    return _answers(_messages(rows, voc).union(_sent_counts(rows, counts, voc)), counts, voc).groupBy("chunk").applyInPandas(total, schema)

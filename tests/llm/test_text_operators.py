@@ -335,3 +335,15 @@ def test_elias_fano():
         want = np.array([np.searchsorted(v, x) if x in set(v.tolist()) else -1 for x in probe.tolist()])
         assert (ef.find(probe) == want).all()
     assert (ngram.EliasFano.of(np.zeros(0, np.uint64), 1).find(np.array([0, 1], np.uint64)) == -1).all()
+
+
+@pytest.mark.parametrize(("head", "shard", "chunk"), [(20, 500, 3000), (0, 2000, 500)])
+def test_words_outside_the_head_keep_their_counts(spark, monkeypatch, head, shard, chunk):
+    rows = [r for r in odd_rows() if r[1] != LONG] + [(1000 + i, f"rare{i % 9} " + prose(i % 7, 30) + f" rare{i % 5} extra{i}", "", "", 0) for i in range(40)]
+    want = sorted(plain_model(rows), key=lambda r: (repr(r[0]), r[2]))  # with all words in the head
+    for name, value in (("HEAD", head), ("SHARD_TOKENS", shard), ("CHUNK_BYTES", chunk), ("PART", 1e-9)):
+        monkeypatch.setattr(ngram, name, value)
+    got = sorted((tuple(r) for r in ngram.scores(docs(spark, rows, extra=True)).collect()), key=lambda r: (repr(r[0]), r[2]))
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(got, want):
+        assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])

@@ -3,26 +3,30 @@
 Model. Words and one end mark a text are tokens; a trigram model is smoothed by
 interpolated absolute discounting,
 
-    P3(w | u v) = max(c(u v w) - D, 0) / c(u v) + D n(u v) / c(u v) * P2(w | v')
-    P2(w | v')  = max(c(v' w) - D, 0) / c(v') + D n(v') / c(v') * P1(w)
+    P3(w | u v) = max(c(u v w) - D, 0) / c(u v) + D n(u v) / c(u v) * P2(w | v)
+    P2(w | v)   = max(c(v w) - D, 0) / c(v) + D n(v) / c(v) * P1(w)
 
 where n counts different successors. P1 adds one to the count of each word and to that of
-an unknown one, at every size: P1(w) = (c(w) + 1) / (N + V + 1). v' is v or, for a v so frequent that its tokens
-would fill more than a part of a shard, v with one of some classes of the word before it:
-then each class is a context of its own and goes to a shard of its own.
+an unknown one, at every size: P1(w) = (c(w) + 1) / (N + V + 1). A v so frequent that its
+tokens would fill more than a part of a shard is split: its contexts v' are v with one of
+some classes of the word before it, and each v' goes to a shard of its own (v' is v for all
+others). The counts in P2 stay those of the whole v: c(v w) is summed over all classes and
+sent to the classes that meet (v, w).
 
 Three passes over the texts. The first counts words; only the counts of the head of the
 vocabulary, its at most HEAD most frequent words, are known to all tasks. The second tells
-each shard of the vocabulary which shards of contexts hold its rare words, and the counts
-are sent there. The third packs each chunk of texts, for every shard of contexts, into one
-compressed message of (u, v, w) and, for every shard of the vocabulary, one of its rare words. A shard's task puts the training tokens into a
-trie - contexts v', below them words w (bigrams) and words u (contexts), below those words
-w (trigrams) - whose levels are Elias-Fano sequences of parent and word with Elias-Fano
-pointers to each parent's children and 16-bit codes of logarithms, written to a file of
-the task's own and read through a memory map. A query looks for the successor of (parent,
-word) in its level. The answer is one number a text, summed over shards; no task needs
-another's trie and no model is sent around. Only the head of the vocabulary goes to the
-tasks; its size has a bound. What is shuffled grows with the tokens.
+each shard of the vocabulary which shards of contexts hold its rare words, and each shard
+of pairs which of them hold (v, w) of a split v and how often; the counts are sent there.
+The third packs each chunk of texts, for every shard of contexts, into one compressed
+message of (u, v, w) and, for every shard of the vocabulary, one of its rare words. A
+shard's task puts the training tokens into a trie - contexts v', below them words w
+(bigrams) and words u (contexts), below those words w (trigrams) - whose levels are
+Elias-Fano sequences of parent and word with Elias-Fano pointers to each parent's children
+and 16-bit codes of logarithms, written to a file of the task's own and read through a
+memory map. A query looks for the successor of (parent, word) in its level. The answer is
+one number a text, summed over shards; no task needs another's trie and no model is sent
+around. Only the head of the vocabulary goes to the tasks; its size has a bound. What is
+shuffled grows with the tokens.
 
 Rare words are numbers of 32 bits within a trie (of two with one number the larger count
 stands), words in counts are 64-bit hashes.
@@ -39,7 +43,7 @@ import os
 import struct
 import tempfile
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -197,6 +201,16 @@ class Ranked:
         return {"trigram": three, "bigram": two, "longer": longer, "context": np.bincount(self.parent["longer"], longer, minlength=len(self.context))}
 
 
+@dataclass(frozen=True)
+class Whole:
+    """Which of a shard's contexts are classes of a split word; that word's c(v) and n(v), by context, and c(v w), by bigram."""
+
+    split: np.ndarray
+    context: np.ndarray
+    after: np.ndarray
+    bigram: np.ndarray
+
+
 class Trie:
     """A shard's trie; built in memory, written to a file and used through its memory map."""
 
@@ -204,19 +218,21 @@ class Trie:
         self.levels = levels
 
     @classmethod
-    def build(cls, tokens: Ranked, chosen: np.ndarray, log_p1: np.ndarray) -> Trie:
-        """From the chosen tokens, and log10 P1 of each word."""
+    def build(cls, tokens: Ranked, chosen: np.ndarray, log_p1: np.ndarray, whole: Whole | None = None) -> Trie:
+        """From the chosen tokens, log10 P1 of each word and the counts of split contexts."""
         n, c = tokens.n, tokens.counts(chosen)
+        after = np.bincount(tokens.parent["bigram"], c["bigram"] > 0, minlength=len(tokens.context))
+        if whole is not None:
+            c["context"], after = np.where(whole.split, whole.context, c["context"]), np.where(whole.split, whole.after, after)
+            c["bigram"] = np.where(whole.split[tokens.parent["bigram"]], whole.bigram, c["bigram"])
         kept = {k: np.flatnonzero(x) for k, x in c.items()}
         c = {k: x[kept[k]] for k, x in c.items()}
         # ranks among the kept entries; a kept entry's parent is kept
         parent = {k: np.searchsorted(kept["longer" if k == "trigram" else "context"], tokens.parent[k][kept[k]]) for k in ("bigram", "longer", "trigram")}
         word = {"bigram": tokens.bigram[kept["bigram"]] % n, "longer": tokens.longer[kept["longer"]] % n, "trigram": tokens.trigram[kept["trigram"]] % n}
         two_at, three_at = _pointers(parent["bigram"], len(kept["context"])), _pointers(parent["trigram"], len(kept["longer"]))
-        back = {}
-        for level, pointers in (("context", two_at), ("longer", three_at)):
-            children = np.diff(pointers.at(np.arange(len(kept[level]) + 1)).astype(np.int64))
-            back[level] = DISCOUNT * children / np.maximum(c[level], 1)
+        children = {"context": after[kept["context"]], "longer": np.bincount(parent["trigram"], minlength=len(kept["longer"]))}
+        back = {level: DISCOUNT * children[level] / np.maximum(c[level], 1) for level in children}
         at = parent["bigram"]
         p2 = np.maximum(c["bigram"] - DISCOUNT, 0) / c["context"][at] + back["context"][at] * 10.0 ** log_p1[word["bigram"].astype(np.int64)]
         at = parent["trigram"]
@@ -291,13 +307,14 @@ class Trie:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """Totals, the head's sorted hashes with counts, and the words that have classes (by place in the head)."""
+    """Totals, the head's sorted hashes with counts and, for split words (by place in the head), numbers of different successors."""
 
     tokens: int
     types: int
     head: np.ndarray
     counts: np.ndarray
     n_shards: int
+    after: np.ndarray | None = None
 
     @property
     def log_unit(self) -> float:
@@ -394,6 +411,11 @@ def _classed(u: np.ndarray, v: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (v.astype(np.uint64) << np.uint64(16)) + mix64(u.astype(np.uint64)) % m.astype(np.uint64)
 
 
+def _is_split(v: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Whether each numbered word has more than one class."""
+    return (v < len(classes)) & (classes[np.minimum(v, len(classes) - 1)] > 1) if len(classes) else np.zeros(len(v), bool)
+
+
 def _squeeze(*columns: np.ndarray) -> bytes:
     """64-bit columns of one length, compressed."""
     return zstandard.ZstdCompressor(level=1).compress(b"".join([struct.pack("<q", len(columns[0])), *(np.ascontiguousarray(c).tobytes() for c in columns)]))
@@ -458,18 +480,30 @@ def _whole(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
 
 
+def _distinct(key: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, to): where each begins in order, the keys and shards, and that order."""
+    order = np.lexsort((to, key))
+    key, to = key[order], to[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (to[1:] != to[:-1])
+    first = np.flatnonzero(new)
+    return first, key[first], to[first], order
+
+
 def _wanted_rows(texts: list[bytes], held: list[bool], voc: Vocabulary) -> Iterator[tuple[int, int, int, bytes]]:
-    """For each shard of the vocabulary, its rare words that follow others in some texts, with the shards of those contexts."""
+    """Of some texts, for each shard of the vocabulary (kind 0) its rare words that follow others, with the shards of those contexts; for each shard of pairs (kind 1) those of a split v, with the shards of contexts and how often they occur in training."""
     t = Tokens(texts, voc)
-    later, _, _, _, to = t.trigrams(voc)
+    later, _, v, w, shard = t.trigrams(voc)
     at = np.flatnonzero(~t.in_head[later])
-    word, to = t.hash[later[at]], to[at]
-    order = np.lexsort((to, word))
-    word, to = word[order], to[order]
-    new = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (to[1:] != to[:-1])])) if len(word) else at
-    word, to = word[new], to[new]
+    _, word, to, _ = _distinct(t.hash[later[at]], shard[at])
     for s, at in _dealt((word.view(np.int64) % voc.n_shards).astype(np.uint16), voc.n_shards):
         yield s, 0, 0, _pack(*_halves(word[at]), to[at])
+    at = np.flatnonzero(_is_split(v, voc.classes()))
+    if len(at):
+        first, pair, to, order = _distinct(_whole(w[at], v[at]), shard[at])
+        n = np.add.reduceat(~np.array(held, bool)[t.doc[later[at[order]]]], first, dtype=np.int64)
+        for s, at in _dealt((mix64(pair) % np.uint64(voc.n_shards)).astype(np.uint16), voc.n_shards):
+            yield s, 1, 0, _pack(*_halves(pair[at]), to[at], n[at])
 
 
 def _message_rows(ids: list, texts: list[bytes], held: list[bool], voc: Vocabulary) -> Iterator[tuple[int, int, int, bytes]]:
@@ -506,7 +540,7 @@ def _found(words: pd.DataFrame, hashes: np.ndarray) -> np.ndarray:
 
 
 def _sent_counts(docs: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
-    """Messages of kind 3: for each shard of contexts, numbers and counts of the rare words that it meets."""
+    """Messages for each shard of contexts: kind 3 numbers and counts of the rare words that it meets, kind 4 its pairs of a split v and their counts. Beside them, as kind 5, how many pairs (chunk) of a split v (shard) one shard of pairs has."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts, held in _chunks(batches):
@@ -526,6 +560,16 @@ def _sent_counts(docs: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFra
             at, to = at[n[at] > 0], to[n[at] > 0]
             number = _numbers(word, len(voc.head))
             out += [(s, 3, 0, _pack(number[at[k]], *_halves(n[at[k]]))) for s, k in _dealt(to, voc.n_shards)]
+        split = [_unpack(d, 4) for d in rows.data[rows.kind == 1]]
+        if split:
+            low, high, to, n = (np.concatenate(c) for c in zip(*split))
+            pair, at = np.unique(_whole(low, high), return_inverse=True)
+            n = np.bincount(at, n).astype(np.int64)
+            both = np.unique(at.astype(np.int64) * voc.n_shards + to)
+            at, to = both // voc.n_shards, both % voc.n_shards
+            at, to = at[n[at] > 0], to[n[at] > 0]
+            out += [(s, 4, 0, _pack(*_halves(pair[at[k]]), *_halves(n[at[k]]))) for s, k in _dealt(to, voc.n_shards)]
+            out += [(v, 5, m, None) for v, m in zip(*(x.tolist() for x in np.unique((pair[n > 0] >> np.uint64(32)).astype(np.int64), return_counts=True)))]
         return pd.DataFrame(out, columns=["shard", "kind", "chunk", "data"])
 
     schema = "shard int, kind int, chunk long, data binary"
@@ -544,8 +588,27 @@ def _messages(docs: DataFrame, voc: Vocabulary) -> DataFrame:
     return docs.mapInPandas(pack, "shard int, kind int, chunk long, data binary")
 
 
-def _scored_trigrams(messages: list[bytes], rare: list[bytes], voc: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each message of a shard, its texts' numbers and sums of log10 probabilities; rare holds the counts sent to it."""
+def _whole_counts(tokens: Ranked, own: np.ndarray, pairs: list[bytes], voc: Vocabulary) -> Whole | None:
+    """Counts of the split contexts among a shard's tokens (of own words), from the pairs sent to it."""
+    v = (tokens.context >> np.uint64(16)).astype(np.uint32)
+    split = _is_split(v, voc.classes())
+    if not split.any():
+        return None
+    at, n = np.where(split, v, 0), np.zeros(len(tokens.bigram), np.int64)
+    if pairs:
+        *pair, low, high = (np.concatenate(c) for c in zip(*(_unpack(m, 4) for m in pairs)))
+        pair, count = _whole(*pair), _whole(low, high).astype(np.int64)
+        order = np.argsort(pair)
+        pair, count = pair[order], count[order]
+        here = np.flatnonzero(split[tokens.parent["bigram"]])
+        key = _whole(own[(tokens.bigram[here] % tokens.n).astype(np.int64)], v[tokens.parent["bigram"][here]])
+        place = np.minimum(np.searchsorted(pair, key), len(pair) - 1)
+        n[here] = np.where(pair[place] == key, count[place], 0)
+    return Whole(split, voc.counts[at], voc.after[at], n)
+
+
+def _scored_trigrams(messages: list[bytes], rare: list[bytes], pairs: list[bytes], voc: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each message of a shard, its texts' numbers and sums of log10 probabilities; rare and pairs hold the counts sent to it."""
     parts = [_unpack(m, 4) for m in messages]
     sent, u, v, w = (np.concatenate(c) for c in zip(*parts))
     context = _classed(u, v, voc.classes())
@@ -560,7 +623,7 @@ def _scored_trigrams(messages: list[bytes], rare: list[bytes], voc: Vocabulary)
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "trie")
         tokens = Ranked(context, u, w, len(own))
-        Trie.build(tokens, train, p1).save(path)
+        Trie.build(tokens, train, p1, _whole_counts(tokens, own, pairs, voc)).save(path)
         value = Trie.load(path).score(tokens, p1)
     out, at = [], 0
     for part in parts:
@@ -586,7 +649,7 @@ def _answers(messages: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFra
             out.append((c, 1, _squeeze(there, np.bincount(doc, n > 0)[there].astype(np.int64), np.bincount(doc, value)[there], np.bincount(doc, value * first)[there])))
         third = rows[rows.kind == 2]
         if len(third):
-            out += [(c, 2, _squeeze(there, sums)) for c, (there, sums) in zip(third.chunk, _scored_trigrams(list(third.data), list(rows.data[rows.kind == 3]), voc))]
+            out += [(c, 2, _squeeze(there, sums)) for c, (there, sums) in zip(third.chunk, _scored_trigrams(list(third.data), list(rows.data[rows.kind == 3]), list(rows.data[rows.kind == 4]), voc))]
         return pd.DataFrame(out, columns=["chunk", "kind", "data"])
 
     return messages.groupBy("shard").cogroup(_by_shard(counts, voc)).applyInPandas(answer, "chunk long, kind int, data binary")
@@ -598,6 +661,11 @@ def scores(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (crc_mod("doc_id", HELD_OUT_OF) == HELD_OUT).alias("held_out"))
     counts = stored(counted(rows), "ngram-words")
     voc = vocabulary(counts)
+    sent = stored(_sent_counts(rows, counts, voc), "ngram-sent")
+    after = np.zeros(len(voc.head), np.int64)
+    for r in sent.filter("kind = 5").groupBy("shard").agg(F.sum("chunk").alias("n")).collect():  # split words, at most HEAD
+        after[r.shard] = r.n
+    voc = replace(voc, after=after)
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
         own = list(rows.data[rows.kind == 0])
@@ -619,4 +687,4 @@ def scores(docs: DataFrame) -> DataFrame:
         return pd.concat([out] * same)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _answers(_messages(rows, voc).union(_sent_counts(rows, counts, voc)), counts, voc).groupBy("chunk").applyInPandas(total, schema)
+    return _answers(_messages(rows, voc).union(sent.filter("kind < 5")), counts, voc).groupBy("chunk").applyInPandas(total, schema)

@@ -347,3 +347,16 @@ def test_words_outside_the_head_keep_their_counts(spark, monkeypatch, head, shar
     assert [g[:5] for g in got] == [w[:5] for w in want]
     for g, w in zip(got, want):
         assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])
+
+
+@pytest.mark.parametrize(("head", "shard", "chunk"), [(1 << 17, 500, 3000), (20, 500, 3000)])
+def test_split_contexts_keep_the_counts_of_the_whole_word(spark, monkeypatch, head, shard, chunk):
+    rows = [r for r in odd_rows() if r[1] != LONG] + [(1000 + i, " ".join(f"the {w} of" for w in prose(i % 7, 30).split()) + f" extra{i}", "", "", 0) for i in range(40)]
+    want = sorted(plain_model(rows), key=lambda r: (repr(r[0]), r[2]))
+    for name, value in (("HEAD", head), ("SHARD_TOKENS", shard), ("CHUNK_BYTES", chunk), ("PART", 20)):
+        monkeypatch.setattr(ngram, name, value)
+    marked = docs(spark, rows).withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2)
+    assert ngram.vocabulary(ngram.counted(marked)).classes().max() > 5
+    got = sorted((tuple(r) for r in ngram.scores(docs(spark, rows, extra=True)).collect()), key=lambda r: (repr(r[0]), r[2]))
+    for g, w in zip(got, want):
+        assert g[:5] == w[:5] and g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])

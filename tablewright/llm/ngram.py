@@ -38,6 +38,7 @@ extra columns play no part.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import os
 import struct
@@ -513,7 +514,10 @@ def _message_rows(ids: list, texts: list[bytes], held: list[bool], voc: Vocabula
     base = np.where(t.in_head, np.log10(voc.counts + 1.0)[t.place], 0.0) if len(voc.head) else np.zeros(len(t.hash))
     null = np.array([i is None or i != i for i in ids])
     own = np.array([0 if x else int(i) for i, x in zip(ids, null)], np.int64)
-    chunk = int((np.bitwise_xor.reduce(mix64(own.view(np.uint64) + mix64(n.astype(np.uint64)) + mix64(np.arange(len(n), dtype=np.uint64)))) >> np.uint64(1)).astype(np.int64))
+    whole = hashlib.blake2b(digest_size=8)
+    for part in (own, null, np.array(held, bool), np.array([len(x) for x in texts], np.int64), *texts):
+        whole.update(part)
+    chunk = int.from_bytes(whole.digest(), "little") >> 1  # equal for chunks with equal rows only
     yield chunk % voc.n_shards, 0, chunk, _squeeze(own, null.astype(np.int64), np.array(held, np.int64), n, np.add.reduceat(t.in_head.astype(np.int64), start), np.add.reduceat(base, start), base[start] - voc.log_unit)
     for s, at in _dealt((t.hash[t.rare].view(np.int64) % voc.n_shards).astype(np.uint16), voc.n_shards):
         at = t.rare[at]

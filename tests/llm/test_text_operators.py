@@ -360,3 +360,12 @@ def test_split_contexts_keep_the_counts_of_the_whole_word(spark, monkeypatch, he
     got = sorted((tuple(r) for r in ngram.scores(docs(spark, rows, extra=True)).collect()), key=lambda r: (repr(r[0]), r[2]))
     for g, w in zip(got, want):
         assert g[:5] == w[:5] and g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])
+
+
+def test_chunks_with_other_texts_are_not_taken_for_equal(spark):
+    rows = [(None, t, "", "", 0) for t in ("one two three", "four one five", "six one two", "six one two")] + [(1, "one two one two", "", "", 0)]
+    got = sorted((tuple(r) for r in ngram.scores(docs(spark, rows[:1]).union(docs(spark, rows[1:2])).union(docs(spark, rows[2:3])).union(docs(spark, rows[3:4])).union(docs(spark, rows[4:]))).collect()), key=repr)
+    want = sorted(plain_model(rows), key=repr)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    for g, w in zip(sorted(got, key=lambda r: (repr(r[0]), r[6])), sorted(want, key=lambda r: (repr(r[0]), r[6]))):
+        assert g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])

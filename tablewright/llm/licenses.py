@@ -3,7 +3,10 @@
 A text is brought into a canonical form - lower case, no copyright lines, one spelling
 for equivalent words, no punctuation, single spaces - and the SHA-256 digest of the whole
 form is joined to the digests of known licences, which the same expressions make from
-the texts in KNOWN. Texts that differ only in what the canonical form drops are equal.
+the texts in KNOWN and in the files of texts/ (whole licences, named by id up to an
+underscore). Texts that differ only in what the canonical form drops are equal. Where a
+licence follows a copyright notice on the notice's own line, the line is dropped from the
+digest given out, and the licence is looked up by a second form without the notice alone.
 
 Defined cases: a null text is an empty one; an empty canonical form matches nothing; a
 text that several ids share gets the first of them; extra columns play no part.
@@ -11,6 +14,8 @@ text that several ids share gets the first of them; extra columns play no part.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +51,11 @@ SPELLINGS = [
 #: Titles that stand above a licence's own words, and lines that name a holder: whole lines, dropped.
 COPYRIGHT_LINE = r"(?md)^[^a-z\n]*(copyright[ \t]*(\(c\)|©|[0-9]|holder:|by )|\(c\)|©|all rights reserved)[^\n]*$"
 TITLE_LINE = r"(?md)^[ \t]*(the )?((mit|isc|zlib|bsd [023]-clause|bsd zero clause|(simplified|new|modified) bsd) license)( \(.*\))?[ \t\r]*$"
+#: First words of short licences and notices, and a notice of a holder (behind a title or not) that one of them follows on its line.
+OPENINGS = r"permission is hereby granted|permission to use, copy|redistribution and use in|this software is provided 'as-is'|licensed under|released under|this work is licensed|boost software license|this font software is licensed"
+NOTICE = COPYRIGHT_LINE.replace("^[^a-z\\n]*", r"^[^a-z\n]*(?:(?:the )?(?:mit|isc|zlib|bsd [023]-clause|bsd zero clause|(?:simplified|new|modified) bsd) license[^a-z\n]*)?").replace("[^\\n]*$", rf"[^\n]*?\b(?={OPENINGS})")
+#: The line that ends the terms of a licence; what comes after tells how to apply it and may be left out.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 #: What isn't a letter, digit or other non-ASCII sign, and typographic signs.
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F ‐-―‘-‟•…]+"
 
@@ -65,14 +75,36 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text).cast("binary"), 256)
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """(digest, license_id), one row a digest; as many rows as known has at most."""
+def digest_behind_notice(text: Column) -> Column:
+    """The digest without the notices that a licence follows on one line; null where there are none."""
+    lower = F.translate(text, UPPER, LOWER)
+    there = (lower.contains("copyright") | lower.contains("(c)") | lower.contains("©")) & lower.rlike(NOTICE)
+    return F.when(there, digest(F.regexp_replace(lower, NOTICE, "")))
+
+
+def whole_licenses() -> list[tuple[str, str]]:
+    """(id, text) of the files of texts/, each also without what follows its terms, and all of these also on one line (where no notice is a line to drop)."""
+    out = []
+    for path in sorted((Path(__file__).parent / "texts").glob("*.txt")):
+        name, text = path.stem.split("_")[0], path.read_text("utf-8")
+        out.append((name, text))
+        if END_OF_TERMS in text:
+            out.append((name, text[: text.index(END_OF_TERMS) + len(END_OF_TERMS)]))
+    return out + [(name, " ".join(text.split())) for name, text in out]
+
+
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = None) -> DataFrame:
+    """(digest, license_id), one row a digest; as many rows as known (KNOWN and whole_licenses() unless given) has at most."""
+    known = KNOWN + whole_licenses() if known is None else known
     rows = spark.createDataFrame(known, "license_id string, text string").filter(canonical(F.col("text")) != "")
     return rows.groupBy(digest(F.col("text")).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
-def scanned(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def scanned(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFrame:
     """Per row of docs: doc_id, digest, license_id (null: none known) and is_license."""
-    spark = docs.sparkSession
-    # known is a list in this module or of a caller on the driver, a few kilobytes
-    return docs.select("doc_id", digest(F.col("text")).alias("digest")).join(F.broadcast(known_digests(spark, known)), "digest", "left").select("doc_id", "digest", "license_id", F.col("license_id").isNotNull().alias("is_license"))
+    # texts of this module or of a caller on the driver; what is broadcast are their digests, a few kilobytes
+    ids = known_digests(docs.sparkSession, known)
+    second = F.broadcast(ids.select(F.col("digest").alias("second"), F.col("license_id").alias("second_id")))
+    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), digest_behind_notice(F.col("text")).alias("second"))
+    found = rows.join(F.broadcast(ids), "digest", "left").join(second, "second", "left").withColumn("license_id", F.coalesce("license_id", "second_id"))
+    return found.select("doc_id", "digest", "license_id", F.col("license_id").isNotNull().alias("is_license"))

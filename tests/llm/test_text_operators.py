@@ -60,6 +60,17 @@ def test_licences(spark):
     assert licenses.scanned(docs(spark, rows)).count() == len(rows) and licenses.scanned(docs(spark, [])).count() == 0
 
 
+def test_whole_licences_and_licences_behind_a_notice(spark):
+    whole = dict(licenses.whole_licenses())
+    mit, bsd = licenses.KNOWN[0][1], licenses.KNOWN[3][1]
+    full = next(t for i, t in licenses.whole_licenses() if i == "GPL-3.0")
+    assert len(full) > 30_000
+    texts = [("GPL-3.0", full), ("GPL-3.0", "  ".join(full.split("\n"))), ("MPL-2.0", whole["MPL-2.0"].upper()), ("CC0-1.0", whole["CC0-1.0"]), ("Apache-2.0", whole["Apache-2.0"]), (None, full[:20_000]),
+             ("MIT", "Copyright (c) 2020 Some One " + mit), ("MIT", "MIT License Copyright (c) 2020 Some One. All rights reserved. " + mit), ("BSD-2-Clause", "© 2019 Ada B\nCopyright 2020 Some One " + bsd), (None, "Copyright (c) 2020 Some One " + mit + " and more"), (None, "Copyright 2020 Some One and others")]
+    out = {r.doc_id: r.license_id for r in licenses.scanned(docs(spark, [(k, t, "", "", 0) for k, (_, t) in enumerate(texts)])).collect()}
+    assert [out[k] for k in range(len(texts))] == [i for i, _ in texts]
+
+
 def test_licences_are_native(spark, capsys):
     licenses.scanned(docs(spark)).explain()
     assert "Python" not in capsys.readouterr().out

@@ -90,9 +90,9 @@ def measured(docs: DataFrame, seed: str = SEED) -> DataFrame:
     return docs.select("doc_id", F.coalesce("source", F.lit("")).alias("src"), F.col("source").isNull().alias("src_null"), words(F.col("text")).alias("size"), order_key(F.col("doc_id"), seed).alias("key"))
 
 
-def copies() -> Column:
-    """Repetitions of a row beside its source's whole, key and threshold."""
-    return F.col("whole") + F.when(F.col("key") < F.col("threshold"), 1).otherwise(0)
+def copies(whole: Column, key: Column, threshold: Column, max_epochs: int = MAX_EPOCHS) -> Column:
+    """Repetitions of a row beside its source's whole repetitions and threshold: never more than max_epochs, whatever its size."""
+    return whole + F.when((whole < max_epochs) & (key < threshold), 1).otherwise(0)
 
 
 def _salt(key: Column) -> Column:
@@ -109,7 +109,8 @@ def taken(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
     sized = stored(measured(docs, seed), "mix-sizes")
     plans = stored(plan(sized, weights, max_epochs), "mix-plan")
     joined = sized.withColumn("salt", _salt(F.col("key"))).join(_salted(plans, "salt"), ["src", "src_null", "salt"], "left")
-    return joined.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * copies()).alias("taken"), copies().alias("copies"))
+    n = copies(F.col("whole"), F.col("key"), F.col("threshold"), max_epochs)
+    return joined.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", (F.col("size") * n).alias("taken"), n.alias("copies"))
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
@@ -119,6 +120,6 @@ def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int
     plans = stored(plan(sized, weights, max_epochs), "mix-plan").select(F.col("src").alias("__mix_src"), F.col("src_null").alias("__mix_null"), F.col("whole").alias("__mix_whole"), F.col("threshold").alias("__mix_threshold"))
     plans = _salted(plans, "__mix_salt")
     on = (_salt(order_key(docs["doc_id"], seed)) == F.col("__mix_salt")) & (F.coalesce(docs["source"], F.lit("")) == F.col("__mix_src")) & (docs["source"].isNull() == F.col("__mix_null"))
-    n = F.col("__mix_whole") + F.when(order_key(docs["doc_id"], seed) < F.col("__mix_threshold"), 1).otherwise(0)
+    n = copies(F.col("__mix_whole"), order_key(docs["doc_id"], seed), F.col("__mix_threshold"), max_epochs)
     times = F.explode(F.sequence(F.lit(1), n.cast("int"))).alias("__mix_copy")
     return docs.join(plans, on).filter(n > 0).select(*[docs[c] for c in docs.columns], times).drop("__mix_copy")

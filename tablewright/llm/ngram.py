@@ -17,19 +17,24 @@ Three passes over the texts. The first counts words; only the counts of the head
 vocabulary, its at most HEAD most frequent words, are known to all tasks. The second tells
 each shard of the vocabulary which shards of contexts hold its rare words, and each shard
 of pairs which of them hold (v, w) of a split v and how often; the counts are sent there.
-The third packs each chunk of texts, for every shard of contexts, into one compressed
-message of (u, v, w) and, for every shard of the vocabulary, one of its rare words. A
-shard's task puts the training tokens into a trie - contexts v', below them words w
-(bigrams) and words u (contexts), below those words w (trigrams) - whose levels are
-Elias-Fano sequences of parent and word with Elias-Fano pointers to each parent's children
-and 16-bit codes of logarithms, written to a file of the task's own and read through a
-memory map. A query looks for the successor of (parent, word) in its level. The answer is
-one number a text, summed over shards; no task needs another's trie and no model is sent
-around. Only the head of the vocabulary goes to the tasks; its size has a bound. What is
-shuffled grows with the tokens.
-
-Rare words are numbers of 32 bits within a trie (of two with one number the larger count
-stands), words in counts are 64-bit hashes.
+The third packs each chunk of texts, for every shard of contexts that it meets, into one
+compressed message of (u, v, w); a text's first word, if rare, goes to a shard by itself.
+Beyond common.DIRECT shards, messages go to groups of shards and are dealt out again
+there, and answers return the same way, so that their number grows with the tokens.
+
+A shard's task puts the training tokens into a trie - contexts v', below them words w
+(bigrams) and words u (contexts), below those words w (trigrams). A level's entries are
+one Elias-Fano sequence, in which the words of a parent's children stand above the last
+one of the parent before; a second Elias-Fano sequence points to where each parent's
+children begin; 16-bit codes hold logarithms. Levels are written to a file of the task's
+own and read through a memory map. A query takes the two pointers of its context, and from
+them the offset that makes its word comparable, and looks for that number's successor
+between them. The answer is three numbers a text, summed over shards; no task needs
+another's trie and no model is sent around. Only the head of the vocabulary goes to the
+tasks; its size has a bound. What is shuffled grows with the tokens.
+
+Words are 64-bit hashes where they are counted and predicted; as contexts, rare words are
+numbers of 32 bits (two with one number are one context).
 
 Defined cases: null and empty texts are one end mark; an empty training set gives every
 token the unknown word's probability; rows that are equal in doc_id and text have equal scores;
@@ -52,7 +57,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import crc_mod, mix64, short_batches, stored
+from tablewright.llm.common import crc_mod, dealt, groups_for, mix64, relayed, short_batches, stored
 from tablewright.llm.tokens import word_hashes
 
 HELD_OUT_OF, HELD_OUT = 7, 2
@@ -66,6 +71,8 @@ STEP = 14 / 65535
 END = np.uint64(0x656E64)
 #: The number that stands for no word, before a text's first.
 _NO_WORD = (1 << 32) - 1
+#: Bits of a context's number that hold its class.
+_CLASS_BITS = 31
 
 
 # --- Elias-Fano ------------------------------------------------------------
@@ -136,19 +143,23 @@ class EliasFano:
         """The i-th values."""
         return ((self._one(i) - i).astype(np.uint64) << np.uint64(self.l)) | self._low(i)
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x in the sequence, through its successor; -1 where the successor is another number. x must be sorted: equal upper parts are looked up once."""
+    def find(self, x: np.ndarray, first: np.ndarray | None = None, last: np.ndarray | None = None) -> np.ndarray:
+        """Index of each x in the sequence, through its successor, which is sought between places first and last (exclusive) where they are given; -1 where the successor is another number. x must be sorted: equal upper parts are looked up once."""
         out = np.full(len(x), -1, np.int64)
-        n = int(np.searchsorted(x, np.uint64(int(self.zeros_before[-1]) << self.l))) if self.n else 0  # beyond lies no successor
+        most = (int(self.zeros_before[-1]) << self.l) - 1  # beyond lies no successor
+        n = int(np.searchsorted(x, np.uint64(min(most, (1 << 64) - 1)), "right")) if self.n else 0
         if not n:
             return out
         high, low = (x[:n] >> np.uint64(self.l)).astype(np.int64), x[:n] & np.uint64((1 << self.l) - 1)
         new = np.concatenate([[True], high[1:] != high[:-1]])
         h, at = high[new], np.cumsum(new) - 1
         end = self._zero(h) - h
-        lo, hi = (self._zero(np.maximum(h - 1, 0)) - h + 1) * (h > 0), end
-        open_ = np.flatnonzero((lo < hi)[at])
-        lo, hi, end, low = lo[at[open_]], hi[at[open_]], end[at[open_]], low[open_]
+        lo, hi = ((self._zero(np.maximum(h - 1, 0)) - h + 1) * (h > 0))[at], end[at]
+        if first is not None:
+            lo, hi = np.maximum(lo, first[:n]), np.minimum(hi, last[:n])
+        open_ = np.flatnonzero(lo < hi)
+        lo, hi, low = lo[open_], hi[open_], low[open_]
+        end = hi.copy()
         while True:
             go = np.flatnonzero(lo < hi)
             if not len(go):
@@ -167,20 +178,43 @@ def _codes(log10: np.ndarray) -> np.ndarray:
 
 
 class Level:
-    """One level of a trie: (parent, word) in order, codes, and pointers to the children of each entry."""
+    """One level of a trie: the children of each parent in order, their codes, and pointers to where each parent's begin (none at the top).
+
+    Parent p's child of word w is the number base(p) + w, where base(p) is one above the
+    last number before p's: 0 or more lies between, so that the sequence stays monotone
+    and its universe small, but a number means a word only beside its parent's pointers.
+    """
 
     def __init__(self, keys: EliasFano, codes: np.ndarray, pointers: EliasFano | None = None):
         self.keys, self.codes, self.pointers = keys, codes, pointers
 
+    @classmethod
+    def of(cls, parent: np.ndarray, word: np.ndarray, n_parents: int, codes: np.ndarray) -> Level:
+        """From children in order of parent and word."""
+        start = np.searchsorted(parent, np.arange(n_parents + 1))
+        room = np.where(start[1:] > start[:-1], word[np.maximum(start[1:], 1) - 1].astype(np.int64) + 1, 0) if len(word) else np.zeros(n_parents, np.int64)
+        base = np.concatenate([[0], np.cumsum(room)])
+        return cls(EliasFano.of(base[parent] + word.astype(np.int64), int(base[-1]) + 1), codes, EliasFano.of(start, len(parent) + 1))
+
+    def find(self, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Place of each (parent, word), in this order, or -1."""
+        out = np.full(len(parent), -1, np.int64)
+        if not self.keys.n or not len(parent):
+            return out
+        new = np.concatenate([[True], parent[1:] != parent[:-1]])
+        p, at = parent[new], np.cumsum(new) - 1
+        first, last = (self.pointers.at(x).astype(np.int64) for x in (p, p + 1))
+        base = np.where(first > 0, self.keys.at(np.maximum(first - 1, 0)).astype(np.int64) + 1, 0)
+        top = np.where(last > first, self.keys.at(np.maximum(last - 1, 0)).astype(np.int64), -1)
+        x = base[at] + word.astype(np.int64)
+        near = np.flatnonzero(x <= top[at])
+        out[near] = self.keys.find(x[near].astype(np.uint64), first[at[near]], last[at[near]])
+        return out
+
     def log10(self, i: np.ndarray) -> np.ndarray:
         return -STEP * self.codes[i]
 
 
-def _pointers(parent: np.ndarray, n: int) -> EliasFano:
-    """Where each of n parents' children begin, and the end, from the children's sorted parents."""
-    return EliasFano.of(np.searchsorted(parent, np.arange(n + 1)), len(parent) + 1)
-
-
 class Ranked:
     """Tokens (v', u, w) as ranks in each level: distinct keys in order, and each token's place among them."""
 
@@ -231,7 +265,6 @@ class Trie:
         # ranks among the kept entries; a kept entry's parent is kept
         parent = {k: np.searchsorted(kept["longer" if k == "trigram" else "context"], tokens.parent[k][kept[k]]) for k in ("bigram", "longer", "trigram")}
         word = {"bigram": tokens.bigram[kept["bigram"]] % n, "longer": tokens.longer[kept["longer"]] % n, "trigram": tokens.trigram[kept["trigram"]] % n}
-        two_at, three_at = _pointers(parent["bigram"], len(kept["context"])), _pointers(parent["trigram"], len(kept["longer"]))
         children = {"context": after[kept["context"]], "longer": np.bincount(parent["trigram"], minlength=len(kept["longer"]))}
         back = {level: DISCOUNT * children[level] / np.maximum(c[level], 1) for level in children}
         at = parent["bigram"]
@@ -241,15 +274,13 @@ class Trie:
         p3 = np.maximum(c["trigram"] - DISCOUNT, 0) / c["longer"][at] + back["longer"][at] * p2[below]
         log = lambda p: _codes(np.log10(np.maximum(p, 1e-300)))
 
-        def keys(level: str, above: str) -> EliasFano:
-            return EliasFano.of(parent[level].astype(np.uint64) * n + word[level], max(1, len(kept[above]) * int(n)))
-
         v = tokens.context[kept["context"]]
+        n_contexts, n_longer = len(kept["context"]), len(kept["longer"])
         return cls({
-            "context": Level(EliasFano.of(v, int(v[-1]) + 1 if len(v) else 1), log(back["context"]), two_at),
-            "bigram": Level(keys("bigram", "context"), log(p2)),
-            "longer": Level(keys("longer", "context"), log(back["longer"]), three_at),
-            "trigram": Level(keys("trigram", "longer"), log(p3)),
+            "context": Level(EliasFano.of(v, int(v[-1]) + 1 if len(v) else 1), log(back["context"])),
+            "bigram": Level.of(parent["bigram"], word["bigram"], n_contexts, log(p2)),
+            "longer": Level.of(parent["longer"], word["longer"], n_contexts, log(back["longer"])),
+            "trigram": Level.of(parent["trigram"], word["trigram"], n_longer, log(p3)),
         })
 
     def save(self, path: str) -> None:
@@ -290,7 +321,7 @@ class Trie:
                 out = self.levels[name].keys.find(keys)
             else:
                 there = np.flatnonzero(above >= 0)
-                out[there] = self.levels[name].keys.find(above[there].astype(np.uint64) * n + keys[there] % n)
+                out[there] = self.levels[name].find(above[there], keys[there] % n)
             value[out >= 0] = self.levels[name].log10(out[out >= 0])
             return out, value
 
@@ -325,20 +356,21 @@ class Vocabulary:
     def classes(self) -> np.ndarray:
         """How many classes the contexts of each head word are split into."""
         share = max(1, self.tokens // (self.n_shards * PART))
-        return np.minimum(1 + self.counts // share, 1 << 15)
+        return np.minimum(1 + self.counts // share, 1 << _CLASS_BITS)
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    """Unsigned 32-bit columns as planes of bytes, compressed."""
+    """Unsigned 32-bit columns, of any lengths, as planes of bytes, compressed."""
     planes = b"".join(np.ascontiguousarray(c.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for c in columns)
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<q", len(columns[0])) + planes)
+    return zstandard.ZstdCompressor(level=1).compress(struct.pack(f"<{len(columns)}q", *map(len, columns)) + planes)
 
 
 def _unpack(raw: bytes, n_columns: int) -> list[np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(raw)
-    n = struct.unpack_from("<q", data)[0]
-    planes = np.frombuffer(data, np.uint8, n_columns * 4 * n, 8).reshape(n_columns, 4, n)
-    return [np.ascontiguousarray(p.T).view("<u4").reshape(-1) for p in planes]
+    data, at, out = zstandard.ZstdDecompressor().decompress(raw), 8 * n_columns, []
+    for n in struct.unpack_from(f"<{n_columns}q", data):
+        out.append(np.ascontiguousarray(np.frombuffer(data, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").reshape(-1))
+        at += 4 * n
+    return out
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes], list[bool]]]:
@@ -409,7 +441,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 def _classed(u: np.ndarray, v: np.ndarray, classes: np.ndarray) -> np.ndarray:
     """Keys of contexts v' from numbers of the two words before."""
     m = np.where(v < len(classes), classes[np.minimum(v, len(classes) - 1)], 1) if len(classes) else np.ones(len(v), np.int64)
-    return (v.astype(np.uint64) << np.uint64(16)) + mix64(u.astype(np.uint64)) % m.astype(np.uint64)
+    return (v.astype(np.uint64) << np.uint64(_CLASS_BITS)) + mix64(u.astype(np.uint64)) % m.astype(np.uint64)
 
 
 def _is_split(v: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -429,9 +461,10 @@ def _stretch(raw: bytes, kinds: str) -> list[np.ndarray]:
     return [np.frombuffer(data, np.int64 if k == "i" else np.float64, n, 8 + 8 * n * j) for j, k in enumerate(kinds)]
 
 
-def _numbers(rare: np.ndarray, n_head: int) -> np.ndarray:
-    """Numbers of 32 bits, after those of the head, of rare words' hashes."""
-    return (n_head + mix64(rare) % np.uint64(_NO_WORD - n_head)).astype(np.uint32)
+def _numbers(rare: np.ndarray, n_head: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of 32 bits, after those of the head, of rare words' hashes, and 32 bits more that tell words with one number apart."""
+    h = mix64(rare)
+    return (n_head + h % np.uint64(_NO_WORD - n_head)).astype(np.uint32), (h >> np.uint64(32)).astype(np.uint32)
 
 
 class Tokens:
@@ -448,27 +481,24 @@ class Tokens:
         self.hash[inner] = words
         self.place = np.minimum(np.searchsorted(voc.head, self.hash), max(0, n_head - 1))
         self.in_head = voc.head[self.place] == self.hash if n_head else np.zeros(len(self.hash), bool)
-        self.rare = np.flatnonzero(~self.in_head)
-        self.number = self.place.astype(np.uint32)
-        self.number[self.rare] = _numbers(self.hash[self.rare], n_head)
+        self.number, self.more = self.place.astype(np.uint32), np.zeros(len(self.hash), np.uint32)
+        rare = ~self.in_head
+        self.number[rare], self.more[rare] = _numbers(self.hash[rare], n_head)
         self.doc = np.repeat(np.arange(len(texts), dtype=np.uint32), self.n)
 
-    def trigrams(self, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Places of tokens that have a context, their u, v and w, and the shards of the contexts."""
-        later = np.ones(len(self.hash), bool)
-        later[self.start] = False
-        later = np.flatnonzero(later)  # a text's first token has no context
-        w, v = self.number[later], self.number[later - 1]
-        u = np.where(later - 1 > self.start[self.doc[later]], self.number[np.maximum(later - 2, 0)], np.uint32(_NO_WORD))
-        return later, u, v, w, (mix64(_classed(u, v, voc.classes())) % np.uint64(voc.n_shards)).astype(np.uint16)
+    def sent(self, voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the tokens that shards score, their u, v and w, and the shards: those of contexts; a first word has none (v is _NO_WORD), is sent if rare, and goes by itself."""
+        first = np.zeros(len(self.hash), bool)
+        first[self.start] = True
+        at = np.flatnonzero(~first | ~self.in_head)
+        w, first = self.number[at], first[at]
+        v = np.where(first, np.uint32(_NO_WORD), self.number[np.maximum(at - 1, 0)])
+        u = np.where(first | (at - 1 <= self.start[self.doc[at]]), np.uint32(_NO_WORD), self.number[np.maximum(at - 2, 0)])
+        return at, u, v, w, _shards(u, v, w, voc)
 
 
-def _dealt(to: np.ndarray, n_shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For each shard that has any, the places that go to it."""
-    order = np.argsort(to, kind="stable")
-    cut = np.searchsorted(to[order], np.arange(n_shards + 1))
-    for s in np.flatnonzero(np.diff(cut)).tolist():
-        yield s, order[cut[s] : cut[s + 1]]
+def _shards(u: np.ndarray, v: np.ndarray, w: np.ndarray, voc: Vocabulary) -> np.ndarray:
+    return (mix64(np.where(v == _NO_WORD, w.astype(np.uint64), _classed(u, v, voc.classes()))) % np.uint64(voc.n_shards)).astype(np.int64)
 
 
 def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -491,20 +521,56 @@ def _distinct(key: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return first, key[first], to[first], order
 
 
+#: Kinds of messages: asked are a rare word's count and the counts of pairs of a split v; told are those counts; a chunk's texts, its tokens, and the chunks that a relay took together.
+_WORD, _PAIR, _COUNT, _COUNTS, _SUCCESSORS, _TEXTS, _TOKENS, _BATCH = range(8)
+_MESSAGE = "shard long, kind int, chunk long, data binary"
+_COLUMNS = ["shard", "kind", "chunk", "data"]
+#: Columns of messages of each kind that a relay deals out again, and how to tell their shard.
+_WIDTH = {_WORD: 4, _PAIR: 5, _COUNT: 6, _COUNTS: 6}
+
+
+def _word_shard(word: np.ndarray, voc: Vocabulary) -> np.ndarray:
+    return word.view(np.int64) % voc.n_shards
+
+
+def _pair_shard(pair: np.ndarray, voc: Vocabulary) -> np.ndarray:
+    return (mix64(pair) % np.uint64(voc.n_shards)).astype(np.int64)
+
+
+def _deal(shard: np.ndarray, voc: Vocabulary, kind: int, chunk: int, *columns: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+    """One message of columns to each shard, or to each group of shards where there are many."""
+    for s, at in dealt(shard % groups_for(voc.n_shards)):
+        yield s, kind, chunk, _pack(*(c[at] for c in columns))
+
+
+def _dealt_again(voc: Vocabulary):
+    """What relayed() does with the messages of _wanted_rows() and of tell()."""
+
+    def again(kind: int, _: int, held: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        if kind not in _WIDTH:  # bound for a chunk, not for a shard
+            yield from ((c % voc.n_shards, kind, c, d) for c, d in held)
+            return
+        columns = [np.concatenate(c) for c in zip(*(_unpack(d, _WIDTH[kind]) for _, d in held))]
+        first = _whole(*columns[:2])
+        shard = _word_shard(first, voc) if kind == _WORD else _pair_shard(first, voc) if kind == _PAIR else _whole(*columns[4:6]).astype(np.int64)
+        for s, at in dealt(shard):
+            yield s, kind, 0, _pack(*(c[at] for c in columns))
+
+    return again
+
+
 def _wanted_rows(texts: list[bytes], held: list[bool], voc: Vocabulary) -> Iterator[tuple[int, int, int, bytes]]:
-    """Of some texts, for each shard of the vocabulary (kind 0) its rare words that follow others, with the shards of those contexts; for each shard of pairs (kind 1) those of a split v, with the shards of contexts and how often they occur in training."""
+    """Of some texts, for each shard of the vocabulary its rare words, with the shards that meet them; for each shard of pairs those of a split v, with the shards of contexts and how often they occur in training."""
     t = Tokens(texts, voc)
-    later, _, v, w, shard = t.trigrams(voc)
-    at = np.flatnonzero(~t.in_head[later])
-    _, word, to, _ = _distinct(t.hash[later[at]], shard[at])
-    for s, at in _dealt((word.view(np.int64) % voc.n_shards).astype(np.uint16), voc.n_shards):
-        yield s, 0, 0, _pack(*_halves(word[at]), to[at])
+    sent, _, v, w, shard = t.sent(voc)
+    at = np.flatnonzero(~t.in_head[sent])
+    _, word, to, _ = _distinct(t.hash[sent[at]], shard[at])
+    yield from _deal(_word_shard(word, voc), voc, _WORD, 0, *_halves(word), *_halves(to))
     at = np.flatnonzero(_is_split(v, voc.classes()))
     if len(at):
         first, pair, to, order = _distinct(_whole(w[at], v[at]), shard[at])
-        n = np.add.reduceat(~np.array(held, bool)[t.doc[later[at[order]]]], first, dtype=np.int64)
-        for s, at in _dealt((mix64(pair) % np.uint64(voc.n_shards)).astype(np.uint16), voc.n_shards):
-            yield s, 1, 0, _pack(*_halves(pair[at]), to[at], n[at])
+        n = np.add.reduceat(~np.array(held, bool)[t.doc[sent[at[order]]]], first, dtype=np.int64)
+        yield from _deal(_pair_shard(pair, voc), voc, _PAIR, 0, *_halves(pair), *_halves(to), n)
 
 
 def _message_rows(ids: list, texts: list[bytes], held: list[bool], voc: Vocabulary) -> Iterator[tuple[int, int, int, bytes]]:
@@ -518,18 +584,40 @@ def _message_rows(ids: list, texts: list[bytes], held: list[bool], voc: Vocabula
     for part in (own, null, np.array(held, bool), np.array([len(x) for x in texts], np.int64), *texts):
         whole.update(part)
     chunk = int.from_bytes(whole.digest(), "little") >> 1  # equal for chunks with equal rows only
-    yield chunk % voc.n_shards, 0, chunk, _squeeze(own, null.astype(np.int64), np.array(held, np.int64), n, np.add.reduceat(t.in_head.astype(np.int64), start), np.add.reduceat(base, start), base[start] - voc.log_unit)
-    for s, at in _dealt((t.hash[t.rare].view(np.int64) % voc.n_shards).astype(np.uint16), voc.n_shards):
-        at = t.rare[at]
-        yield s, 1, chunk, _pack(doc[at] * np.uint32(2) + (start[doc[at]] == at), *_halves(t.hash[at]))
-    later, u, v, w, to = t.trigrams(voc)
-    sent = doc[later] * np.uint32(2) + np.array(held, np.uint32)[doc[later]]
-    for s, at in _dealt(to, voc.n_shards):
-        yield s, 2, chunk, _pack(sent[at], u[at], v[at], w[at])
+    alone = np.where(t.in_head[start], base[start] - voc.log_unit, 0.0)
+    texts_of = _squeeze(own, null.astype(np.int64), np.array(held, np.int64), n, np.add.reduceat(t.in_head.astype(np.int64), start), np.add.reduceat(base, start), alone)
+    yield chunk % groups_for(voc.n_shards), _TEXTS, chunk, texts_of
+    at, u, v, w, to = t.sent(voc)
+    mark = doc[at] * np.uint32(2) + np.array(held, np.uint32)[doc[at]]
+    rare = ~t.in_head[at]
+    for s, k in dealt(to % groups_for(voc.n_shards)):
+        yield s, _TOKENS, chunk, _pack(mark[k], u[k], v[k], w[k], t.more[at[k[rare[k]]]])
+
+
+def _tokens_again(voc: Vocabulary):
+    """What relayed() does with the messages of _message_rows(): the chunks of a batch become one, whose documents are numbered on."""
+    n_head = len(voc.head)
+
+    def again(kind: int, number: int, held: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        if kind != _TOKENS:
+            yield from ((c % voc.n_shards, kind, c, d) for c, d in held)
+            return
+        parts = [_unpack(d, 5) for _, d in held]
+        begin = np.concatenate([[0], np.cumsum([int(p[0].max() >> np.uint32(1)) + 1 for p in parts])])
+        mark, u, v, w = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        mark += np.repeat(begin[:-1].astype(np.uint32) * np.uint32(2), [len(p[0]) for p in parts])
+        more = np.zeros(len(w), np.uint32)
+        more[w >= n_head] = np.concatenate([p[4] for p in parts])
+        batch = int.from_bytes(hashlib.blake2b(struct.pack("<q", number), digest_size=8).digest(), "little") >> 1
+        yield batch % voc.n_shards, _BATCH, batch, _squeeze(np.array([c for c, _ in held], np.int64), begin[:-1])
+        for s, k in dealt(_shards(u, v, w, voc)):
+            yield s, _TOKENS, batch, _pack(mark[k], u[k], v[k], w[k], more[k[w[k] >= n_head]])
+
+    return again
 
 
 def _by_shard(counts: DataFrame, voc: Vocabulary):
-    return counts.withColumn("shard", F.pmod("word", F.lit(voc.n_shards)).cast("int")).select("shard", "word", "n").groupBy("shard")
+    return counts.withColumn("shard", F.pmod("word", F.lit(voc.n_shards))).select("shard", "word", "n").groupBy("shard")
 
 
 def _found(words: pd.DataFrame, hashes: np.ndarray) -> np.ndarray:
@@ -544,119 +632,144 @@ def _found(words: pd.DataFrame, hashes: np.ndarray) -> np.ndarray:
 
 
 def _sent_counts(docs: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
-    """Messages for each shard of contexts: kind 3 numbers and counts of the rare words that it meets, kind 4 its pairs of a split v and their counts. Beside them, as kind 5, how many pairs (chunk) of a split v (shard) one shard of pairs has."""
+    """Messages for each shard of contexts: numbers and counts of the rare words that it meets, its pairs of a split v and their counts. Beside them, as _SUCCESSORS, how many pairs (chunk) of a split v (shard) one shard of pairs has."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts, held in _chunks(batches):
             rows = list(_wanted_rows(texts, held, voc))
             if rows:
-                yield pd.DataFrame(rows, columns=["shard", "kind", "chunk", "data"])
+                yield pd.DataFrame(rows, columns=_COLUMNS)
+
+    def counted_once(key: np.ndarray, to: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in key and shards of the distinct (place, to) with a count."""
+        order = np.lexsort((to, key))
+        key, to = key[order], to[order]
+        new = np.concatenate([[True], (key[1:] != key[:-1]) | (to[1:] != to[:-1])]) & (n[key] > 0)
+        return key[new], to[new]
 
     def tell(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         out = []
-        rare = [_unpack(d, 3) for d in rows.data[rows.kind == 0]]
+        rare = [_unpack(d, 4) for d in rows.data[rows.kind == _WORD]]
         if rare:
-            low, high, to = (np.concatenate(c) for c in zip(*rare))
+            low, high, *to = (np.concatenate(c) for c in zip(*rare))
             word, at = np.unique(_whole(low, high), return_inverse=True)
             n = _found(words, word)
-            pair = np.unique(at.astype(np.int64) * voc.n_shards + to)
-            at, to = pair // voc.n_shards, pair % voc.n_shards
-            at, to = at[n[at] > 0], to[n[at] > 0]
-            number = _numbers(word, len(voc.head))
-            out += [(s, 3, 0, _pack(number[at[k]], *_halves(n[at[k]]))) for s, k in _dealt(to, voc.n_shards)]
-        split = [_unpack(d, 4) for d in rows.data[rows.kind == 1]]
+            at, to = counted_once(at, _whole(*to).astype(np.int64), n)
+            number, more = _numbers(word, len(voc.head))
+            out += _deal(to, voc, _COUNT, 0, number[at], more[at], *_halves(n[at]), *_halves(to))
+        split = [_unpack(d, 5) for d in rows.data[rows.kind == _PAIR]]
         if split:
-            low, high, to, n = (np.concatenate(c) for c in zip(*split))
+            low, high, *to, n = (np.concatenate(c) for c in zip(*split))
             pair, at = np.unique(_whole(low, high), return_inverse=True)
             n = np.bincount(at, n).astype(np.int64)
-            both = np.unique(at.astype(np.int64) * voc.n_shards + to)
-            at, to = both // voc.n_shards, both % voc.n_shards
-            at, to = at[n[at] > 0], to[n[at] > 0]
-            out += [(s, 4, 0, _pack(*_halves(pair[at[k]]), *_halves(n[at[k]]))) for s, k in _dealt(to, voc.n_shards)]
-            out += [(v, 5, m, None) for v, m in zip(*(x.tolist() for x in np.unique((pair[n > 0] >> np.uint64(32)).astype(np.int64), return_counts=True)))]
-        return pd.DataFrame(out, columns=["shard", "kind", "chunk", "data"])
+            at, to = counted_once(at, _whole(*to).astype(np.int64), n)
+            out += _deal(to, voc, _COUNTS, 0, *_halves(pair[at]), *_halves(n[at]), *_halves(to))
+            out += [(v, _SUCCESSORS, m, None) for v, m in zip(*(x.tolist() for x in np.unique((pair[n > 0] >> np.uint64(32)).astype(np.int64), return_counts=True)))]
+        return pd.DataFrame(out, columns=_COLUMNS)
 
-    schema = "shard int, kind int, chunk long, data binary"
-    return docs.mapInPandas(ask, schema).groupBy("shard").cogroup(_by_shard(counts, voc)).applyInPandas(tell, schema)
+    asked = relayed(docs.mapInPandas(ask, _MESSAGE), voc.n_shards, _dealt_again(voc), "ngram-asked")
+    return asked.groupBy("shard").cogroup(_by_shard(counts, voc)).applyInPandas(tell, _MESSAGE)
 
 
 def _messages(docs: DataFrame, voc: Vocabulary) -> DataFrame:
-    """(shard, kind, chunk, data): kind 0 the texts of a chunk with what the head tells of them, 1 rare words, 2 trigrams."""
+    """The messages of all chunks: their texts with what the head tells of them, and their tokens."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for ids, texts, held in _chunks(batches):
             rows = list(_message_rows(ids, texts, held, voc))
             for k in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[k : k + 64], columns=["shard", "kind", "chunk", "data"])
+                yield pd.DataFrame(rows[k : k + 64], columns=_COLUMNS)
 
-    return docs.mapInPandas(pack, "shard int, kind int, chunk long, data binary")
+    return docs.mapInPandas(pack, _MESSAGE)
 
 
 def _whole_counts(tokens: Ranked, own: np.ndarray, pairs: list[bytes], voc: Vocabulary) -> Whole | None:
     """Counts of the split contexts among a shard's tokens (of own words), from the pairs sent to it."""
-    v = (tokens.context >> np.uint64(16)).astype(np.uint32)
+    v = (tokens.context >> np.uint64(_CLASS_BITS)).astype(np.uint32)
     split = _is_split(v, voc.classes())
     if not split.any():
         return None
     at, n = np.where(split, v, 0), np.zeros(len(tokens.bigram), np.int64)
     if pairs:
-        *pair, low, high = (np.concatenate(c) for c in zip(*(_unpack(m, 4) for m in pairs)))
-        pair, count = _whole(*pair), _whole(low, high).astype(np.int64)
+        parts = [np.concatenate(c) for c in zip(*(_unpack(m, 6) for m in pairs))]
+        pair, count = _whole(*parts[:2]), _whole(*parts[2:4]).astype(np.int64)
         order = np.argsort(pair)
         pair, count = pair[order], count[order]
         here = np.flatnonzero(split[tokens.parent["bigram"]])
-        key = _whole(own[(tokens.bigram[here] % tokens.n).astype(np.int64)], v[tokens.parent["bigram"][here]])
+        key = _whole(own[(tokens.bigram[here] % tokens.n).astype(np.int64)].astype(np.uint32), v[tokens.parent["bigram"][here]])
         place = np.minimum(np.searchsorted(pair, key), len(pair) - 1)
         n[here] = np.where(pair[place] == key, count[place], 0)
     return Whole(split, voc.counts[at], voc.after[at], n)
 
 
-def _scored_trigrams(messages: list[bytes], rare: list[bytes], pairs: list[bytes], voc: Vocabulary) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each message of a shard, its texts' numbers and sums of log10 probabilities; rare and pairs hold the counts sent to it."""
-    parts = [_unpack(m, 4) for m in messages]
-    sent, u, v, w = (np.concatenate(c) for c in zip(*parts))
-    context = _classed(u, v, voc.classes())
-    own = np.unique(np.concatenate([np.unique(u), np.unique(w)]))
-    u, w = np.searchsorted(own, u).astype(np.uint32), np.searchsorted(own, w).astype(np.uint32)
-    n, n_head = np.zeros(len(own), np.int64), int(np.searchsorted(own, len(voc.head)))
-    n[:n_head] = voc.counts[own[:n_head]]
-    for number, *count in (_unpack(m, 3) for m in rare):
-        np.maximum.at(n, np.searchsorted(own, number), _whole(*count).astype(np.int64))
+def _scored(messages: list[bytes], rare: list[bytes], pairs: list[bytes], voc: Vocabulary) -> list[bytes]:
+    """For each message of a shard, its texts' numbers, how many of their rare words are known, the sums of these words' log10 (c + 1), and the sums of log10 probabilities; rare and pairs hold the counts sent to it."""
+    parts, n_head = [_unpack(m, 5) for m in messages], len(voc.head)
+    mark, u, v, w = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    w = w.astype(np.uint64)
+    is_rare = w >= n_head
+    w[is_rare] |= np.concatenate([p[4] for p in parts]).astype(np.uint64) << np.uint64(32)
+    own, place = np.unique(w, return_inverse=True)  # those of the head first
+    n, in_head = np.zeros(len(own), np.int64), own < n_head
+    n[in_head] = voc.counts[own[in_head].astype(np.int64)]
+    for number, more, low, high, *_ in (_unpack(m, 6) for m in rare):
+        n[np.searchsorted(own, _whole(number, more))] = _whole(low, high).astype(np.int64)
     p1 = np.log10(n + 1.0) - voc.log_unit
-    train = sent & np.uint32(1) == 0
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, "trie")
-        tokens = Ranked(context, u, w, len(own))
-        Trie.build(tokens, train, p1, _whole_counts(tokens, own, pairs, voc)).save(path)
-        value = Trie.load(path).score(tokens, p1)
-    out, at = [], 0
+    value, later = p1[place], np.flatnonzero(v != _NO_WORD)
+    if len(later):
+        before, u = np.unique(u[later], return_inverse=True)
+        train = mark[later] & np.uint32(1) == 0
+        with tempfile.TemporaryDirectory() as folder:
+            path = os.path.join(folder, "trie")
+            tokens = Ranked(_classed(before[u], v[later], voc.classes()), u.astype(np.uint32), place[later].astype(np.uint32), max(len(own), len(before)))
+            Trie.build(tokens, train, p1, _whole_counts(tokens, own, pairs, voc)).save(path)
+            value[later] = Trie.load(path).score(tokens, p1)
+    known, rare_value, out, at = is_rare & (n[place] > 0), np.where(is_rare, np.log10(n + 1.0)[place], 0.0), [], 0
     for part in parts:
-        doc = part[0] >> np.uint32(1)
-        sums = np.bincount(doc, value[at : at + len(doc)])
+        here, doc = slice(at, at + len(part[0])), part[0] >> np.uint32(1)
         there = np.flatnonzero(np.bincount(doc))
-        out.append((there, sums[there]))
+        out.append(_squeeze(there, *(np.bincount(doc, x[here])[there] for x in (known, rare_value, value))))
         at += len(doc)
     return out
 
 
-def _answers(messages: DataFrame, counts: DataFrame, voc: Vocabulary) -> DataFrame:
-    """(chunk, kind, data) for each message: kind 0 as it came, 1 (text, words known, sum of log10 (c + 1), that of a first word), 2 (text, sum of log10 P)."""
+_ANSWER = "chunk long, kind int, data binary"
+_ANSWERS = ["chunk", "kind", "data"]
+
 
-    def answer(rows: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        out = [(c, 0, d) for c, d in zip(rows.chunk[rows.kind == 0], rows.data[rows.kind == 0])]
-        for c, d in zip(rows.chunk[rows.kind == 1], rows.data[rows.kind == 1]):
-            doc, low, high = _unpack(d, 3)
-            doc, first = doc >> np.uint32(1), doc & np.uint32(1)
-            n = _found(words, _whole(low, high))
-            there = np.flatnonzero(np.bincount(doc))
-            value = np.log10(n + 1.0)
-            out.append((c, 1, _squeeze(there, np.bincount(doc, n > 0)[there].astype(np.int64), np.bincount(doc, value)[there], np.bincount(doc, value * first)[there])))
-        third = rows[rows.kind == 2]
+def _answers(messages: DataFrame, voc: Vocabulary) -> DataFrame:
+    """(chunk, kind, data): texts and batches as they came, and for each message of tokens what _scored() gives."""
+
+    def answer(rows: pd.DataFrame) -> pd.DataFrame:
+        as_they_are = rows[rows.kind.isin([_TEXTS, _BATCH])]
+        out = list(zip(as_they_are.chunk, as_they_are.kind, as_they_are.data))
+        third = rows[rows.kind == _TOKENS]
         if len(third):
-            out += [(c, 2, _squeeze(there, sums)) for c, (there, sums) in zip(third.chunk, _scored_trigrams(list(third.data), list(rows.data[rows.kind == 3]), list(rows.data[rows.kind == 4]), voc))]
-        return pd.DataFrame(out, columns=["chunk", "kind", "data"])
+            scored = _scored(list(third.data), list(rows.data[rows.kind == _COUNT]), list(rows.data[rows.kind == _COUNTS]), voc)
+            out += [(c, _TOKENS, d) for c, d in zip(third.chunk, scored)]
+        return pd.DataFrame(out, columns=_ANSWERS)
+
+    return messages.groupBy("shard").applyInPandas(answer, _ANSWER)
+
+
+def _returned(answers: DataFrame, voc: Vocabulary) -> DataFrame:
+    """Answers at their chunks: those to a relay's batches are summed and taken apart."""
+    if groups_for(voc.n_shards) == voc.n_shards:
+        return answers
+
+    def apart(rows: pd.DataFrame) -> pd.DataFrame:
+        head = rows.data[rows.kind == _BATCH]
+        if not len(head):
+            return rows[_ANSWERS]  # a chunk's texts
+        chunks, begin = _stretch(head.iloc[0], "ii")
+        parts = [_stretch(d, "ifff") for d in rows.data[rows.kind == _TOKENS]]
+        doc, *values = (np.concatenate(c) for c in zip(*parts))
+        there, at = np.unique(doc, return_inverse=True)
+        values = [np.bincount(at, x) for x in values]
+        of = np.searchsorted(begin, there, "right") - 1
+        return pd.DataFrame([(int(chunks[c]), _TOKENS, _squeeze(there[k] - begin[c], *(x[k] for x in values))) for c, k in dealt(of)], columns=_ANSWERS)
 
-    return messages.groupBy("shard").cogroup(_by_shard(counts, voc)).applyInPandas(answer, "chunk long, kind int, data binary")
+    return answers.groupBy("chunk").applyInPandas(apart, _ANSWER)
 
 
 def scores(docs: DataFrame) -> DataFrame:
@@ -667,23 +780,19 @@ def scores(docs: DataFrame) -> DataFrame:
     voc = vocabulary(counts)
     sent = stored(_sent_counts(rows, counts, voc), "ngram-sent")
     after = np.zeros(len(voc.head), np.int64)
-    for r in sent.filter("kind = 5").groupBy("shard").agg(F.sum("chunk").alias("n")).collect():  # split words, at most HEAD
+    for r in sent.filter(F.col("kind") == _SUCCESSORS).groupBy("shard").agg(F.sum("chunk").alias("n")).collect():  # split words, at most HEAD
         after[r.shard] = r.n
     voc = replace(voc, after=after)
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
-        own = list(rows.data[rows.kind == 0])
+        own = list(rows.data[rows.kind == _TEXTS])
         ids, null, held, n, known, base, score = (x.copy() for x in _stretch(own[0], "iiiiiff"))
         known, same = known.astype(np.float64), len(own)  # equal chunks share their sums
-        for kind, data in zip(rows.kind, rows.data):
-            if kind == 1:
-                there, hits, value, first = _stretch(data, "iiff")
-                known[there] += hits / same
-                base[there] += value / same
-                score[there] += first / same
-            elif kind == 2:
-                there, value = _stretch(data, "if")
-                score[there] += value / same
+        for data in rows.data[rows.kind == _TOKENS]:
+            there, hits, value, p = _stretch(data, "ifff")
+            known[there] += hits / same
+            base[there] += value / same
+            score[there] += p / same
         out = pd.DataFrame({
             "doc_id": pd.array(np.where(null > 0, None, ids.astype(object)), dtype="Int64"), "held_out": held > 0, "n_tokens": n, "n_known": np.rint(known).astype(np.int64),
             "train_tokens": voc.tokens, "base_score": base - n * voc.log_unit, "score": score,
@@ -691,4 +800,6 @@ def scores(docs: DataFrame) -> DataFrame:
         return pd.concat([out] * same)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return _answers(_messages(rows, voc).union(sent.filter("kind < 5")), counts, voc).groupBy("chunk").applyInPandas(total, schema)
+    told = relayed(sent.filter(F.col("kind") != _SUCCESSORS), voc.n_shards, _dealt_again(voc), "ngram-told")
+    messages = relayed(_messages(rows, voc), voc.n_shards, _tokens_again(voc), "ngram-messages")
+    return _returned(_answers(messages.union(told), voc), voc).groupBy("chunk").applyInPandas(total, schema)

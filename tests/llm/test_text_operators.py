@@ -273,16 +273,7 @@ def plain_model(rows):
     held = {k: zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for k, (i, *_) in enumerate(rows)}
     c = collections.Counter(w for k in words if not held[k] for w in words[k])
     n, v = sum(c.values()), len(c)
-    ranges = collections.defaultdict(list)
-    for w, m in c.items():
-        ranges[math.floor(math.log2(m) * 8)].append(w)
-    head = set()
-    for r in sorted(ranges, reverse=True):
-        if len(head) + len(ranges[r]) > ngram.HEAD:
-            break
-        head |= set(ranges[r])
-    rest = (n - sum(c[w] for w in head) + v - len(head) + 1) / (n + v + 1) / (v - len(head) + 1)
-    p1 = lambda w: (c[w] + 1) / (n + v + 1) if w in head else rest
+    p1 = lambda w: (c[w] + 1) / (n + v + 1)
     two, three = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
     for k, w in words.items():
         for i in range(1, len(w) if not held[k] else 0):
@@ -348,16 +339,34 @@ def test_elias_fano():
     assert (ngram.EliasFano.of(np.zeros(0, np.uint64), 1).find(np.array([0, 1], np.uint64)) == -1).all()
 
 
-@pytest.mark.parametrize(("head", "shard", "chunk"), [(20, 500, 3000), (0, 2000, 500)])
-def test_words_outside_the_head_keep_their_counts(spark, monkeypatch, head, shard, chunk):
-    rows = [r for r in odd_rows() if r[1] != LONG] + [(1000 + i, f"rare{i % 9} " + prose(i % 7, 30) + f" rare{i % 5} extra{i}", "", "", 0) for i in range(40)]
-    want = sorted(plain_model(rows), key=lambda r: (repr(r[0]), r[2]))  # with all words in the head
-    for name, value in (("HEAD", head), ("SHARD_TOKENS", shard), ("CHUNK_BYTES", chunk), ("PART", 1e-9)):
+def test_scores_beyond_the_shards_a_chunk_can_address(spark, monkeypatch):
+    """As many shards as a corpus of 0.4 TB has: more than 16 bits can number, all reached through relays."""
+    rows = [r for r in odd_rows() if r[1] != LONG] + [(1000 + i, f"rare{i % 9} " + " ".join(f"the {w} of" for w in prose(i % 7, 12).split()) + f" rare{i % 5} extra{i}", "", "", 0) for i in range(30)]
+    want = sorted(plain_model(rows), key=lambda r: (repr(r[0]), r[2]))
+    for name, value in (("HEAD", 20), ("SHARD_TOKENS", 0.02), ("CHUNK_BYTES", 3000), ("PART", 1e-4)):
         monkeypatch.setattr(ngram, name, value)
-    got = sorted((tuple(r) for r in ngram.scores(docs(spark, rows, extra=True)).collect()), key=lambda r: (repr(r[0]), r[2]))
-    assert [g[:5] for g in got] == [w[:5] for w in want]
-    for g, w in zip(got, want):
-        assert g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])
+    marked = docs(spark, rows).withColumn("held_out", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 7 == 2)
+    voc = ngram.vocabulary(ngram.counted(marked))
+    assert voc.n_shards > 1 << 16 and voc.classes().max() > 1
+    chunk = [r[1].encode() for r in rows if r[1]]
+    messages = list(ngram._message_rows(list(range(len(chunk))), chunk, [False] * len(chunk), voc))
+    assert len(messages) <= math.isqrt(voc.n_shards) + 2 and len(list(ngram._wanted_rows(chunk, [False] * len(chunk), voc))) <= 2 * math.isqrt(voc.n_shards) + 2
+    got = sorted((tuple(r) for r in ngram.scores(docs(spark, rows)).collect()), key=lambda r: (repr(r[0]), r[2]))
+    for g, w in zip(got, want, strict=True):
+        assert g[:5] == w[:5] and g[5] == pytest.approx(w[5], rel=1e-9) and g[6] == pytest.approx(w[6], abs=2 * ngram.STEP * w[2])
+
+
+def test_children_are_found_between_their_parents_pointers():
+    rng = np.random.default_rng(8)
+    pair = np.unique(rng.integers(0, 40, 300) * 1000 + rng.integers(0, 1000, 300))
+    parent, word = pair // 1000, pair % 1000
+    level = ngram.Level.of(parent, word.astype(np.uint64), 45, np.zeros(len(pair), np.uint16))
+    probe = np.unique(np.concatenate([pair, rng.integers(0, 45_000, 2000)]))
+    want = np.array([np.searchsorted(pair, x) if x in set(pair.tolist()) else -1 for x in probe.tolist()])
+    assert (level.find(probe // 1000, probe % 1000) == want).all()
+    # a word's number alone means nothing: with the pointers of other parents it is another word or none
+    level.pointers = ngram.EliasFano.of(np.minimum(np.searchsorted(parent, np.arange(46)) + 3, len(pair)), len(pair) + 1)
+    assert (level.find(probe // 1000, probe % 1000) != want).sum() > 40
 
 
 @pytest.mark.parametrize(("head", "shard", "chunk"), [(1 << 17, 500, 3000), (20, 500, 3000)])

@@ -1,12 +1,17 @@
-"""Reversible line dedup: sharded cuckoo filters in front of exact reference tables.
-
-A LineIndex holds two tables in the shared folder: references, a row (shard, key, doc_id)
-for each distinct line key of each document, and filters, a cuckoo filter of 16-bit marks
-for each shard's keys. Inserting documents counts their keys (partial sums before the
-shuffle), asks each shard's filter which of them earlier insertions may hold, and adds
-the new ones. Only those keys, and those that the insertion itself holds more than once,
-are looked up in the reference table, which alone decides. Deleting documents takes their
-rows out of the reference table and the marks of keys that nobody holds any longer out of
+"""Reversible line dedup: sharded cuckoo filters in front of exact reference-count tables.
+
+A LineIndex holds three tables in the shared folder: counts, exact reference counts (key,
+how many postings it has, the smallest and largest of their documents) as one row for each
+increment that brought the key; postings, a row (shard, key, doc_id) for each distinct line key of each
+document, from which a deletion works; and filters, a cuckoo filter of 16-bit marks for
+each shard's keys.
+
+Documents go in by increments, INCREMENTS of them an insertion. Each shard takes them in
+turn: its filter tells which of an increment's keys something earlier may hold, and the
+others' marks are added. Only the keys that a filter may hold, and those that an increment
+itself holds more than once, meet the count table, which alone decides; all other keys are
+held once and never looked up. Deleting documents corrects the counts of their keys from
+the postings that stay, and takes the marks of keys that nobody holds any longer out of
 the filters, so that an insertion and its deletion leave the index as it was.
 
 A key held by two documents or more loses its lines everywhere but in the smallest doc_id
@@ -35,6 +40,8 @@ from tablewright.llm.common import LOWER, UPPER, mix64, short_batches, stored
 MIN_CHARS = 10
 #: Text bytes that a shard of the filters is meant for.
 SHARD_BYTES = 32_000_000
+#: Increments in which a shard takes in the documents of one insertion.
+INCREMENTS = 8
 #: Parts into which a key's rows are dealt where they meet its counts: a line may stand in most documents.
 SALTS = 32
 _FOLD = str.maketrans(UPPER, LOWER)
@@ -147,20 +154,28 @@ def _hashes(keys: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(keys), np.uint64)[::2] if len(keys) else np.zeros(0, np.uint64)
 
 
+_POSTING = "shard int, key binary, doc_id long"
+_COUNT = "shard int, key binary, n long, least long, last long"
+
+
+def _sums() -> list[Column]:
+    return [F.count("*").alias("n"), F.min("doc_id").alias("least"), F.max("doc_id").alias("last")]
+
+
 @dataclass(frozen=True)
 class LineIndex:
-    """Reference rows (shard, key, doc_id), filters (shard, filter), the number of shards, and whether anything was ever inserted."""
+    """Postings (shard, key, doc_id), counts (shard, key, n, least, last) by increment, filters (shard, filter), and the number of shards."""
 
-    references: DataFrame
+    postings: DataFrame
+    counted: DataFrame
     filters: DataFrame
     n_shards: int
-    used: bool = False
 
     @classmethod
     def empty(cls, spark, n_shards: int) -> LineIndex:
-        return cls(spark.createDataFrame([], "shard int, key binary, doc_id long"), spark.createDataFrame([], "shard int, filter binary"), n_shards)
+        return cls(*(spark.createDataFrame([], schema) for schema in (_POSTING, _COUNT, "shard int, filter binary")), n_shards)
 
-    def _references(self, docs: DataFrame) -> DataFrame:
+    def _postings(self, docs: DataFrame) -> DataFrame:
         n = self.n_shards
 
         def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -173,25 +188,38 @@ class LineIndex:
                 k = pd.Series(keys, dtype=object)
                 yield pd.DataFrame({"shard": (_hashes(k) % np.uint64(n)).astype(np.int32), "key": k, "doc_id": np.array(ids, dtype=np.int64)})
 
-        return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text").mapInPandas(rows, "shard int, key binary, doc_id long")
+        return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text").mapInPandas(rows, _POSTING)
 
-    def _touched(self, filters: DataFrame, keys: DataFrame, do: str) -> DataFrame:
-        """Filters (kind 0) after "add", "force" or "delete" of keys (shard, key, n). "add" leaves out keys that the filter may hold and returns them (kind 2), and those with n over 1 (kind 1)."""
+    def _touched(self, keys: DataFrame, do: str) -> DataFrame:
+        """Filters (kind 0) after "add", "force" or "delete" of keys (shard, key, increment, n).
+
+        "add" takes a shard's increments in turn and returns the keys that more than one
+        posting may have: an increment holds them twice, or the filter may hold them from
+        before. Kind 2 are those that it seemed to hold before their first increment, so
+        that their marks weren't added; kind 1 the others.
+        """
 
         def touch(_, new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
             f = CuckooFilter.load(old["filter"].iloc[0]) if len(old) else CuckooFilter(len(new))
-            h = _hashes(new.key)
-            held = f.contains(h) if do == "add" and len(old) else np.zeros(len(new), bool)
-            if do == "delete":
-                f.delete(h)
+            h, kind = _hashes(new.key), np.full(len(new), -1)
+            if do == "add":
+                step, n, first = new.increment.to_numpy(), new.n.to_numpy(), np.zeros(len(new), bool)
+                order = np.lexsort((step, h))
+                first[order[np.concatenate([[True], h[order][1:] != h[order][:-1]])] if len(new) else order] = True
+                for k in np.unique(step):
+                    own = np.flatnonzero(step == k)
+                    held = f.contains(h[own])
+                    f.insert(h[own[~held]])
+                    kind[own] = np.where(held & first[own], 2, np.where(held | (n[own] > 1), 1, -1))
+            elif do == "force":
+                f.insert(np.unique(h))
             else:
-                f.insert(np.unique(h[~held]))
+                f.delete(h)
             shard = int((new if len(new) else old).shard.iloc[0])
-            kind = np.where(held, 2, np.where((new.n.to_numpy() > 1) & (do == "add"), 1, -1))
             named = pd.DataFrame({"kind": kind, "shard": shard, "value": new.key})[kind > 0]
             return pd.concat([pd.DataFrame({"kind": [0], "shard": [shard], "value": [f.dump()]}), named])
 
-        out = keys.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(touch, "kind int, shard int, value binary")
+        out = keys.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(touch, "kind int, shard int, value binary")
         return stored(out, "line-filters")
 
     @staticmethod
@@ -199,36 +227,44 @@ class LineIndex:
         return touched.filter("kind = 0").select((F.col("shard") + 0).alias("shard"), F.col("value").alias("filter"))
 
     def insert(self, docs: DataFrame) -> tuple[LineIndex, DataFrame]:
-        """The index with docs in it, and the keys (shard, key) that more than one row of its references may hold.
+        """The index with docs in it, and the keys (shard, key) that more than one document may hold, as the filters tell.
 
-        A key that the filter only seems to hold gets its mark after the reference table
+        A key that an old filter only seems to hold gets its mark after the count table
         has told so; else deleting the key it was taken for would hide it.
         """
-        new = stored(self._references(docs), "line-references")
-        touched = self._touched(self.filters, new.groupBy("shard", "key").agg(F.count("*").alias("n")), "add")
-        filters = self._filters(touched)
-        if self.used:
-            seeming = touched.filter("kind = 2").select("shard", F.col("value").alias("key"), F.lit(1).cast("long").alias("n")).join(self.references.select("key"), "key", "left_anti")
-            filters = self._filters(self._touched(filters, seeming.select("shard", "key", "n"), "force"))
-        return LineIndex(self.references.unionByName(new), filters, self.n_shards, True), touched.filter("kind > 0").select("shard", F.col("value").alias("key"))
+        new = stored(self._postings(docs), "line-postings")
+        step = F.pmod(F.xxhash64("doc_id"), F.lit(INCREMENTS)).cast("int").alias("increment")
+        summed = stored(new.groupBy("shard", "key", step).agg(*_sums()), "line-counts")
+        touched = self._touched(summed, "add")
+        maybe = touched.filter("kind > 0").select("shard", F.col("value").alias("key")).distinct()
+        grown = LineIndex(self.postings.unionByName(new), self.counted.unionByName(summed.drop("increment")), self._filters(touched), self.n_shards)
+        seeming = touched.filter("kind = 2").select("shard", F.col("value").alias("key")).join(self.counted.select("key"), "key", "left_anti")
+        return grown._with(seeming.select("shard", "key"), "force"), maybe
+
+    def _with(self, keys: DataFrame, do: str) -> LineIndex:
+        """The index with keys (shard, key) added to its filters or deleted from them."""
+        one = keys.withColumn("increment", F.lit(0)).withColumn("n", F.lit(1).cast("long"))
+        return LineIndex(self.postings, self.counted, self._filters(self._touched(one, do)), self.n_shards)
 
     def delete(self, ids: DataFrame) -> LineIndex:
         """The index without the documents of ids (doc_id)."""
         gone = ids.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id")).distinct()
-        kept = stored(self.references.join(gone, "doc_id", "left_anti").select("shard", "key", "doc_id"), "line-references")
-        free = self.references.join(gone, "doc_id", "left_semi").select("shard", "key").distinct().join(kept.select("key"), "key", "left_anti")
-        filters = self._filters(self._touched(self.filters, free.select("shard", "key", F.lit(1).cast("long").alias("n")), "delete"))
-        return LineIndex(kept, filters, self.n_shards, True)
+        kept = stored(self.postings.join(gone, "doc_id", "left_anti").select("shard", "key", "doc_id"), "line-postings")
+        touched = stored(self.postings.join(gone, "doc_id", "left_semi").select("shard", "key").distinct(), "line-gone")
+        again = kept.join(touched.select("key"), "key", "left_semi").groupBy("shard", "key").agg(*_sums())
+        again = stored(again, "line-counts")
+        counted = self.counted.join(touched.select("key"), "key", "left_anti").unionByName(again)
+        free = touched.join(again.select("key"), "key", "left_anti").select("shard", "key")
+        return LineIndex(kept, counted, self.filters, self.n_shards)._with(free, "delete")
 
     def counts(self, maybe: DataFrame | None = None) -> DataFrame:
-        """Exact (key, n_rows, keeper) of the keys that two documents or more hold; only of the keys in maybe, if given."""
-        # summed before they meet maybe: a key that most documents hold is then one row for each task that read it
-        out = self.references.groupBy("key").agg(F.count("*").alias("n_rows"), F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last")).filter("keeper < last").drop("last")
-        return out if maybe is None else out.join(maybe.select("key"), "key", "left_semi")
+        """Exact (key, n, keeper) of the keys that two documents or more hold; only of the keys in maybe, if given."""
+        rows = self.counted if maybe is None else self.counted.join(maybe.select("key"), "key", "left_semi")
+        return rows.groupBy("key").agg(F.sum("n").alias("n"), F.min("least").alias("keeper"), F.max("last").alias("last")).filter("keeper < last").drop("last")
 
     def drops(self, maybe: DataFrame | None = None) -> DataFrame:
         """(doc_id, keys): the keys that each document loses."""
-        rows = self.references.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        rows = self.postings.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
         counts = self.counts(maybe).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         return rows.join(counts, ["key", "salt"]).filter("doc_id > keeper").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 

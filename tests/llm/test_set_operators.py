@@ -145,6 +145,13 @@ def test_mix_of_odd_rows(spark):
     assert [(r["size"], r.taken, r.copies) for r in nothing] == [(0, 0, 1), (0, 0, 1)]
 
 
+def test_no_row_is_repeated_above_the_cap(spark):
+    """A clamped source takes each row max_epochs times, rows without words too."""
+    d = docs(spark, [(i, "" if i % 2 else f"w{i} x", "", "small", 0) for i in range(40)] + [(100 + i, prose(i, 50), "", "z", 0) for i in range(40)])
+    n = collections.Counter(r.doc_id for r in mixing.mixed(d).collect())
+    assert max(n.values()) == 3 and {n[i] for i in range(40)} == {3}
+
+
 def test_each_source_comes_near_its_target(spark):
     d = q.op8_mixing(spark, "/root/testdata/sf0.01").toPandas()
     d["source"] = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").toPandas().set_index("doc_id").source.reindex(d.doc_id).to_numpy()
@@ -172,6 +179,16 @@ def test_matrix_sums():
     assert abs(draws.mean() - 20) < 0.3 and abs(draws.var() - 40 * 0.25 * 60 / 99) < 0.6
 
 
+def test_draws_by_inversion_follow_the_hypergeometric_law():
+    for good, bad, c in ((5, 7, 4), (50, 40, 30), (3, 100, 60), (1000, 2000, 37)):
+        got = np.bincount([sharding.inverted((k + 0.5) / 20_000, good, bad, c) for k in range(20_000)], minlength=c + 1) / 20_000
+        want = [math.comb(good, k) * math.comb(bad, c - k) / math.comb(good + bad, c) for k in range(c + 1)]
+        assert np.abs(got - want).max() < 1e-4
+    draw = np.random.Generator(np.random.PCG64(1))
+    big = np.array([sharding.hypergeometric(draw, 10**11, 3 * 10**11, 10**4) for _ in range(3000)])
+    assert abs(big.mean() - 2500) < 4 and abs(big.var() / (10**4 * 0.25 * 0.75) - 1) < 0.1
+
+
 @pytest.mark.parametrize("block", [20_000, 7])
 def test_shards(spark, monkeypatch, block):
     monkeypatch.setattr(sharding, "BLOCK_ROWS", block)

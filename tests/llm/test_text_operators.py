@@ -184,12 +184,24 @@ def test_line_index_is_reversible(spark):
     exact = sorted(map(repr, grown.counts().collect()))
     assert sorted(map(repr, grown.counts(maybe).collect())) == [x for x in exact if x in set(map(repr, grown.counts(maybe).collect()))]
     held = {bytes(r.key) for r in maybe.collect()}
-    new = {bytes(r.key) for r in grown._references(b).collect()}
+    new = {bytes(r.key) for r in grown._postings(b).collect()}
     assert {bytes(r.key) for r in grown.counts().collect()} & new <= held
     back = grown.delete(b.select("doc_id"))
     assert sorted(map(repr, back.counts().collect())) == before
     again, maybe = back.insert(c)
-    assert {bytes(r.key) for r in again.counts().collect()} & {bytes(r.key) for r in again._references(c).collect()} <= {bytes(r.key) for r in maybe.collect()}
+    assert {bytes(r.key) for r in again.counts().collect()} & {bytes(r.key) for r in again._postings(c).collect()} <= {bytes(r.key) for r in maybe.collect()}
+
+
+def test_filters_decide_which_lines_meet_the_counts(spark, monkeypatch):
+    """One row of a line that stands once in each of many documents is found by the filters' answers alone."""
+    rows = [(i, f"a line of many documents\nown line number {i}", "", "", 0) for i in range(60)]
+    assert sum(r.n_dropped for r in linededup.dropped_lines(docs(spark, rows)).collect()) == 59
+    index, maybe = linededup.LineIndex.empty(spark, 2).insert(docs(spark, rows))
+    assert maybe.count() <= 2 and index.counts().collect()[0].n == 60 and index.counted.count() > 60
+    monkeypatch.setattr(linededup, "INCREMENTS", 1 << 30)  # each document an increment of its own
+    assert sum(r.n_dropped for r in linededup.dropped_lines(docs(spark, rows)).collect()) == 59
+    monkeypatch.setattr(linededup.CuckooFilter, "contains", lambda self, h: np.zeros(len(h), bool))
+    assert sum(r.n_dropped for r in linededup.dropped_lines(docs(spark, rows)).collect()) == 0
 
 
 def test_cuckoo_filter():

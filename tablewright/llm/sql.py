@@ -84,9 +84,9 @@ select d.doc_id, cast(d.size as bigint) as size, cast(f.source_size as bigint) a
 from d join f on d.source is not distinct from f.source left join x on d.source is not distinct from x.source and d.key = x.key"""
 
 OP9 = """
-with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from embeddings where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-p as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 100 = 0),
-r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from p)
+with v as (select vec_id, row_number() over () as row, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as e from embeddings where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select q.row, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score from v q join v c on q.row <> c.row and len(q.e) = len(c.e) where q.vec_id % 100 = 0),
+r as (select *, cast(row_number() over (partition by row order by score desc, vec_id) as int) as rank from p)
 select query_id, rank, vec_id, score from r where rank <= 10"""
 
 _TOKENS = f"coalesce(regexp_extract_all({_lower('text')}, '[^\\x20\\x09-\\x0D]+'), [])"

@@ -222,8 +222,8 @@ def test_order_is_shuffled(spark):
 def plain_top(rows, is_query, k=10):
     ok = [(i, [math.floor(1024 * float(np.float32(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, v in sorted({i: v for i, v in reversed(ok) if is_query(i)}.items()):
-        scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in ok if j != i and len(w) == len(v))
+    for at, (i, v) in enumerate(ok):  # every row is a query and a candidate of its own
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for other, (j, w) in enumerate(ok) if other != at and len(w) == len(v)) if is_query(i) else []
         out += [(i, n, j, -s) for n, (s, j) in enumerate(scores[:k], 1)]
     return sorted(out)
 
@@ -232,12 +232,13 @@ def vectors():
     rng = np.random.default_rng(5)
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 8).astype(np.float32)]) for i in range(1, 400)]
     rows += [(500 + i, rows[7][1]) for i in range(15)] + [(0, None), (600, [1.0, None] + [0.0] * 6), (601, [float("nan")] * 8), (602, [float("inf")] * 8), (None, [1.0] * 8), (700, [0.5, 0.25]), (701, [1.0, -2.0]), (703, []), (800, [0.0] * 8), (900, [1e3] * 8), (900, [1e3] * 8), (901, [1e4] * 8)]
+    rows += [(100, [0.1] * 8), (100, [0.1] * 8), (100, [0.3] * 8)]
     return rows
 
 
-@pytest.mark.parametrize(("shard", "leaf", "block"), [(8192, 64, 2048), (50, 4, 2)])
-def test_top_k(spark, monkeypatch, shard, leaf, block):
-    for name, value in (("SHARD_ROWS", shard), ("LEAF", leaf), ("QUERY_BLOCK", block)):
+@pytest.mark.parametrize(("shard", "leaf", "block", "step"), [(8192, 64, 32_000_000, 2048), (50, 4, 300, 2)])
+def test_top_k(spark, monkeypatch, shard, leaf, block, step):
+    for name, value in (("SHARD_ROWS", shard), ("LEAF", leaf), ("QUERY_BYTES", block), ("STEP_ROWS", step)):
         monkeypatch.setattr(topk, name, value)
     e = spark.createDataFrame(vectors(), "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
     got = sorted(tuple(r) for r in topk.top_k(e, F.col("vec_id") % 100 == 0).collect())
@@ -245,6 +246,22 @@ def test_top_k(spark, monkeypatch, shard, leaf, block):
     assert topk.top_k(e.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_subtrees_are_cut():
+    """On clustered vectors most balls are neither opened nor bounded, and the answer is the full scan's."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 1, (40, 8)) * 3
+    v = topk.whole(list(np.repeat(centres, 50, axis=0) + rng.normal(0, 0.02, (2000, 8))))
+    ids, k = np.arange(2000), 10
+    best = topk.Best(ids[::100], v[::100], np.full(20, np.iinfo(np.int64).min + 1), k)
+    best.search(ids, v)
+    n_nodes = len(topk.BallTree(v).radii)
+    assert best.opened < 0.35 * 20 * n_nodes and best.bounded < 0.6 * 20 * n_nodes
+    score = topk.products(v[::100], v)
+    for q in range(20):
+        order = [c for c in np.lexsort((ids, -score[q])) if c != 100 * q][:k]
+        assert best.row[q].tolist() == order and best.score[q].tolist() == score[q][order].tolist()
+
+
 def test_products_stay_exact():
     a = topk.whole([np.array([1e6, 1e6])])
     assert topk.products(a, a)[0, 0] == 2 * (1024 * 10**6) ** 2

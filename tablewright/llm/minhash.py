@@ -7,12 +7,14 @@ values are independent; two sets with similarity 0.75 share none of the 36 bands
 probability 1.1e-6.
 
 Texts with equal sets form a class; only its representative (smallest doc_id) goes on,
-and all steps below work on representatives. In every band's bucket one member is the
-pivot; the others are tested against it unless they are in its component by now. A test
+and all steps below work on representatives. Buckets with more members than HOT_ROWS, and than
+one in HOT_SHARE of all band rows, are hot: no more than HOT_SHARE of them can be, so their
+list goes to all tasks, and wherever members meet something of their bucket, a hot one's are
+dealt into SALTS parts. In every band's bucket one member is the pivot; the others are tested against it unless they are in its component by now. A test
 compares whole sets. A first round tests each member against its smallest pivot only;
 PIVOT_ROUNDS more rounds take pivot after pivot out of the buckets whose members are
 still of several components. Buckets that remain so - many members, few links - are
-compared in blocks of at most BLOCK members, pairs of blocks apart, and each such task
+compared in blocks of about BLOCK members or BLOCK_BYTES of their sets, pairs of blocks apart, and each such task
 returns a spanning forest of its links. So every pair that shares a bucket is tested or
 found connected; no bucket has a cap, no task holds a whole bucket, no step emits all
 pairs of a bucket. Components are found by minimum labels over verified links, in tables
@@ -42,7 +44,10 @@ WORDS = 5
 LEAST = (75, 100)
 PERMUTATIONS, BANDS = 72, 36
 PIVOT_ROUNDS = 3
-BLOCK = 256
+#: Members and bytes of sets that meet in one task.
+BLOCK, BLOCK_BYTES = 256, 32_000_000
+#: Members from which a bucket may be hot, share of all band rows from which it is, and parts into which it is dealt.
+HOT_ROWS, HOT_SHARE, SALTS = 1000, 4096, 32
 #: Rows without doc_id get numbers from here on, from a hash of their text.
 _NULLS = 1 << 62
 
@@ -153,13 +158,18 @@ def _fits(n: Column, m: Column) -> Column:
     return F.least(n, m) * LEAST[1] >= F.greatest(n, m) * LEAST[0]
 
 
+def _parts(n_rows: Column, n_hashes: Column, rows: int) -> Column:
+    """Parts into which so many sets with so many hashes are dealt, by number and by bytes; at least one."""
+    return F.greatest(F.ceil(n_rows / rows), F.ceil(n_hashes / (BLOCK_BYTES // 8)), F.lit(1).cast("long"))
+
+
 def _tested(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (pivot, node) whose sets are linked, as (a, b). A pivot's members are dealt into tasks of about BLOCK.
+    """Those pairs (pivot, node, n: size of the node's set) whose sets are linked, as (a, b). A pivot's members are dealt into tasks of about BLOCK, or of BLOCK_BYTES.
 
     The pairs are stored first: their size is then known where they meet the sets, and a few pairs don't move all sets.
     """
     pairs = stored(pairs, "near-pairs")
-    parts = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))
+    parts = pairs.groupBy("pivot").agg(_parts(F.count("*"), F.sum("n"), BLOCK).alias("parts"))
     dealt = pairs.join(parts, "pivot").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     dealt = stored(dealt.select("pivot", "part", "node"), "near-dealt")
     member = dealt.join(sets, "node").select("pivot", "part", "node", "set")
@@ -212,18 +222,18 @@ def _forest(ids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, side: n
     return out
 
 
-def _in_blocks(left: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) among the members (band, node) of buckets, block against block.
+def _in_blocks(left: DataFrame, labels: DataFrame, sets: DataFrame, hot: DataFrame) -> DataFrame:
+    """Links (a, b) among the members (band, salt, node) of buckets, block against block.
 
     A bucket's members outside its largest component are compared among themselves and
     with that component's, whose members need no comparison with each other.
     """
-    known = left.join(labels.select("node", "label"), "node")
-    by_label = known.groupBy("band", "label").agg(F.count("*").alias("n"))
-    size = by_label.groupBy("band").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("major"), F.max("n").alias("n_major"), F.sum("n").alias("n"))
-    blocks = lambda n: F.greatest(F.ceil(n / (BLOCK // 2)), F.lit(1))
-    size = size.select("band", "major", blocks(F.col("n_major")).alias("majors"), blocks(F.col("n") - F.col("n_major")).alias("minors"))
-    dealt = known.join(size, "band").withColumn("is_major", F.col("label") == F.col("major"))
+    known = left.join(labels.select("node", "label", F.col("n").alias("size")), "node")
+    by_label = known.groupBy("band", "label").agg(F.count("*").alias("n"), F.sum("size").alias("hashes"))
+    size = by_label.groupBy("band").agg(F.max(F.struct("n", -F.col("label"), "hashes", "label")).alias("major"), F.sum("n").alias("n"), F.sum("hashes").alias("hashes"))
+    blocks = lambda n, hashes: _parts(n, hashes * 2, BLOCK // 2)
+    size = size.select("band", F.col("major.label").alias("major"), blocks(F.col("major.n"), F.col("major.hashes")).alias("majors"), blocks(F.col("n") - F.col("major.n"), F.col("hashes") - F.col("major.hashes")).alias("minors"))
+    dealt = _beside(known, size, hot).withColumn("is_major", F.col("label") == F.col("major"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.when(F.col("is_major"), F.col("majors")).otherwise(F.col("minors"))))
     to = lambda n, at: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), at)
     pair = lambda x, y, kind: F.struct(x.alias("x"), y.alias("y"), F.lit(kind).alias("kind"))
@@ -260,6 +270,13 @@ def relabelled(labels: DataFrame, edges: DataFrame) -> DataFrame:
     return stored(labels.join(moved, "label", "left").select("node", F.coalesce("new", "label").alias("label"), *rest), "near-labels")
 
 
+def _beside(members: DataFrame, buckets: DataFrame, hot: DataFrame) -> DataFrame:
+    """members (band, salt, ...) with the columns of their buckets (band, ...); a hot bucket's row stands once a salt."""
+    salts = F.explode(F.sequence(F.lit(0), F.when(F.col("is_hot"), SALTS - 1).otherwise(0)))
+    every = buckets.join(F.broadcast(hot), "band", "left").withColumn("salt", salts).drop("is_hot")
+    return members.join(every, ["band", "salt"])
+
+
 def _number(docs: DataFrame) -> Column:
     """doc_id as long, with a number of its own for each text without one."""
     return F.coalesce(docs["doc_id"].cast("long"), F.lit(_NULLS) + F.shiftrightunsigned(F.xxhash64(docs["text"]), 2))
@@ -272,8 +289,12 @@ def components(docs: DataFrame) -> DataFrame:
     each = stored(rows.select("doc_id", described(F.col("text")).alias("d")).select("doc_id", "d.*"), "near-signatures")
     classes = stored(each.filter("mark is not null").groupBy("mark").agg(F.min("doc_id").alias("node"), F.min(F.struct("doc_id", "bands"))["bands"].alias("bands"), F.first("n_shingles").alias("n")), "near-classes")
     band_rows = classes.select("node", F.explode("bands").alias("band"))
-    full = band_rows.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).filter("pivot < last").drop("last")
-    members = stored(band_rows.join(full, "band").select("band", "node", "pivot"), "near-buckets")
+    full = band_rows.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last"), F.count("*").alias("members")).filter("pivot < last").select("band", "pivot", "members")
+    full = stored(full, "near-bands")
+    limit = max(HOT_ROWS, classes.count() * BANDS // HOT_SHARE)
+    hot = stored(full.filter(F.col("members") > limit).select("band", F.lit(True).alias("is_hot")), "near-hot")  # at most HOT_SHARE rows
+    salted = band_rows.join(F.broadcast(hot), "band", "left").withColumn("salt", F.when(F.col("is_hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("is_hot")
+    members = stored(_beside(salted, full.drop("members"), hot).select("band", "salt", "node", "pivot"), "near-buckets")
     suspects = stored(members.select("node").distinct(), "near-suspects")  # a few ids, known to be so, don't move all texts
     sets = stored(rows.join(suspects, rows["doc_id"] == suspects["node"]).select("node", set_of(F.col("text")).alias("set")), "near-sets")
     labels = stored(classes.join(suspects, "node").groupBy("node").agg(F.min("n").alias("n"), F.max("n").alias("most")).withColumn("label", F.col("node")), "near-labels")
@@ -281,24 +302,24 @@ def components(docs: DataFrame) -> DataFrame:
     fits = _fits(F.col("n"), F.col("pivot_n")) | (F.col("n") < F.col("most"))
     nearest = members.filter("node <> pivot").groupBy("node").agg(F.min("pivot").alias("pivot"))
     pairs = nearest.join(sized, "node").join(sized.select(F.col("node").alias("pivot"), F.col("n").alias("pivot_n")), "pivot").filter(fits)
-    labels = relabelled(labels, stored(_tested(pairs.select("pivot", "node"), sets), "near-links"))
-    left = members.select("band", "node")
+    labels = relabelled(labels, stored(_tested(pairs.select("pivot", "node", F.col("most").alias("n")), sets), "near-links"))
+    left = members.select("band", "salt", "node")
     for _ in range(PIVOT_ROUNDS):
         known = left.join(labels, "node")
         open_ = known.groupBy("band").agg(F.min(F.struct("node", "label", "n")).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
         open_ = stored(open_, "near-open")
-        known = stored(known.join(open_, "band").filter("node <> p.node").select("band", "node", "label", "n", "most", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), F.col("p.n").alias("pivot_n")), "near-buckets")
-        left = known.select("band", "node")
+        known = stored(_beside(known, open_, hot).filter("node <> p.node").select("band", "salt", "node", "label", "n", "most", F.col("p.node").alias("pivot"), F.col("p.label").alias("pivot_label"), F.col("p.n").alias("pivot_n")), "near-buckets")
+        left = known.select("band", "salt", "node")
         if not known.take(1):
             break
-        pairs = known.filter((F.col("label") != F.col("pivot_label")) & fits).select("pivot", "node").distinct()
+        pairs = known.filter((F.col("label") != F.col("pivot_label")) & fits).select("pivot", "node", F.col("most").alias("n")).distinct()
         labels = relabelled(labels, stored(_tested(pairs, sets), "near-links"))
     known = left.join(labels.select("node", "label"), "node")
     open_ = known.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("band")
     open_ = stored(open_, "near-open")
-    rest = stored(left.join(open_, "band"), "near-buckets")
+    rest = stored(_beside(left, open_, hot), "near-buckets")
     if rest.take(1):
-        labels = relabelled(labels, stored(_in_blocks(rest, labels, sets), "near-links"))
+        labels = relabelled(labels, stored(_in_blocks(rest, labels, sets, hot), "near-links"))
     of_class = classes.select("mark", "node").join(labels.select("node", "label"), "node", "left").select("mark", F.coalesce("label", "node").alias("label"))
     return each.join(of_class, "mark", "left").select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 

@@ -69,10 +69,10 @@ def copies():
     return rows
 
 
-@pytest.mark.parametrize(("rounds", "block"), [(3, 256), (0, 6)])
-def test_components(spark, monkeypatch, rounds, block):
-    monkeypatch.setattr(minhash, "PIVOT_ROUNDS", rounds)
-    monkeypatch.setattr(minhash, "BLOCK", block)
+@pytest.mark.parametrize(("rounds", "block", "size", "hot"), [(3, 256, 32_000_000, 1000), (0, 6, 32_000_000, 1000), (2, 256, 4000, 3)])
+def test_components(spark, monkeypatch, rounds, block, size, hot):
+    for name, value in (("PIVOT_ROUNDS", rounds), ("BLOCK", block), ("BLOCK_BYTES", size), ("HOT_ROWS", hot)):
+        monkeypatch.setattr(minhash, name, value)
     rows = odd_rows() + copies()
     got = sorted((tuple(r) for r in minhash.near_duplicates(docs(spark, rows, extra=True)).collect()), key=repr)
     assert got == plain_components(rows)

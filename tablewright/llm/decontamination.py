@@ -1,15 +1,15 @@
 """Benchmark decontamination with an FM-index over each training shard.
 
-A shard is one batch of documents inside a task. Its words become numbers in the
-benchmark's vocabulary; a word or a pair of neighbours that no item holds can't lie within
-an occurrence, so only runs of words whose neighbouring pairs all stand in some item are
-indexed. Over these runs, each closed by an end mark, stand a suffix array, its
-Burrows-Wheeler transform in a wavelet matrix, and sampled suffix positions. All distinct
-windows of the benchmark are searched backwards at once through wavelet ranks; what is
-found is located by steps to the nearest sampled position, and overlapping occurrences
-merge into removal spans.
-
-The benchmark goes to the tasks in blocks of at most about BLOCK_BYTES of text; a larger
+A shard is about SHARD_BYTES of documents inside a task. Its words, all of them, become
+numbers in the shard's own vocabulary; over these sequences, each closed by an end mark,
+stand a suffix array, its Burrows-Wheeler transform in a wavelet matrix, and sampled
+suffix positions. All windows of the benchmark are searched backwards at once through
+wavelet ranks; what is found is located by steps to the nearest sampled position, and
+overlapping occurrences merge into removal spans. Where spans are cut out, the texts that
+closed up are searched again, together, until nothing is found.
+
+The benchmark goes to the tasks as arrays (words as 64-bit hashes, windows as ranges of
+them), in blocks of at most about BLOCK_BYTES of text, four times that as arrays; a larger
 one takes several passes over the documents, so what is sent at once has a bound.
 
 Defined cases: a null text has no words; an item without words has no windows; an item of
@@ -31,9 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import short_batches, stored
+from tablewright.llm.tokens import word_hashes
 
 WINDOW = 10
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 4_000_000
+SHARD_BYTES = 4_000_000
 SAMPLE_EVERY = 8
 #: Bytes outside words become spaces and A-Z become a-z; bytes of other letters stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -45,27 +47,45 @@ def fold(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(_FOLD)
 
 
+def suffix_order(sequences: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of sequences, each closed by a 0; of equal ones, the earlier stands first.
+
+    As many symbols as 63 bits hold are sorted at once; then only suffixes that are equal
+    so far are sorted on, by the ranks of what follows, over twice the length each time.
+    """
+    n, bits = len(sequences), max(1, int(sequences.max(initial=0)).bit_length())
+    size = max(1, min(63 // bits, n))
+    key, open_ = np.zeros(n, np.uint64), np.ones(n, bool)
+    for k in range(size):
+        symbol = np.zeros(n, np.uint64)
+        symbol[: n - k] = sequences[k:]
+        open_ &= symbol > 0  # beyond an end mark nothing counts
+        key = (key << np.uint64(bits)) | np.where(open_, symbol, np.uint64(0))
+    order = np.argsort(key, kind="stable")
+    new = np.concatenate([[True], key[order][1:] != key[order][:-1]]) | ~open_[order]
+    slots, step = np.arange(n), size
+    rank = np.empty(n, np.int64)
+    rank[order] = slots[np.maximum.accumulate(np.where(new, slots, 0))]
+    while True:
+        slots = slots[~(new & np.concatenate([new[1:], [True]]))]
+        if not len(slots):
+            return order
+        at = order[slots]
+        group, after = rank[at], rank[at + step]
+        again = np.lexsort((after, group))
+        at, group, after = at[again], group[again], after[again]
+        new = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
+        order[slots] = at
+        rank[at] = slots[np.maximum.accumulate(np.where(new, np.arange(len(slots)), 0))]
+        step *= 2
+
+
 class FMIndex:
     """Full-text index of sequences of symbols from 1 up; a pattern never spans two sequences."""
 
     def __init__(self, sequences: np.ndarray, starts: np.ndarray):
         """sequences: all symbols, with a 0 after each sequence; starts: where each begins."""
-        n = len(sequences)
-        ends = np.flatnonzero(sequences == 0)
-        rank = sequences.astype(np.int64) + len(ends)
-        rank[ends] = np.arange(len(ends))  # each end mark is a symbol of its own
-        order, step = np.argsort(rank, kind="stable"), 1
-        while True:
-            longer = np.zeros(n, np.int64)
-            longer[: n - step] = rank[step:] + 1 if step < n else 0
-            order = np.lexsort((longer, rank))
-            changed = np.empty(n, bool)
-            changed[0], changed[1:] = False, (rank[order][1:] != rank[order][:-1]) | (longer[order][1:] != longer[order][:-1])
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(changed)
-            if rank[order[-1]] == n - 1 or step >= n:
-                break
-            step *= 2
+        n, order = len(sequences), suffix_order(sequences)
         sampled = np.zeros(n, bool)
         sampled[::SAMPLE_EVERY] = sampled[starts] = True
         self.is_sampled = sampled[order]
@@ -99,18 +119,21 @@ class FMIndex:
             symbol, at = symbol * 2 + bit, np.where(bit, self.zeros[k] + one, at - one)
         return self.first[symbol] + at - self.leaf[symbol]
 
-    def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row ranges of patterns, right-aligned rows of symbols of the given lengths."""
-        width = patterns.shape[1]
-        lo, hi = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.first[-1])
-        hi[(patterns.max(axis=1, initial=0) >= 1 << self.depth)] = 0
-        for k in range(width):
-            alive = np.flatnonzero((hi > lo) & (k < lengths))
+    def search(self, symbols: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Row ranges of patterns, each so many symbols from its start; a symbol below 1 or unknown occurs nowhere."""
+        lo, hi = np.zeros(len(start), np.int64), np.full(len(start), self.first[-1])
+        alive, k = np.arange(len(start)), 0
+        while True:
+            done = length[alive] <= k
+            alive = alive[~done]
             if not len(alive):
-                break
-            symbol = patterns[alive, width - 1 - k]
+                return lo, hi
+            symbol = symbols[start[alive] + length[alive] - 1 - k]
+            known = (symbol > 0) & (symbol < 1 << self.depth)
+            lo[alive[~known]] = hi[alive[~known]] = 0
+            alive, symbol = alive[known], symbol[known]
             lo[alive], hi[alive] = self.first[symbol] + self.ranks(symbol, lo[alive]), self.first[symbol] + self.ranks(symbol, hi[alive])
-        return lo, hi
+            alive, k = alive[hi[alive] > lo[alive]], k + 1
 
     def locate(self, rows: np.ndarray) -> np.ndarray:
         """Text positions of rows."""
@@ -123,130 +146,133 @@ class FMIndex:
 
 
 class Phrases:
-    """The windows of a block of benchmark items."""
+    """The windows of a block of benchmark items: their words in one sequence, and where each window stands in it."""
 
     def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
-        self.ids: dict[bytes, int] = {}
-        holders: dict[tuple[int, ...], set[str]] = defaultdict(set)
-        pairs = set()
-        for item, text in items:
-            seq = [self.ids.setdefault(w, len(self.ids)) for w in fold(text).split()]
-            pairs.update(zip(seq, seq[1:]))
-            for i in range(max(1, len(seq) - window + 1) if seq else 0):
-                holders[tuple(seq[i : i + window])].add(item)
-        self.windows = list(holders)
-        self.items = [sorted(holders[w]) for w in self.windows]
-        self.pairs = np.sort(np.array([a * len(self.ids) + b for a, b in pairs], dtype=np.int64))
-        self.lengths = np.array([len(w) for w in self.windows], dtype=np.int64)
-        self.shortest, self.width = int(self.lengths.min(initial=window)), int(self.lengths.max(initial=1))
-        self.patterns = np.zeros((len(self.windows), self.width), np.int64)
-        for k, w in enumerate(self.windows):
-            self.patterns[k, self.width - len(w) :] = np.array(w) + 1
-
-    def find(self, texts: list[bytes]) -> tuple[list[int], list[tuple[np.ndarray, set[str]]]]:
-        """Word counts of folded texts, and for each its hit words (sorted positions) and items."""
-        get, counts, parts = self.ids.get, [], []
-        for t in texts:
-            w = t.split()
-            counts.append(len(w))
-            parts.append(np.array([get(x, -1) for x in w] + [-1], dtype=np.int64))
-        nothing = (np.zeros(0, np.int64), frozenset())
+        hashes, first = word_hashes([fold(text) for _, text in items]) if items else (np.zeros(0, np.uint64), np.zeros(1, np.int64))
+        size = np.diff(first)
+        n = np.where(size > 0, np.maximum(1, size - window + 1), 0)
+        self.words, words = np.unique(hashes, return_inverse=True)
+        self.sequence = words.astype(np.int32)
+        begin = np.concatenate([[0], np.cumsum(n)])
+        self.start = (np.repeat(first[:-1] - begin[:-1], n) + np.arange(begin[-1])).astype(np.int32)
+        self.length = np.repeat(np.minimum(size, window), n).astype(np.int32)
+        self.names = sorted({i for i, _ in items})
+        name = {i: k for k, i in enumerate(self.names)}
+        self.item = np.repeat(np.array([name[i] for i, _ in items], np.int32), n)
+
+    def find(self, texts: list[bytes]) -> tuple[list[int], list[tuple[np.ndarray, list[str]]]]:
+        """Word counts of the folded texts of a shard, and for each its hit words (sorted positions) and items."""
+        nothing = (np.zeros(0, np.int64), [])
         found = [nothing] * len(texts)
-        if not self.windows or not texts:
-            return counts, found
-        ids = np.concatenate(parts)
-        first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        known = ids >= 0
-        link = np.zeros(len(ids), bool)
-        at = np.flatnonzero(known[:-1] & known[1:])
-        if len(self.pairs):
-            key = ids[at] * len(self.ids) + ids[at + 1]
-            place = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            link[at] = self.pairs[place] == key
-        begin = np.flatnonzero(known & ~np.concatenate([[False], link[:-1]]))
-        end = np.flatnonzero(known & ~link) + 1
-        long = end - begin >= self.shortest
-        begin, end = begin[long], end[long]
-        if not len(begin):
+        if not texts:
+            return [], found
+        hashes, first = word_hashes(texts)
+        counts = np.diff(first).tolist()
+        if not len(self.start) or not len(hashes):
             return counts, found
-        size = end - begin + 1
-        starts = np.concatenate([[0], np.cumsum(size)[:-1]])
-        source = np.repeat(begin - starts, size) + np.arange(size.sum())
-        text = ids[source] + 1
-        text[starts + size - 1] = 0
+        known, ids = np.unique(hashes, return_inverse=True)
+        # each text's words from 1 up, with a 0 after them
+        text = np.zeros(len(hashes) + len(texts), np.int64)
+        text[np.arange(len(hashes)) + np.repeat(np.arange(len(texts)), counts)] = ids + 1
+        starts = first[:-1] + np.arange(len(texts))
         index = FMIndex(text, starts)
-        lo, hi = index.search(self.patterns, self.lengths)
+        at = np.minimum(np.searchsorted(known, self.words), len(known) - 1)
+        symbols = np.where(known[at] == self.words, at + 1, 0)[self.sequence]
+        lo, hi = index.search(symbols, self.start, self.length)
         hits = np.flatnonzero(hi > lo)
         if not len(hits):
             return counts, found
         n = (hi - lo)[hits]
         rows = np.repeat(lo[hits] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        where, which = source[index.locate(rows)], np.repeat(hits, n)
-        edge = np.zeros(len(ids) + 1, np.int64)
+        where, which = index.locate(rows), np.repeat(hits, n)
+        edge = np.zeros(len(text) + 1, np.int64)
         np.add.at(edge, where, 1)
-        np.add.at(edge, where + self.lengths[which], -1)
+        np.add.at(edge, where + self.length[which], -1)
         hit = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-        doc = np.searchsorted(first, where, "right") - 1
-        pairs = np.unique(doc * len(self.windows) + which)
-        by_doc = defaultdict(set)
-        for d, w in zip((pairs // len(self.windows)).tolist(), (pairs % len(self.windows)).tolist()):
-            by_doc[d].update(self.items[w])
-        hit_doc = np.searchsorted(first, hit, "right") - 1
-        cut = np.searchsorted(hit_doc, np.arange(len(texts) + 1))
+        doc = np.searchsorted(starts, where, "right") - 1
+        pairs = np.unique(doc * len(self.names) + self.item[which])
+        by_doc = defaultdict(list)
+        for d, i in zip((pairs // len(self.names)).tolist(), (pairs % len(self.names)).tolist()):
+            by_doc[d].append(self.names[i])
+        cut = np.searchsorted(hit, np.append(starts, len(text)))
         for d, items in by_doc.items():
-            found[d] = (hit[cut[d] : cut[d + 1]] - first[d], items)
+            found[d] = (hit[cut[d] : cut[d + 1]] - starts[d], items)
         return counts, found
 
 
-def blocks(benchmark: DataFrame) -> list[list[tuple[str, str | None]]] | Iterator[list[tuple[str, str | None]]]:
+def n_blocks(benchmark: DataFrame) -> int:
+    """Blocks of the benchmark of about BLOCK_BYTES."""
+    return max(1, math.ceil((benchmark.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0) / BLOCK_BYTES))
+
+
+def blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
     """The benchmark's rows, one bounded block at a time."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
-    total = items.agg(F.sum(F.octet_length("text") + 32)).first()[0] or 0
-    n = max(1, math.ceil(total / BLOCK_BYTES))
+    n = n_blocks(benchmark)
     for k in range(n):
         yield [(r.item, r.text) for r in items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
 
 
+def _shards(batches: Iterator[pd.Series]) -> Iterator[list[str | None]]:
+    """Texts of about SHARD_BYTES at a time; an empty list for an empty batch."""
+    held, size = [], 0
+    for texts in batches:
+        for t in texts:
+            n = len(t) if t else 0
+            if held and size + n > SHARD_BYTES:
+                yield held
+                held, size = [], 0
+            held.append(t)
+            size += n
+    yield held
+
+
 def hits(text: Column, phrases: Phrases) -> Column:
     """struct(n_words, hit: positions of hit words, items) of a text column."""
 
     @F.pandas_udf("n_words long, hit array<int>, items array<string>")
     def found(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in _shards(batches):
             counts, spans = phrases.find([fold(t) for t in texts])
-            yield pd.DataFrame({"n_words": np.array(counts, dtype=np.int64), "hit": [s[0].astype(np.int32) for s in spans], "items": [sorted(s[1]) for s in spans]})
+            yield pd.DataFrame({"n_words": np.array(counts, dtype=np.int64), "hit": pd.Series([s[0].astype(np.int32) for s in spans], dtype=object), "items": pd.Series([s[1] for s in spans], dtype=object)})
 
     return found(text)
 
 
-def cut(text: str, phrases: Phrases) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the spans of its hit words, and those spans in bytes of the text; what closes up is searched again."""
-    raw, removed, kept = text.encode("utf-8", "surrogatepass"), [], []
-    live = [(0, len(raw))]
-    while True:
-        words = [(m.start() + a, m.end() + a) for a, b in live for m in _WORD.finditer(raw[a:b].translate(_FOLD))]
-        _, ((hit, _),) = phrases.find([b" ".join(raw[a:b].translate(_FOLD) for a, b in words)])
-        if not len(hit):
-            break
-        spans = []
-        for i in hit.tolist():
-            a, b = words[i]
-            if spans and last == i - 1 and not any(spans[-1][1] < x < a for x, _ in live):
-                spans[-1] = (spans[-1][0], b)
-            else:
-                spans.append((a, b))
-            last = i
-        removed += spans
-        removed.sort()
-        live, at = [], 0
-        for a, b in removed:
-            if a > at:
-                live.append((at, a))
-            at = max(at, b)
-        if at < len(raw):
-            live.append((at, len(raw)))
-    kept = b" ".join(raw[a:b].strip(b" ") for a, b in live) if removed else raw
-    return kept.decode("utf-8", "surrogatepass"), removed
+def _live(removed: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
+    """The ranges of n bytes between removed ones, which are in order."""
+    out, at = [], 0
+    for a, b in removed:
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
+    return [*out, (at, n)] if at < n else out
+
+
+def cut(texts: list[str | None], phrases: Phrases) -> list[tuple[str | None, list[tuple[int, int]]]]:
+    """A shard's texts without the spans of their hit words, and those spans in bytes of each text; texts that close up are searched again."""
+    raws = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    removed: list[list[tuple[int, int]]] = [[] for _ in texts]
+    open_ = list(range(len(texts)))
+    while open_:
+        live = {i: _live(removed[i], len(raws[i])) for i in open_}
+        _, found = phrases.find([b" ".join(raws[i][a:b].translate(_FOLD) for a, b in live[i]) for i in open_])
+        hit = [(i, f[0]) for i, f in zip(open_, found) if len(f[0])]
+        for i, places in hit:
+            words = [(m.start() + a, m.end() + a, k) for k, (a, b) in enumerate(live[i]) for m in _WORD.finditer(raws[i][a:b].translate(_FOLD))]
+            spans, last = [], None
+            for k in places.tolist():
+                a, b, piece = words[k]
+                if last is not None and last == (k - 1, piece):
+                    spans[-1] = (spans[-1][0], b)
+                else:
+                    spans.append((a, b))
+                last = k, piece
+            removed[i] = sorted(removed[i] + spans)
+        open_ = [i for i, _ in hit]
+    whole = [b" ".join(filter(None, (raw[a:b].strip(b" ") for a, b in _live(gone, len(raw))))) if gone else raw for raw, gone in zip(raws, removed)]
+    return [(None if t is None else w.decode("utf-8", "surrogatepass"), gone) for t, w, gone in zip(texts, whole, removed)]
 
 
 def cleaned(text: Column, phrases: Phrases) -> Column:
@@ -254,25 +280,39 @@ def cleaned(text: Column, phrases: Phrases) -> Column:
 
     @F.pandas_udf("hit boolean, text string, gone boolean")
     def done(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
-            _, found = phrases.find([fold(t) for t in texts])
-            hit = np.array([len(f[0]) > 0 for f in found], bool)
-            new = [cut(t, phrases)[0] if h else None for t, h in zip(texts, hit)]  # untouched texts don't travel back
-            yield pd.DataFrame({"hit": hit, "text": pd.Series(new, dtype=object), "gone": [t is not None and not fold(t).split() for t in new]})
+        for texts in _shards(batches):
+            new = cut(texts, phrases)
+            hit = np.array([len(spans) > 0 for _, spans in new], bool)
+            left = pd.Series([t if h else None for (t, _), h in zip(new, hit)], dtype=object)  # untouched texts don't travel back
+            yield pd.DataFrame({"hit": hit, "text": left, "gone": np.array([t is not None and not fold(t).split() for t in left], bool)})
 
     return done(text)
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with the removal spans cut out of text; rows left without a word by that go. Other columns stay."""
+    """docs with the removal spans cut out of text; rows left without a word by that go. Other columns stay.
+
+    With several blocks, what a later one cuts may close up to a window of an earlier one:
+    all blocks are passed until one whole round finds nothing.
+    """
     short_batches(docs.sparkSession)
-    out, columns = docs, docs.columns
-    for i, items in enumerate(blocks(benchmark)):
-        out = stored(out, "decontaminated") if i else out
-        out = out.withColumn("__dc_new", cleaned(out["text"], Phrases(items))).filter(~F.col("__dc_new.gone"))
+    columns, many = docs.columns, n_blocks(benchmark) > 1
+
+    def passed(rows: DataFrame, phrases: Phrases) -> DataFrame:
+        out = rows.withColumn("__dc_new", cleaned(rows["text"], phrases)).filter(~F.col("__dc_new.gone"))
         text = F.when(F.col("__dc_new.hit"), F.col("__dc_new.text")).otherwise(F.col("text")).alias("text")
-        out = out.select(*[text if c == "text" else F.col(f"`{c}`") for c in columns])
-    return out
+        mark = [(F.col("__dc_hit") | F.col("__dc_new.hit")).alias("__dc_hit")] if many else []
+        return out.select(*[text if c == "text" else F.col(f"`{c}`") for c in columns], *mark)
+
+    if not many:
+        return passed(docs, Phrases(next(iter(blocks(benchmark)))))
+    out = docs
+    while True:
+        out = out.select(*[F.col(f"`{c}`") for c in columns], F.lit(False).alias("__dc_hit"))
+        for items in blocks(benchmark):
+            out = stored(passed(out, Phrases(items)), "decontaminated")
+        if not out.filter("__dc_hit").take(1):
+            return out.drop("__dc_hit")
 
 
 def removal_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -282,9 +322,8 @@ def removal_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def of(phrases: Phrases) -> Column:
         @F.pandas_udf("array<struct<start: int, stop: int>>")
         def spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for texts in batches:
-                _, found = phrases.find([fold(t) for t in texts])
-                yield pd.Series([[{"start": a, "stop": b} for a, b in cut(t, phrases)[1]] if len(f[0]) else [] for t, f in zip(texts, found)], dtype=object)
+            for texts in _shards(batches):
+                yield pd.Series([[{"start": a, "stop": b} for a, b in spans] for _, spans in cut(texts, phrases)], dtype=object)
 
         return spans(docs["text"])
 

@@ -283,7 +283,7 @@ def test_pipeline_against_plain_steps(spark):
     keep = {r[0] for r in plain_components(rows) if r[3]}
     rows = [r for r in rows if r[0] in keep]
     phrases = decontamination.Phrases([(str(r.item_id), r.text) for r in bench.collect()])
-    rows = [(r[0], decontamination.cut(r[1], phrases)[0], *r[2:]) for r in rows]
+    rows = [(r[0], decontamination.cut([r[1]], phrases)[0][0], *r[2:]) for r in rows]
     rows = [r for r in rows if decontamination.fold(r[1]).split()]
     assert set(out.doc_id) <= {r[0] for r in rows}
     text = {r[0]: r[1] for r in rows}

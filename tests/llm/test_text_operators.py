@@ -130,6 +130,30 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert sorted(decontamination.contamination(docs(spark), bench).collect(), key=repr) == one
 
 
+def test_what_closes_up_is_searched_again(spark, monkeypatch):
+    item = prose(2, 40).split()
+    text = " ".join([*item[:6], *prose(3, 12).split(), *item[6:11], "end"])
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, prose(3, 12)), (3, prose(4, 5))], "item_id long, text string")
+    rows = docs(spark, [(1, text, "", "", 0), (2, "whole text " * 20, "", "", 0), (3, prose(4, 5), "", "", 0), (4, None, "", "", 0)])
+    for size in (4_000_000, 40):
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", size)
+        assert {r.doc_id: r.text for r in decontamination.decontaminated(rows, bench).collect()} == {1: "end", 2: "whole text " * 20, 4: None}
+
+
+def test_shards_of_texts_are_indexed_whole(monkeypatch):
+    """The index holds every word of its shard, and the answer doesn't depend on where shards end."""
+    held = []
+    index = decontamination.FMIndex
+    monkeypatch.setattr(decontamination, "FMIndex", lambda text, starts: held.append(len(text)) or index(text, starts))
+    phrases = decontamination.Phrases([("1", prose(2, 40)), ("2", "One, TWO")])
+    texts = [decontamination.fold(r[1]) for r in odd_rows()]
+    counts, found = phrases.find(texts)
+    assert held == [sum(counts) + len(texts)]
+    for t, n, f in zip(texts, counts, found):
+        one = phrases.find([t])
+        assert one[0] == [n] and one[1][0][0].tolist() == f[0].tolist() and one[1][0][1] == f[1]
+
+
 def test_fm_index():
     rng = np.random.default_rng(1)
     seqs = [rng.integers(1, 5, rng.integers(1, 40)) for _ in range(30)]
@@ -138,7 +162,7 @@ def test_fm_index():
     index = decontamination.FMIndex(text, starts)
     for n in (1, 2, 3, 5):
         for p in np.unique(rng.integers(1, 6, (20, n)), axis=0):
-            lo, hi = index.search(p[None, :], np.array([n]))
+            lo, hi = index.search(p, np.array([0]), np.array([n]))
             rows = np.arange(lo[0], max(lo[0], hi[0]))
             assert sorted(index.locate(rows)) == [i for i in range(len(text) - n + 1) if (text[i : i + n] == p).all()]
 

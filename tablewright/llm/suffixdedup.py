@@ -7,20 +7,24 @@ stand at most REACH bytes before its gram and REACH after it: all that any strin
 LENGTH bytes around it can hold.
 
 1. Chunks of documents send their anchors' gram and context hashes to the shards. Anchors
-   whose whole context occurs twice have every string around them repeated. Grams met once
-   are done with. Of the rest, one anchor of each different context goes on.
+   with one and the same whole context are a maximal repeat as far as the contexts reach.
+   Grams met once are done with. Of the rest, one anchor of each different context goes on.
 2. Those anchors' contexts are sorted by what follows the gram: an enhanced suffix array
    with common-prefix lengths. A scan with a stack gives the tree of common-prefix
-   intervals. In an interval, the members are ordered by what precedes the gram; where
-   their left extensions differ it is a maximal repeat, with all its members as
-   occurrences, and each member's longest left match with any other one gives the strings
-   it shares at the interval's depth.
+   intervals. In an interval, the members are ordered by what precedes the gram, and the
+   same scan over their common left lengths gives the sets that extend to the left alike.
+   A set whose left extensions differ beyond that, and whose members lie in more than one
+   child of the interval, is a maximal repeat: its length, and all members as occurrences.
 3. A gram with so many different contexts that no task should hold them (over TREE_MEMBERS,
-   or over CHUNK_MEMBERS in one chunk) has the strings around its anchors counted by hash
-   instead, summed in chunks before they are dealt out.
+   or over CHUNK_MEMBERS in one chunk) has the strings of LENGTH bytes around its anchors
+   grouped by hash instead, in chunks before they are dealt out; these strings are then the repeats.
 
-The spans found are joined to the documents by a hash of id and text and united there.
-Hashes have 64 bits.
+What is removed are the occurrences of the repeats of LENGTH bytes or more: a string of
+LENGTH bytes that occurs twice lies in a maximal repeat with the same occurrences. They are
+joined to the documents by a hash of id and text and united there. repeats() gives the
+groups themselves; a repeat that reaches beyond its anchor's context is a row of groups
+there, one an anchor, that overlap. Hashes have 64 bits. Beyond common.DIRECT shards,
+chunks address groups of shards, and messages are dealt out again there.
 
 Defined cases: a null text is empty; matches never cross documents; texts shorter than
 LENGTH lose nothing; rows equal in doc_id and text are two documents, and both lose what
@@ -33,6 +37,7 @@ import hashlib
 import math
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -40,7 +45,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import mix64, short_batches, stored
+from tablewright.llm.common import dealt, groups_for, mix64, relayed, short_batches, stored
 
 LENGTH, GRAM = 200, 100
 REACH = LENGTH - GRAM
@@ -103,6 +108,31 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return np.array(long)[doc], at - start[doc], h[at], around
 
 
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' bytes with REACH times PAD around each, and where each begins."""
+    gap = bytes([PAD]) * REACH
+    return np.frombuffer(gap + gap.join(texts) + gap, np.uint8), REACH + np.concatenate([[0], np.cumsum(np.array([len(t) + REACH for t in texts[:-1]], np.int64))])
+
+
+def contexts(data: np.ndarray, place: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The REACH bytes before (nearest first) and after the grams that stand at places of joined data, at in texts of such sizes.
+
+    A gram is no anchor of a string that also holds a smaller gram. Where a context would,
+    it ends before, with PAD: then whatever anchors share is shared by all its occurrences.
+    """
+    before, after = np.empty((len(place), REACH), np.uint8), np.empty((len(place), REACH), np.uint8)
+    for lo in range(0, len(place), 8192):
+        p, a, n = (x[lo : lo + 8192, None] for x in (place, at, size))
+        before[lo : lo + 8192], after[lo : lo + 8192] = data[p - 1 - np.arange(REACH)], data[p + GRAM + np.arange(REACH)]
+        begin = a - REACH + np.arange(2 * REACH + 1)
+        h = np.where((begin >= 0) & (begin + GRAM <= n), gram_hashes(data[p - REACH + np.arange(2 * REACH + GRAM)]), _MOST)
+        smaller = h < h[:, REACH : REACH + 1]
+        ends = [np.where(x.any(axis=1), x.argmax(axis=1), REACH) for x in (smaller[:, REACH - 1 :: -1], smaller[:, REACH + 1 :])]
+        for side, end in zip((before, after), ends):
+            side[lo : lo + 8192][np.arange(REACH) >= end[:, None]] = PAD
+    return before, after
+
+
 def united(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The union of ranges as maximal ones, in order; ranges that touch are one."""
     if not len(start):
@@ -145,9 +175,21 @@ def _order(group: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.lexsort([*(columns[:, k] for k in range(columns.shape[1] - 1, -1, -1)), group])
 
 
-def shared_strings(gram: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Of anchors with the bytes before (nearest first) and after their grams: member, and the least and most bytes before its gram
-    with which a string of LENGTH bytes occurs at another member; and the maximal repeats, as (length, members).
+@dataclass(frozen=True)
+class Repeat:
+    """A maximal repeat around a gram: bytes before and after it, and its members."""
+
+    before: int
+    after: int
+    members: np.ndarray
+
+    @property
+    def length(self) -> int:
+        return self.before + GRAM + self.after
+
+
+def maximal_repeats(gram: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[Repeat]:
+    """Of anchors with the bytes before (nearest first) and after their grams, the maximal repeats of LENGTH bytes or more that hold a gram, as far as these bytes reach.
 
     Bytes beyond a document's edge are PAD, which never counts as shared.
     """
@@ -156,40 +198,35 @@ def shared_strings(gram: np.ndarray, left: np.ndarray, right: np.ndarray) -> tup
     own_left, own_right = _reach(le), _reach(ri)
     lcp = np.full(len(g), -1, np.int64)
     lcp[1:] = np.where(g[1:] == g[:-1], _common(ri[1:], ri[:-1]), -1)
-    who, low, high, repeats = [], [], [], []
-    nodes = intervals(lcp)
-    pairs = np.array([n for n in nodes if n[3] - n[2] == 1], dtype=np.int64).reshape(-1, 4)
-    if len(pairs):
-        depth, parent, first = pairs[:, 0], pairs[:, 1], pairs[:, 2]
-        both = _common(le[first], le[first + 1])
-        for i in (first, first + 1):
-            who.append(i)
-            low.append(REACH - np.minimum(depth, own_right[i]))
-            high.append(np.minimum(REACH - parent - 1, np.minimum(both, own_left[i])))
-        for d, i, b in zip(depth.tolist(), first.tolist(), np.minimum(both, np.minimum(own_left[first], own_left[first + 1])).tolist()):
-            d = min(d, int(own_right[i]), int(own_right[i + 1]))
-            if d + b + GRAM >= LENGTH:
-                repeats.append((d + b + GRAM, order[i : i + 2]))
-    for depth, parent, first, last in nodes:
-        if last - first == 1:
-            continue
-        i = np.arange(first, last + 1)
-        i = i[_order(np.zeros(len(i), np.int8), le[i])]
-        near = _common(le[i[1:]], le[i[:-1]])
-        longest = np.maximum(np.concatenate([[0], near]), np.concatenate([near, [0]]))
-        who.append(i)
-        low.append(REACH - np.minimum(depth, own_right[i]))
-        high.append(np.minimum(REACH - parent - 1, np.minimum(longest, own_left[i])))
-        # left extensions in classes: within each, members share the longest one that any two neighbours have
-        base = int(near.min())
-        if depth + base + GRAM >= LENGTH and (near.min() < near.max() or base < REACH):
-            repeats.append((int(min(depth, own_right[i].min())) + min(base, int(own_left[i].min())) + GRAM, order[i]))
-    if not who:
-        none = np.zeros(0, np.int64)
-        return none, none, none, repeats
-    who, low, high = np.concatenate(who), np.concatenate(low), np.concatenate(high)
-    good = high >= low
-    return order[who[good]], low[good], high[good], repeats
+    out = []
+    nodes = np.array(intervals(lcp), dtype=np.int64).reshape(-1, 4)
+    depth, first, last = nodes[:, 0], nodes[:, 2], nodes[:, 3]
+    after = np.minimum(depth, own_right[first])  # all members share the prefix, with the edge if it lies there
+    pair = np.flatnonzero((last - first == 1) & (after + REACH + GRAM >= LENGTH))
+    both = np.minimum(_common(le[first[pair]], le[last[pair]]), own_left[first[pair]])
+    for k, before in zip(pair.tolist(), both.tolist()):  # two members differ in the byte after, and in that before
+        if before + GRAM + after[k] >= LENGTH:
+            out.append(Repeat(before, int(after[k]), order[first[k] : last[k] + 1]))
+    for k in np.flatnonzero((last - first > 1) & (after + REACH + GRAM >= LENGTH)).tolist():
+        i = np.arange(first[k], last[k] + 1)
+        child = np.cumsum(np.concatenate([[0], lcp[first[k] + 1 : last[k] + 1] <= depth[k]]))
+        by_left = _order(np.zeros(len(i), np.int8), le[i])
+        i, child = i[by_left], child[by_left]
+        near = np.concatenate([[-1], _common(le[i[1:]], le[i[:-1]])])
+        same = np.concatenate([[0], np.cumsum(child[1:] == child[:-1])])
+        for common, _, a, b in intervals(near):
+            before = min(common, int(own_left[i[a]]))
+            if before + GRAM + after[k] >= LENGTH and same[b] - same[a] < b - a:
+                out.append(Repeat(before, int(after[k]), order[i[a : b + 1]]))
+    return out
+
+
+def occurrences(repeats: list[Repeat]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Member, and bytes before and after its gram, of each occurrence of the repeats."""
+    if not repeats:
+        return (np.zeros(0, np.int64),) * 3
+    n = [len(r.members) for r in repeats]
+    return np.concatenate([r.members for r in repeats]), np.repeat([r.before for r in repeats], n), np.repeat([r.after for r in repeats], n)
 
 
 def _reach(rows: np.ndarray) -> np.ndarray:
@@ -219,19 +256,42 @@ def _unpack(raw: bytes, kinds: str) -> list[np.ndarray]:
     return out
 
 
-_MESSAGE = "shard int, kind int, data binary"
-#: Kinds of messages and, after step 1, of rows: a span as found; an anchor to be compared in a tree; one whose strings are to be counted.
-ASKED, TREE, COUNT, SPAN = 0, 1, 2, 3
+_MESSAGE = "shard long, kind int, chunk long, data binary"
+_COLUMNS = ["shard", "kind", "chunk", "data"]
+#: Kinds of messages and, after step 1, of rows: an anchor with its whole context; one to be compared in a tree; one whose strings are to be counted; a span as found; a string of LENGTH bytes; from REPEAT on, an occurrence of a repeat of so many bytes more.
+ASKED, TREE, COUNT, SPAN, STRING, REPEAT = 0, 1, 2, 3, 4, 1000
 _FULL, _HOT = 1, 2
+#: Columns of the messages that go to shards, of which the first tells which.
+_FIRST, _SECOND = {ASKED: "qqqii"}, {TREE: "qqic", COUNT: "qqii"}
+
+
+def _by_shard(n_shards: int, kind: int, *columns: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+    """One message to each shard (or group of shards) that the first column's hashes tell."""
+    for s, at in dealt(_shard(columns[0], n_shards) % groups_for(n_shards)):
+        yield s, kind, 0, _pack(*(c[at] for c in columns))
 
 
-def _by_shard(shard: np.ndarray, n_shards: int, kind: int, *columns: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    order = np.argsort(shard, kind="stable")
-    cut = np.searchsorted(shard[order], np.arange(n_shards + 1))
-    for s in range(n_shards):
-        at = order[cut[s] : cut[s + 1]]
-        if len(at):
-            yield s, kind, _pack(*(c[at] for c in columns))
+def _shard(hashes: np.ndarray, n_shards: int) -> np.ndarray:
+    return (mix64(hashes) % np.uint64(n_shards)).astype(np.int64)
+
+
+def _home(keys: np.ndarray, n_shards: int, kind: int, *columns: np.ndarray) -> list[tuple[int, int, int, bytes]]:
+    """What a chunk has found out by itself, for any shard to hand on."""
+    return [(int(keys[0] % np.uint64(n_shards)) % groups_for(n_shards), kind, 0, _pack(*(c.astype(np.uint64) for c in columns)))] if len(columns[0]) else []
+
+
+def _again(n_shards: int, kinds: dict[int, str]):
+    """What relayed() does with messages."""
+
+    def again(kind: int, number: int, held: list[tuple[int, bytes]]) -> Iterator[tuple[int, int, int, bytes]]:
+        if kind not in kinds:
+            yield from ((number % n_shards, kind, 0, d) for _, d in held)
+            return
+        columns = [np.concatenate(c) for c in zip(*(_unpack(d, kinds[kind]) for _, d in held))]
+        for s, at in dealt(_shard(columns[0], n_shards)):
+            yield s, kind, 0, _pack(*(c[at] for c in columns))
+
+    return again
 
 
 def _spans(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -257,13 +317,12 @@ def _asked(key: np.ndarray, position: np.ndarray, gram: np.ndarray, around: np.n
         lead[np.flatnonzero(hot)[once]] = True
     flag = (n > 1) * _FULL + hot * _HOT
     send = first[lead]
-    to = (mix64(gram[send]) % np.uint64(n_shards)).astype(np.uint16)
-    rows = list(_by_shard(to, n_shards, ASKED, gram[send], around[send], key[send], position[send].astype(np.uint32), flag[lead].astype(np.uint32)))
+    rows = list(_by_shard(n_shards, ASKED, gram[send], around[send], key[send], position[send].astype(np.uint32), flag[lead].astype(np.uint32)))
     return full, first[hot], rows
 
 
 def _answered(messages: list[bytes]) -> tuple[list, list, list]:
-    """Step 1 in a shard: (key, position) of anchors repeated as a whole; (key, position, gram) to be compared in a tree, and to be counted."""
+    """Step 1 in a shard: (key, position, context) of anchors repeated as a whole; (key, position, gram) to be compared in a tree, and to be counted."""
     if not messages:
         return [], [], []
     gram, around, key, position, flag = (np.concatenate(c) for c in zip(*(_unpack(m, "qqqii") for m in messages)))
@@ -280,7 +339,7 @@ def _answered(messages: list[bytes]) -> tuple[list, list, list]:
     count = go_on & (hot | (contexts > TREE_MEMBERS)) & ~((flag & _HOT) > 0)  # hot leads are counted by their chunk
     tree = go_on & ~hot & (contexts <= TREE_MEMBERS)
     whole = full & (flag & _FULL == 0)
-    return [(key[whole], position[whole])], [(key[tree], position[tree], gram[tree])], [(key[count], position[count], gram[count])]
+    return [(key[whole], position[whole], around[whole])], [(key[tree], position[tree], gram[tree])], [(key[count], position[count], gram[count])]
 
 
 def _rows(kind: int, key: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
@@ -307,8 +366,8 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, list[
         yield np.array(keys, np.int64).view(np.uint64), texts, needs
 
 
-def _first(docs: DataFrame, n_shards: int) -> DataFrame:
-    """Step 1 over docs (key, text): rows of _ROWS."""
+def _first(docs: DataFrame, n_shards: int, groups: bool = False) -> DataFrame:
+    """Step 1 over docs (key, text): rows of _ROWS. With groups, anchors found within a chunk stand one by one, not as spans."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for keys, texts, _ in _chunks(batches):
@@ -316,35 +375,32 @@ def _first(docs: DataFrame, n_shards: int) -> DataFrame:
             if not len(doc):
                 continue
             full, count, rows = _asked(keys[doc], at, gram, around, n_shards)
-            size = np.array([len(t) for t in texts])[doc]
-            spans = _spans(keys[doc[full]], np.maximum(at[full] - REACH, 0), np.minimum(at[full] + LENGTH, size[full]))
-            home = int(keys[0] % np.uint64(n_shards))
-            if len(spans[0]):
-                rows.append((home, SPAN, _pack(spans[0], spans[1].astype(np.uint64), spans[2].astype(np.uint64))))
-            if len(count):
-                rows.append((home, COUNT, _pack(keys[doc[count]], at[count].astype(np.uint64), gram[count])))
+            if groups:
+                rows += _home(keys, n_shards, STRING, keys[doc[full]], at[full], around[full])
+            else:
+                size = np.array([len(t) for t in texts])[doc]
+                rows += _home(keys, n_shards, SPAN, *_spans(keys[doc[full]], np.maximum(at[full] - REACH, 0), np.minimum(at[full] + LENGTH, size[full])))
+            rows += _home(keys, n_shards, COUNT, keys[doc[count]], at[count], gram[count])
             for k in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[k : k + 64], columns=["shard", "kind", "data"])
+                yield pd.DataFrame(rows[k : k + 64], columns=_COLUMNS)
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
         whole, tree, count = _answered(list(rows.data[rows.kind == ASKED]))
-        out = [_rows(ASKED, k, p, p) for k, p in whole] + [_rows(TREE, *x) for x in tree] + [_rows(COUNT, *x) for x in count]
-        for kind in (COUNT, SPAN):
-            out += [_rows(kind, *_unpack(d, "qqq")) for d in rows.data[rows.kind == kind]]
+        out = [_rows(ASKED, *x) for x in whole] + [_rows(TREE, *x) for x in tree] + [_rows(COUNT, *x) for x in count]
+        for kind, then in ((COUNT, COUNT), (SPAN, SPAN), (STRING, ASKED)):
+            out += [_rows(then, *_unpack(d, "qqq")) for d in rows.data[rows.kind == kind]]
         return pd.concat(out) if out else _rows(SPAN, *(np.zeros(0, np.uint64),) * 3)
 
-    return docs.mapInPandas(ask, _MESSAGE).groupBy("shard").applyInPandas(answer, _ROWS)
+    return relayed(docs.mapInPandas(ask, _MESSAGE), n_shards, _again(n_shards, _FIRST), "repeat-asked").groupBy("shard").applyInPandas(answer, _ROWS)
 
 
-def _second(docs: DataFrame, n_shards: int) -> DataFrame:
-    """Steps 2 and 3 over docs (key, text, need: anchors as structs of kind, position and gram): spans as rows of _ROWS."""
+def _second(docs: DataFrame, n_shards: int, groups: bool = False) -> DataFrame:
+    """Steps 2 and 3 over docs (key, text, need: anchors as structs of kind, position and gram): spans as rows of _ROWS. With groups, occurrences one by one: a is where each begins, b tells its repeat."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for keys, texts, needs in _chunks(batches):
             kind, at, gram, owner, tops = [], [], [], [], []
-            gap = bytes([PAD]) * REACH
-            data = np.frombuffer(gap + gap.join(texts) + gap, np.uint8)
-            start = REACH + np.concatenate([[0], np.cumsum(np.array([len(t) + REACH for t in texts[:-1]], np.int64))])
+            data, start = joined(texts)
             for i, need in enumerate(needs):
                 kind += [x["kind"] for x in need]
                 at += [x["a"] for x in need]
@@ -356,12 +412,8 @@ def _second(docs: DataFrame, n_shards: int) -> DataFrame:
             rows = []
             t = np.flatnonzero(kind == TREE)
             if len(t):
-                place = start[owner[t]] + at[t]
-                before = data[place[:, None] - 1 - np.arange(REACH)]
-                after = data[place[:, None] + GRAM + np.arange(REACH)]
-                to = (mix64(gram[t]) % np.uint64(n_shards)).astype(np.uint16)
-                rows += _by_shard(to, n_shards, TREE, gram[t], keys[owner[t]], at[t].astype(np.uint32), np.concatenate([before, after], axis=1))
-            spans = []
+                sides = contexts(data, start[owner[t]] + at[t], at[t], size[owner[t]])
+                rows += _by_shard(n_shards, TREE, gram[t], keys[owner[t]], at[t].astype(np.uint32), np.concatenate(sides, axis=1))
             for lo in range(0, int((kind == COUNT).sum()), 8192):
                 c = np.flatnonzero(kind == COUNT)[lo : lo + 8192]
                 place = start[owner[c]] + at[c]
@@ -371,7 +423,7 @@ def _second(docs: DataFrame, n_shards: int) -> DataFrame:
                 valid = (begin >= 0) & (begin + LENGTH <= size[owner[c]][:, None])
                 string, begin, who = string[valid], begin[valid], np.broadcast_to(owner[c][:, None], valid.shape)[valid]
                 # a string that stands around two anchors of one text is one occurrence
-                _, once = np.unique(np.stack([who, begin]), axis=1, return_index=True)
+                _, once = np.unique(who * (np.int64(1) << 33) + begin, return_index=True)
                 tops.append((string[once], begin[once], who[once]))
             if tops:
                 string, begin, who = (np.concatenate(x) for x in zip(*tops))
@@ -379,47 +431,75 @@ def _second(docs: DataFrame, n_shards: int) -> DataFrame:
                 string, begin, who = string[once], begin[once], who[once]
                 _, first, where, n = np.unique(string, return_index=True, return_inverse=True, return_counts=True)
                 full = n[where] > 1
-                spans = _spans(keys[who[full]], begin[full], begin[full] + LENGTH)
-                rows += _by_shard((string[first] % np.uint64(n_shards)).astype(np.uint16), n_shards, COUNT, string[first], keys[who[first]], begin[first].astype(np.uint32), (n > 1).astype(np.uint32))
-                if len(spans[0]):
-                    rows.append((int(keys[0] % np.uint64(n_shards)), SPAN, _pack(spans[0], spans[1].astype(np.uint64), spans[2].astype(np.uint64))))
+                if groups:
+                    rows += _home(keys, n_shards, STRING, keys[who[full]], begin[full], string[full])
+                else:
+                    rows += _home(keys, n_shards, SPAN, *_spans(keys[who[full]], begin[full], begin[full] + LENGTH))
+                rows += _by_shard(n_shards, COUNT, string[first], keys[who[first]], begin[first].astype(np.uint32), (n > 1).astype(np.uint32))
             for k in range(0, len(rows), 64):
-                yield pd.DataFrame(rows[k : k + 64], columns=["shard", "kind", "data"])
+                yield pd.DataFrame(rows[k : k + 64], columns=_COLUMNS)
 
     def answer(rows: pd.DataFrame) -> pd.DataFrame:
-        out = [_rows(SPAN, *_unpack(d, "qqq")) for d in rows.data[rows.kind == SPAN]]
-        trees = [_unpack(d, "qqic") for d in rows.data[rows.kind == TREE]]
+        out = [_rows(SPAN, *_unpack(d, "qqq")) for d in rows.data[rows.kind == SPAN]] + [_rows(REPEAT + LENGTH, *_unpack(d, "qqq")) for d in rows.data[rows.kind == STRING]]
+        trees = [_unpack(d, _SECOND[TREE]) for d in rows.data[rows.kind == TREE]]
         if trees:
             gram, key, at, around = (np.concatenate(c) for c in zip(*trees))
-            who, low, high, _ = shared_strings(gram, around[:, :REACH], around[:, REACH:])
-            at = at.astype(np.int64)[who]
-            out.append(_rows(SPAN, *_spans(key[who], at - high, at - low + LENGTH)))
-        counts = [_unpack(d, "qqii") for d in rows.data[rows.kind == COUNT]]
+            repeats = maximal_repeats(gram, around[:, :REACH], around[:, REACH:])
+            at = at.astype(np.int64)
+            if groups:
+                for k, r in enumerate(repeats):
+                    name = mix64(gram[r.members[:1]] + mix64(np.array([k], np.uint64)))
+                    out.append(_rows(REPEAT + r.length, key[r.members], at[r.members] - r.before, np.repeat(name, len(r.members))))
+            else:
+                who, before, after = occurrences(repeats)
+                out.append(_rows(SPAN, *_spans(key[who], at[who] - before, at[who] + GRAM + after)))
+        counts = [_unpack(d, _SECOND[COUNT]) for d in rows.data[rows.kind == COUNT]]
         if counts:
             string, key, begin, flag = (np.concatenate(c) for c in zip(*counts))
             _, where, n = np.unique(string, return_inverse=True, return_counts=True)
             hit = (n[where] > 1) & (flag == 0)
             begin = begin.astype(np.int64)[hit]
-            out.append(_rows(SPAN, *_spans(key[hit], begin, begin + LENGTH)))
+            out.append(_rows(REPEAT + LENGTH, key[hit], begin, string[hit]) if groups else _rows(SPAN, *_spans(key[hit], begin, begin + LENGTH)))
         return pd.concat(out) if out else _rows(SPAN, *(np.zeros(0, np.uint64),) * 3)
 
-    return docs.mapInPandas(ask, _MESSAGE).groupBy("shard").applyInPandas(answer, _ROWS)
+    return relayed(docs.mapInPandas(ask, _MESSAGE), n_shards, _again(n_shards, _SECOND), "repeat-contexts").groupBy("shard").applyInPandas(answer, _ROWS)
 
 
 def _key(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].cast("string"), F.coalesce(docs["text"], F.lit("")))
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
-    """docs with __sd_spans, structs (a, b) of first and last-but-one byte of repeated strings, not yet united."""
+def _found(docs: DataFrame, groups: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Rows of steps 1, and of 2 and 3."""
     short_batches(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_shards = max(1, math.ceil(total / SHARD_BYTES))
     keyed = docs.select(_key(docs).alias("key"), "text")
-    found = stored(_first(keyed, n_shards), "repeat-anchors")
+    found = stored(_first(keyed, n_shards, groups), "repeat-anchors")
     need = found.filter(F.col("kind").isin(TREE, COUNT)).groupBy("key").agg(F.collect_set(F.struct("kind", "a", "b")).alias("need"))
     # of rows equal in id and text one stands for all: their contexts are equal, step 1 has found them
-    spans = stored(_second(keyed.join(need, "key"), n_shards), "repeat-spans")
+    return found, stored(_second(keyed.join(need, "key"), n_shards, groups), "repeat-spans")
+
+
+def repeats(docs: DataFrame) -> DataFrame:
+    """All occurrences of the maximal repeats of LENGTH bytes or more: repeat (a number for each), length, doc_id, start.
+
+    A repeat reaches at most REACH bytes beyond its anchor's gram; a longer passage is
+    one for each of its anchors. Of anchors with one and the same whole context, which are
+    a repeat of their own, one stands for all in the repeats shared with other contexts.
+    Of rows equal in doc_id and text, each has its occurrences.
+    """
+    found, then = _found(docs.select("doc_id", "text"), True)
+    by_key = docs.select(_key(docs).alias("key"), "doc_id", F.octet_length("text").alias("size"))
+    start = F.greatest(F.col("a") - REACH, F.lit(0))
+    one = found.filter(F.col("kind") == ASKED).distinct().join(by_key, "key").select(F.col("b").alias("repeat"), (F.least(F.col("a") + LENGTH, "size") - start).cast("int").alias("length"), "doc_id", start.alias("start"))
+    two = then.filter(F.col("kind") > REPEAT).distinct().join(by_key, "key").select(F.col("b").alias("repeat"), (F.col("kind") - REPEAT).alias("length"), "doc_id", F.col("a").alias("start"))
+    return one.unionByName(two)
+
+
+def _with_spans(docs: DataFrame) -> DataFrame:
+    """docs with __sd_spans, structs (a, b) of first and last-but-one byte of occurrences of repeats, not yet united."""
+    found, spans = _found(docs)
     near = F.when(F.col("kind") == ASKED, F.greatest(F.col("a") - REACH, F.lit(0))).otherwise(F.col("a"))
     far = F.when(F.col("kind") == ASKED, F.col("a") + LENGTH).otherwise(F.col("b"))
     every = found.filter(F.col("kind").isin(ASKED, SPAN)).unionByName(spans).groupBy(F.col("key").alias("__sd_key")).agg(F.collect_set(F.struct(near.alias("a"), far.alias("b"))).alias("__sd_spans"))

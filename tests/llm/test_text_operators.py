@@ -294,11 +294,78 @@ def test_maximal_repeats_have_all_occurrences():
     s = prose(9, 60).encode()[:260]
     texts = [b"q" * 120 + s + b"w" * 120, b"e" * 130 + s + b"r" * 130, b"t" * 140 + s + b"u" * 140]
     doc, at, gram, _ = suffixdedup.anchors(texts)
-    pad = bytes([suffixdedup.PAD]) * 100
-    left = np.array([np.frombuffer((pad + texts[d])[a : a + 100][::-1], np.uint8) for d, a in zip(doc, at)])
-    right = np.array([np.frombuffer((texts[d] + pad)[a + 100 : a + 200], np.uint8) for d, a in zip(doc, at)])
-    *_, repeats = suffixdedup.shared_strings(gram, left, right)
-    assert any(set(doc[members]) == {0, 1, 2} for length, members in repeats if length >= 200)
+    data, start = suffixdedup.joined(texts)
+    left, right = suffixdedup.contexts(data, start[doc] + at, at, np.array([len(t) for t in texts])[doc])
+    repeats = suffixdedup.maximal_repeats(gram, left, right)
+    assert repeats and all(set(doc[r.members]) == {0, 1, 2} and r.length >= 200 for r in repeats)
+    for r in repeats:  # neither end can be moved on with the same occurrences, but where the contexts end
+        ends = [(texts[d][a - r.before - 1], texts[d][a + 100 + r.after]) for d, a in zip(doc[r.members], at[r.members])]
+        edge = [(left[m] == suffixdedup.PAD).argmax() if (left[m] == suffixdedup.PAD).any() else 100 for m in r.members], [(right[m] == suffixdedup.PAD).argmax() if (right[m] == suffixdedup.PAD).any() else 100 for m in r.members]
+        assert (r.before == min(edge[0]) or len({x for x, _ in ends}) > 1) and (r.after == min(edge[1]) or len({x for _, x in ends}) > 1)
+
+
+def plain_repeats(gram, left, right):
+    """Sets of members that share so much before and after the gram, where nothing more is shared by all and no other member shares it."""
+    out = set()
+    for g in set(gram.tolist()):
+        own = np.flatnonzero(gram == g)
+        for i in own:
+            for j in own[own > i]:
+                b = int(np.argmax(np.append(left[i] != left[j], True)))
+                d = int(np.argmax(np.append(right[i] != right[j], True)))
+                for before, after in ((b, d),):
+                    members = frozenset(k for k in own if (left[k][:before] == left[i][:before]).all() and (right[k][:after] == right[i][:after]).all())
+                    if before + after >= suffixdedup.LENGTH - suffixdedup.GRAM:
+                        out.add((before, after, members))
+    return out
+
+
+def test_maximal_repeats_against_all_pairs():
+    rng = np.random.default_rng(11)
+    for _ in range(30):
+        n = int(rng.integers(2, 14))
+        gram = rng.integers(0, 2, n).astype(np.uint64)
+        base = rng.integers(97, 100, (2, 100)).astype(np.uint8)
+        sides = [np.tile(base[k], (n, 1)) for k in (0, 1)]
+        for side in sides:
+            for i in range(n):
+                side[i, rng.integers(0, 101) :] = rng.integers(97, 123)
+        left, right = sides
+        _, once = np.unique(np.concatenate([gram[:, None].astype(np.uint8), left, right], axis=1), axis=0, return_index=True)
+        gram, left, right = gram[once], left[once], right[once]
+        got = {(r.before, r.after, frozenset(r.members.tolist())) for r in suffixdedup.maximal_repeats(gram, left, right)}
+        assert got == plain_repeats(gram, left, right)
+
+
+def test_repeats_are_given_out_with_all_occurrences(spark):
+    s = prose(9, 60)[:260]
+    rows = [(i, "".join(random.Random(i).choice("klmnop") for _ in range(120)) + s + "".join(random.Random(-i - 1).choice("klmnop") for _ in range(90)), "", "", 0) for i in range(5)]
+    rows += [(10, prose(12, 90), "", "", 0), (11, prose(12, 90), "", "", 0), (11, prose(12, 90), "", "", 0), (12, None, "", "", 0)]
+    text = {r[0]: r[1] for r in rows}
+    for members in (4096, 2):
+        suffixdedup.TREE_MEMBERS, was = members, suffixdedup.TREE_MEMBERS
+        try:
+            out = suffixdedup.repeats(docs(spark, rows, extra=True)).toPandas()
+        finally:
+            suffixdedup.TREE_MEMBERS = was
+        assert set(out.doc_id) == {0, 1, 2, 3, 4, 10, 11} and (out.length >= 200).all()
+        for _, g in out.groupby("repeat"):
+            assert len(g) > 1 and len({text[d][a : a + n] for d, a, n in zip(g.doc_id, g.start, g.length)}) == 1
+        assert any(set(g.doc_id) == {0, 1, 2, 3, 4} for _, g in out.groupby("repeat"))
+        assert any(sorted(g.doc_id) == [10, 11, 11] for _, g in out.groupby("repeat"))
+
+
+def test_strings_beyond_the_shards_a_chunk_can_address(spark, monkeypatch):
+    """More shards than 16 bits can number, reached through relays; what a chunk sends stays near the root of their number."""
+    rows = string_rows()
+    monkeypatch.setattr(suffixdedup, "SHARD_BYTES", 0.2)
+    raws = [(r[1] or "").encode() for r in rows]
+    n_shards = math.ceil(sum(map(len, raws)) / 0.2)
+    assert n_shards > 1 << 16
+    doc, at, gram, around = suffixdedup.anchors(raws)
+    assert len(suffixdedup._asked(doc.astype(np.uint64), at, gram, around, n_shards)[2]) <= math.isqrt(n_shards) + 1
+    got = suffixdedup.removed(docs(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(((r[0], *w) for r, w in zip(rows, plain_strings([r[1] for r in rows]))), key=repr)
 
 
 # --- language model ----------------------------------------------------------------

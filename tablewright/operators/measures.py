@@ -86,6 +86,22 @@ def in_currency(columns: dict[str, str], selected: str | None, default: str | No
     return F.col(name) if name else F.lit(None).cast("double")
 
 
+def selected(column: Column, default: object = None) -> Column:
+    """The one value that a column has in the group, else the default."""
+    return F.when(F.min(column) == F.max(column), F.min(column)).otherwise(F.lit(default))
+
+
+def shown(amount: Column, symbol: Column | str, decimals: int = 0) -> Column:
+    """An amount as text with its currency's sign."""
+    return F.concat(F.lit(symbol) if isinstance(symbol, str) else symbol, F.format_number(amount, decimals))
+
+
+def by_field(df: DataFrame, grain: list[str], fields: list[tuple[str, str]]) -> DataFrame:
+    """A field parameter: for each row of the grain and each (label, measure) in order: field, field_order and value, from which a report picks."""
+    rows = F.explode(F.array(*[F.struct(F.lit(label).alias("field"), F.lit(i).alias("field_order"), F.col(c).cast("double").alias("value")) for i, (label, c) in enumerate(fields)]))
+    return df.select(*grain, rows.alias("f")).select(*grain, "f.*")
+
+
 def excluding(value: Column, test: Column) -> Column:
     """Sum over rows for which the dimension's test holds."""
     return F.sum(F.when(test, value))
@@ -133,6 +149,29 @@ def in_other_currency(amount: Column, own: Column, other: Column | str, rate: Co
     return F.when(own == other, amount).otherwise(F.try_divide(amount, F.nullif(rate, F.lit(0))))
 
 
+def volume(quantity: Column, weight: Column) -> Column:
+    return quantity * weight
+
+
+def margin(amount: Column, cost: Column, quantity: Column, rebate: Column | None = None) -> Column:
+    """What is left of an amount after costs and rebate; those that are missing count as 0."""
+    return amount - F.coalesce(cost * quantity, F.lit(0)) - (F.coalesce(rebate, F.lit(0)) if rebate is not None else F.lit(0))
+
+
+def with_attribute(items: DataFrame, key: str, chain: list[tuple[DataFrame, str, str]], value: str, name: str) -> DataFrame:
+    """items with one attribute that a chain of tables leads to: each link is (table, column so far, column of the table).
+
+    The chain is followed apart from the items and brought to one value (the largest) an
+    item's key, so that an item with several values or none stays one row.
+    """
+    first, _, entry = chain[0]
+    found = first.withColumn("__entry", F.col(entry))
+    for table, left, right in chain[1:]:
+        found = found.join(table.withColumn("__right", F.col(right)), F.col(left) == F.col("__right")).drop("__right")
+    one = found.groupBy("__entry").agg(F.max(value).alias(name))
+    return items.join(one, F.col(key) == F.col("__entry"), "left").drop("__entry")
+
+
 def natural_key(*parts: Column, delimiter: str = "|", null: str = "") -> Column:
     return F.concat_ws(delimiter, *[F.coalesce(p.cast("string"), F.lit(null)) for p in parts])
 

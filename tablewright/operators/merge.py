@@ -119,9 +119,13 @@ def class_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("_class").agg(F.count("*").alias("n_rows"))
 
 
-def replace_partitions(target: DataFrame, source: DataFrame, by: list[str]) -> DataFrame:
-    """target without the partitions that source has, and source; by names the period and, before it, what groups periods."""
+def untouched(target: DataFrame, source: DataFrame, by: list[str]) -> DataFrame:
+    """target without the partitions that source has; by names the period and, before it, what groups periods."""
     replaced = source.select(*[F.col(c).alias(f"__p_{c}") for c in by]).distinct()
     same = functools.reduce(op.and_, [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in by])
-    rest = target.join(replaced, same, "left_anti")
-    return rest.unionByName(source, allowMissingColumns=True)
+    return target.join(replaced, same, "left_anti")
+
+
+def replace_partitions(target: DataFrame, source: DataFrame, by: list[str]) -> DataFrame:
+    """target without the partitions that source has, and source."""
+    return untouched(target, source, by).unionByName(source, allowMissingColumns=True)

@@ -104,7 +104,7 @@ AGGREGATES = {
 
 
 def aggregate(spec: dict) -> C:
-    """One aggregation: function, column or expression, distinct, alias (by default function_column)."""
+    """One aggregation: function, column or expression, distinct, alias (by default function_column). first and last take order_by, without which they depend on the order of rows."""
     name = str(spec.get("function", "")).lower()
     if name not in AGGREGATES:
         raise ConfigError(f"aggregate {name!r}; known are {sorted(AGGREGATES)}")
@@ -112,7 +112,13 @@ def aggregate(spec: dict) -> C:
     if text is None:
         raise ConfigError(f"aggregate {name!r} needs a column or an expression")
     of = F.lit(1) if text == "*" else F.expr(text)
-    if spec.get("distinct") and name not in ("min", "max", "count_distinct", "countdistinct", "collect_set", "approx_count_distinct"):
+    if spec.get("order_by"):
+        if name not in ("first", "last"):
+            raise ConfigError(f"aggregate {name!r} has no order")
+        by = spec["order_by"]
+        order = F.struct(*[F.expr(c) for c in ([by] if isinstance(by, str) else by)])
+        out = (F.min_by if name == "first" else F.max_by)(of, order)
+    elif spec.get("distinct") and name not in ("min", "max", "count_distinct", "countdistinct", "collect_set", "approx_count_distinct"):
         if name == "count":
             out = F.count_distinct(of)
         elif name == "sum":

@@ -45,8 +45,11 @@ def check_duplicates(df: DataFrame, keys: list[str], action: str = "reject") ->
 
 def latest_per_period(df: DataFrame, partition_by: list[str], period: str, order: str) -> DataFrame:
     """All rows at the largest order of their (partition, period)."""
-    newest = F.max(order).over(W.partitionBy(*partition_by, period))
-    return df.withColumn("__newest", newest).filter(F.col(order) == F.col("__newest")).drop("__newest")
+    groups = [*partition_by, period]
+    # maxima are summed up before the shuffle and joined back, so that no task needs a whole period
+    newest = df.groupBy(*[F.col(c).alias(f"__g_{c}") for c in groups]).agg(F.max(order).alias("__newest"))
+    same = functools.reduce(op.and_, [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in groups], F.col(order) == F.col("__newest"))
+    return df.join(newest, same, "left_semi")
 
 
 def period_sets(df: DataFrame, period: str, partition_by: list[str] | None = None) -> DataFrame:

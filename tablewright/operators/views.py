@@ -45,6 +45,26 @@ def of_layers(tables: dict[str, DataFrame], columns: dict[str, str]) -> DataFram
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+#: Columns of the tables of rejected and of duplicate rows, and their names in the views.
+REJECTED = {"_dq_run_id": "run_id", "_dq_table_name": "table_name", "_dq_load_id": "load_id", "_dq_column_name": "column_name", "_dq_rejection_reason": "rejection_reason", "_dq_rule_name": "rule_name", "_dq_rejected_at": "rejected_at", "_dq_natural_id": "natural_id", "_dq_record": "record_json"}
+DUPLICATES = {"_dq_run_id": "run_id", "_dq_table_name": "table_name", "_dq_load_id": "load_id", "_dq_natural_keys": "natural_keys", "_dq_detected_at": "detected_at"}
+
+
+def rejected(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rejected rows of all layers that have a table of them."""
+    return of_layers(tables, REJECTED)
+
+
+def duplicates(tables: dict[str, DataFrame]) -> DataFrame:
+    """Duplicate rows of all layers that have a table of them."""
+    return of_layers(tables, DUPLICATES)
+
+
+def unresolved(tables: dict[str, DataFrame]) -> DataFrame:
+    """Unresolved foreign keys, or their records, of all layers that have a table of them, as they stand; columns that one lacks are null."""
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("layer", F.lit(name)) for name, df in tables.items()])
+
+
 def dim_load(runs: DataFrame) -> DataFrame:
     return runs.groupBy("load_id").agg(F.count_distinct("run_id").alias("runs"), F.count_distinct("table_name").alias("tables"), F.min("started_at").cast("date").alias("load_date"))
 

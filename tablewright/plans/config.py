@@ -286,7 +286,7 @@ def table(d: dict) -> Table:
         raise ConfigError(f"filter_mode {incremental.filter_mode!r}")
     dq = d.get("dq") or {}
     checked = any((s.get("extensions") or {}).get("stage_plugin") == "check_duplicates" for s in stages)
-    if bool(dq.get("duplicates_table")) != checked:
+    if bool(dq.get("duplicates_table")) != checked and not (dq.get("duplicates_table") and d.get("shared_dq")):
         warnings.warn(f"table {d.get('name')!r}: " + ("no stage looks for duplicates, so dq.duplicates_table stays empty" if dq.get("duplicates_table") else "check_duplicates without dq.duplicates_table keeps its rows in the context only"), stacklevel=2)
     return Table(_need(d, "name", "a table"), d.get("layer", ""), d.get("target_schema"), d.get("description", ""), tuple(source(s) for s in d.get("sources") or []), tuple(stage(s) for s in stages), policies, incremental, dict(d.get("dq") or {}), _texts(d.get("tags")), dict(d.get("extensions") or {}))
 
@@ -325,9 +325,9 @@ def expanded(x: Any, scope: dict) -> Any:
     return value(whole[1]) if whole else _MACRO.sub(lambda m: str(value(m[1])), x)
 
 
-def with_templates(d: dict, templates: list[dict]) -> dict:
-    """d with each column that names a template (by its own name or by template:) filled up from it."""
-    by_name = {t["name"]: t for t in templates}
+def with_templates(d: dict, templates: dict[str, dict | None] | list[dict]) -> dict:
+    """d with each column that names a template (by its own name or by template:) filled up from it. Templates are a mapping by name or a list with names."""
+    by_name = {n: t or {} for n, t in templates.items()} if isinstance(templates, dict) else {t["name"]: t for t in templates}
 
     def filled(c: dict) -> dict:
         base = by_name.get(c.get("template") or c.get("name"))
@@ -367,4 +367,6 @@ def resolved(d: dict, defaults: dict) -> dict:
     templates = defaults.get("common_columns") or inner.get("common_columns") or []
     base = {k: v for k, v in inner.items() if k in ("policies", "optimisation", "dq", "incremental", "tags", "layer", "target_schema")}
     out = merged(base, d)
+    if inner.get("dq") and not (d.get("dq") or {}).get("duplicates_table"):
+        out["shared_dq"] = True  # a layer's table is there for all plans, whether one looks for duplicates or not
     return expanded(with_templates(out, templates), merged(out, {"defaults": inner}))

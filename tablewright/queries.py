@@ -6,6 +6,8 @@ decimals, so that they don't depend on the order of rows.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +15,12 @@ from pyspark.sql import functions as F
 
 from tablewright.functions import checks, cleaning
 from tablewright.operators import incremental, measures, merge, stages, views
-from tablewright.plans.compiler import compiled
-from tablewright.sources import ingest
+from tablewright.plans import registry
+from tablewright.plans.compiler import PlanBuilder, compiled
+from tablewright.plans.config import YamlConfigProvider
+from tablewright.plans.config import table as plan_from
+from tablewright.plans.writer import SnapshotStore, TableWriter
+from tablewright.sources import ingest, profiling, readers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -107,13 +113,29 @@ plan_query("generated_rows", {"sources": [{"name": "g", "generated": {"row_count
 
 # --- joins ------------------------------------------------------------------------
 
-_RIGHT = "(select * from supplier where s_suppkey % 3 <> 0)"
 for _kind in ("inner", "left", "right", "full"):
     plan_query(
         f"join_{_kind}",
-        {"sources": ["customer", {"name": "s", "of": "supplier"}], "stages": [{"name": "a", "source_filters": {"customer": ["c_custkey % 7 <> 0", "c_custkey < 300"], "s": ["s_suppkey % 3 <> 0"]}, "joins": [{"source": "s", "type": _kind, "conditions": [{"left": "customer.c_custkey", "right": "s_suppkey"}]}], "columns": cols(c="customer.c_custkey", s="s.s_suppkey", name="coalesce(customer.c_name, s.s_name)")}]},
-        f"select c_custkey as c, s_suppkey as s, coalesce(c_name, s_name) as name from (select * from customer where c_custkey % 7 <> 0 and c_custkey < 300) {_kind} join {_RIGHT} on c_custkey = s_suppkey",
+        {"sources": ["customer", {"name": "s", "of": "supplier"}], "stages": [{"name": "a", "source_filters": {"customer": ["c_mktsegment <> 'MACHINERY'"], "s": ["s_acctbal > 0"]}, "joins": [{"source": "s", "type": _kind, "conditions": [{"left": "customer.c_custkey", "right": "s_suppkey"}]}], "columns": cols(c="customer.c_custkey", s="s.s_suppkey", name="coalesce(customer.c_name, s.s_name)")}]},
+        f"select c_custkey as c, s_suppkey as s, coalesce(c_name, s_name) as name from (select * from customer where c_mktsegment <> 'MACHINERY') {_kind} join (select * from supplier where s_acctbal > 0) on c_custkey = s_suppkey",
     )
+plan_query(
+    "join_duplicates_keep_left",
+    {"sources": ["nation", {"name": "other", "of": "nation"}], "stages": [{"name": "a", "joins": [{"source": "other", "type": "left", "conditions": [{"left": "n_regionkey", "right": "n_nationkey"}]}]}]},
+    "select a.n_nationkey, a.n_name, a.n_regionkey from nation a left join nation b on a.n_regionkey = b.n_nationkey",
+)
+
+
+@query("join_computed_keys", "select c_custkey as c, upper('n' || c_nationkey || '-' || c_mktsegment) as place, n_name as nation from customer left join nation on upper('n' || c_nationkey) = 'N' || n_nationkey")
+def _computed(spark, d):
+    stages_ = [
+        {"name": "keys", "columns": cols(c="customer.c_custkey", place="upper(concat('n', customer.c_nationkey, '-', customer.c_mktsegment))", code="upper(concat('n', customer.c_nationkey))")},
+        {"name": "found", "joins": [{"source": "nations", "type": "left", "conditions": [{"left": "code", "right": "nation_code"}]}], "columns": cols(c="c", place="place", nation="nations.nation")},
+    ]
+    nations = table(spark, d, "nation").select(F.concat(F.lit("N"), "n_nationkey").alias("nation_code"), F.col("n_name").alias("nation"))
+    return compiled(spark, {"name": "computed", "sources": [{"name": "customer", "path": f"{d}/customer.parquet"}], "stages": stages_}, {"customer": table(spark, d, "customer"), "nations": nations})
+
+
 plan_query("join_cross", {"sources": ["nation", "region"], "stages": [{"name": "a", "joins": [{"source": "region", "type": "cross"}], "columns": cols(n="nation.n_name", r="region.r_name")}]}, "select n_name as n, r_name as r from nation cross join region")
 plan_query("join_theta", {"sources": ["nation", "region"], "stages": [{"name": "a", "joins": [{"source": "region", "type": "inner", "conditions": [{"left": "n_regionkey", "right": "r_regionkey", "operator": "<"}, {"left": "n_nationkey", "right": "r_regionkey", "operator": "!="}]}], "columns": cols(n="nation.n_name", r="region.r_name")}]}, "select n_name as n, r_name as r from nation join region on n_regionkey < r_regionkey and n_nationkey <> r_regionkey")
 plan_query(
@@ -189,7 +211,16 @@ plan_query(
 plan_query("agg_default_alias", one(["orders"], group_by={"keys": ["o_orderstatus"], "aggregations": [{"function": "count", "column": "o_orderkey"}, {"function": "max", "column": "orders.o_orderkey"}]}), "select o_orderstatus, count(o_orderkey) as count_o_orderkey, max(o_orderkey) as max_orders_o_orderkey from orders group by 1")
 plan_query("agg_no_aggs", one(["orders"], group_by={"keys": ["o_orderstatus", "o_orderpriority"]}), "select distinct o_orderstatus, o_orderpriority from orders")
 plan_query("having", one(["orders"], group_by={"keys": ["o_custkey"], "aggregations": [{"function": "count", "column": "*", "alias": "n"}], "having": ["n > 3", "o_custkey % 2 = 0"]}), "select o_custkey, count(*) as n from orders group by 1 having count(*) > 3 and o_custkey % 2 = 0")
-plan_query("agg_first_last", {"sources": ["orders"], "stages": [{"name": "b", "group_by": {"keys": ["o_custkey"], "aggregations": [{"function": "first", "column": "o_custkey", "alias": "a"}, {"function": "last", "column": "o_custkey", "alias": "b"}]}}]}, "select o_custkey, o_custkey as a, o_custkey as b from orders group by 1")
+
+
+@query("agg_first_last", "select o_custkey, arg_min(o_orderkey, (o_orderdate, o_orderkey)) as first_order, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as last_order, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) as last_status from orders group by 1")
+def _first_last(spark, d):
+    """first and last with order_by, which makes them the same on every run."""
+    order = ["o_orderdate", "o_orderkey"]
+    sums = [{"function": "first", "column": "o_orderkey", "alias": "first_order", "order_by": order}, {"function": "last", "column": "o_orderkey", "alias": "last_order", "order_by": order}, {"function": "last", "column": "o_orderstatus", "alias": "last_status", "order_by": order}]
+    return compiled(spark, {"name": "t", "sources": [{"name": "orders", "path": f"{d}/orders.parquet"}], "stages": [{"name": "b", "group_by": {"keys": ["o_custkey"], "aggregations": sums}}]})
+
+
 plan_query("agg_approx_distinct", {"sources": ["lineitem"], "stages": [{"name": "b", "group_by": {"keys": ["l_returnflag"], "aggregations": [{"function": "approx_count_distinct", "column": "l_partkey", "alias": "parts"}]}}]}, None)
 
 # --- unions -----------------------------------------------------------------------
@@ -227,10 +258,13 @@ def _dups(spark, d):
     return stages.duplicate_keys(table(spark, d, "lineitem"), _LINE)
 
 
-@query("duplicate_records_json", "select l_orderkey as k, count(*) as n from lineitem where (l_orderkey, l_linenumber) in (select (l_orderkey, l_linenumber) from lineitem group by l_orderkey, l_linenumber having count(*) > 1) group by 1")
+@query("duplicate_records_json", """
+    select '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || '}' as _dq_natural_id, '{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || ',"l_returnflag":"' || l_returnflag || '"}' as _dq_record,
+    't' as _dq_table_name, 'r1' as _dq_run_id, 'l1' as _dq_load_id, 'l_orderkey,l_linenumber' as _dq_natural_keys, timestamp '2024-01-02 03:04:05' as _dq_detected_at
+    from lineitem qualify count(*) over (partition by l_orderkey, l_linenumber) > 1""")
 def _dup_json(spark, d):
-    rows = stages.duplicate_records(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), _LINE, "t")
-    return rows.groupBy(F.get_json_object("_dq_natural_id", "$.l_orderkey").cast("bigint").alias("k")).agg(F.count("*").alias("n"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    return stages.duplicate_records(rows, _LINE, "t", "r1", "l1", "2024-01-02 03:04:05").withColumn("_dq_detected_at", F.col("_dq_detected_at").cast("timestamp_ntz"))
 
 
 _EVENT_DAYS = "select event_id, event_type, cast(ts as date) as day, value from events"
@@ -293,10 +327,13 @@ def _override(spark, d):
     return out.select("fk_column", "unresolved_count", F.col("watermark_override").cast("string").alias("watermark_override"))
 
 
-@query("rejected_json", """select '{"o_orderkey":' || o_orderkey || '}' as _dq_natural_id, 'o_orderstatus' as _dq_column_name, 'in_set' as _dq_rule_name from orders where o_orderstatus not in ('F', 'O')""")
+@query("rejected_json", """
+    select '{"o_orderkey":' || o_orderkey || '}' as _dq_natural_id, '{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}' as _dq_record, 'not allowed' as _dq_rejection_reason,
+    'o_orderstatus' as _dq_column_name, 'in_set' as _dq_rule_name, 'orders' as _dq_table_name, 'r1' as _dq_run_id, 'l1' as _dq_load_id, timestamp '2024-01-02 03:04:05' as _dq_rejected_at from orders where o_orderstatus not in ('F', 'O')""")
 def _rejected(spark, d):
-    _, bad = checks.in_set(table(spark, d, "orders"), "o_orderstatus", ["F", "O"])
-    return stages.rejected_records(bad, ["o_orderkey"], "r", "o_orderstatus", "in_set", "orders").select("_dq_natural_id", "_dq_column_name", "_dq_rule_name")
+    _, bad = checks.in_set(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o_orderstatus", ["F", "O"])
+    out = stages.rejected_records(bad.select("o_orderkey", "o_custkey", "o_orderstatus"), ["o_orderkey"], "not allowed", "o_orderstatus", "in_set", "orders", "r1", "l1", "2024-01-02 03:04:05")
+    return out.withColumn("_dq_rejected_at", F.col("_dq_rejected_at").cast("timestamp_ntz"))
 
 
 @query("flow_previous_period", """
@@ -348,10 +385,9 @@ text_query("sanitize_name", "pages", "page_id", "url", "url", cleaning.sanitize_
 _FILE = "case o_orderkey % 6 when 0 then concat('sales_', {0}, '.csv') when 1 then concat('sales-', {1}, '.csv') when 2 then concat('rep ', {2}) when 3 then concat(lower({3}), '-', {4}, '.csv') when 4 then concat({4}, ' ', substr({3}, 1, 3), '.txt') else 'no digits.csv' end"
 text_query(
     "extract_period", "orders", "o_orderkey", _FILE.format(*[f"date_format(o_orderdate, '{p}')" for p in ("yyyyMMdd", "yyMMdd", "yyMM", "MMMM")], "2024"), _FILE.format(*[f"strftime(o_orderdate, '{p}')" for p in ("%Y%m%d", "%y%m%d", "%y%m", "%B")], "2024"),
-    lambda c: F.when(F.substring(c, 1, 6) == "sales-", F.substring(cleaning.extract_period(c), 3, 4)).otherwise(cleaning.extract_period(c)),
-    "case o_orderkey % 6 when 0 then x[9:14] when 1 then x[9:12] when 2 then x[5:8] || '01' when 5 then null else '24' || lpad(cast(month((select min(q.o_orderdate) from orders q where q.o_orderkey = o.o_orderkey)) as varchar), 2, '0') || '01' end",
+    cleaning.extract_period, "null",
 )
-ORACLE["extract_period"] = "select o_orderkey, case o_orderkey % 6 when 0 then strftime(o_orderdate, '%y%m%d') when 1 then strftime(o_orderdate, '%m%d') when 2 then strftime(o_orderdate, '%y%m') || '01' when 5 then null else '24' || strftime(o_orderdate, '%m') || '01' end as y from orders"
+ORACLE["extract_period"] = "select o_orderkey, case o_orderkey % 6 when 0 then strftime(o_orderdate, '%y%m%d') when 1 then strftime(o_orderdate, '%y%m%d') when 2 then strftime(o_orderdate, '%y%m') || '01' when 5 then null else '24' || strftime(o_orderdate, '%m') || '01' end as y from orders"
 
 for _action in ("reject", "warn", "fill"):
     plan_query(
@@ -570,9 +606,9 @@ def _health(spark, d):
     return views.pipeline_health(_runs(spark, d)).drop("started_at").withColumn("rejection_rate", F.col("rejection_rate").cast("double"))
 
 
-@query("v_rejection_trend", f"select table_name, cast(cast(started_at as date) as varchar) as run_date, count(*) as runs, count(*) filter (status = 'failed') as failed_runs, count(*) filter (status = 'skipped') as skipped_runs, cast(sum(rows_read) as bigint) as rows_read, cast(sum(rows_rejected) as bigint) as rows_rejected, round(avg(duration_seconds), 6) as avg_duration, max(duration_seconds) as max_duration from {_RUNS_SQL} group by 1, 2")
+@query("v_rejection_trend", f"select table_name, cast(cast(started_at as date) as varchar) as run_date, count(*) as runs, count(*) filter (status = 'failed') as failed_runs, count(*) filter (status = 'skipped') as skipped_runs, cast(sum(rows_read) as bigint) as rows_read, cast(sum(rows_rejected) as bigint) as rows_rejected, round(avg(duration_seconds), 6) as avg_duration, max(duration_seconds) as max_duration, case when sum(rows_read) > 0 then round(100.0 * sum(rows_rejected) / sum(rows_read), 2) else 0.0 end as rejection_rate from {_RUNS_SQL} group by 1, 2")
 def _trend(spark, d):
-    return views.rejection_trend(_runs(spark, d)).drop("rejection_rate").withColumns({"run_date": F.col("run_date").cast("string"), "avg_duration": F.round("avg_duration", 6)})
+    return views.rejection_trend(_runs(spark, d)).withColumns({"rejection_rate": F.col("rejection_rate").cast("double"), "run_date": F.col("run_date").cast("string"), "avg_duration": F.round("avg_duration", 6)})
 
 
 @query("v_dq_summary", f"select table_name, {_LAYER}, cast(cast(started_at as date) as varchar) as run_date, 'null' as issue_type, case when run_id % 2 = 0 then 'rejected' else 'warned' end as action, 'c' || run_id % 3 as column_name, cast(sum(run_id % 5) as bigint) as affected_rows, count(distinct run_id) as runs from {_RUNS_SQL} group by all")
@@ -633,13 +669,282 @@ def _reconcile(spark, d):
     return out.select(F.concat(F.lit("/in/"), F.element_at(F.split("file_name", r"\?"), 2)).alias("path"), "ingestion_status")
 
 
-@query("ingestion_summary", "select event_type as source, case when user_id % 2 = 0 then 'SUCCESS' else 'FAILED' end as status, count(*) as files, cast(sum(event_id) as bigint) as rows from events group by 1, 2")
+@query("ingestion_summary", "select event_type as source, case when user_id % 2 = 0 then 'SUCCESS' else 'FAILED' end as status, count(*) as files, cast(sum(event_id) as bigint) as rows, max(ts) as last_loaded from events group by 1, 2 order by 1, 2")
 def _summary(spark, d):
     log = table(spark, d, "events").select(F.col("event_type").alias("source"), F.when(F.col("user_id") % 2 == 0, "SUCCESS").otherwise("FAILED").alias("status"), F.col("event_id").alias("row_count"), F.col("ts").alias("loaded_on"))
-    return ingest.summary(log).drop("last_loaded")
+    return ingest.summary(log)
 
 
 @query("latest_failures_topk", "select event_id from events where event_type = 'error' order by ts desc, event_type, event_id limit 10")
 def _failures(spark, d):
     log = table(spark, d, "events").select(F.lit("FAILED").alias("status"), F.col("ts").alias("loaded_on"), F.col("event_type").alias("folder"), F.col("event_id").alias("file_name")).filter("folder = 'error'")
     return ingest.latest_failures(log).select(F.col("file_name").alias("event_id"))
+
+
+# --- writing ----------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='tablewright-')}/query-{uuid.uuid4().hex}"
+
+
+def _written(spark: SparkSession, parts: list[DataFrame], mode: str, state: dict | None = None, keys: tuple[str, ...] = (), by: tuple[str, ...] = (), **policies: object) -> DataFrame:
+    """The table after a plan without columns of its own has written parts one after another, the first by appending."""
+    writer = TableWriter(SnapshotStore(spark, _folder(spark)))
+    for i, df in enumerate(parts):
+        columns = [{"name": c, "natural": c in keys, "inputs": [{"column": c}]} for c in df.columns]
+        plan = plan_from({"name": "t", "layer": "gold", "sources": [{"name": "s", "table": "s"}], "columns": columns, "policies": {"load_mode": mode if i else "append", "partition_scheme": list(by)} | policies})
+        writer.write(spark, df, plan, registry.Context(state=dict(state or {})))
+    return writer.store.read("gold.t")
+
+
+_PERIOD = "lpad(cast(month(o_orderdate) as varchar), 3, '0')"
+
+
+def _periods_of_orders(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.lpad(F.month("o_orderdate").cast("string"), 3, "0").alias("period"))
+
+
+@query("write_append", f"select o_orderkey, o_totalprice, {_PERIOD} as period from orders union all select -o_orderkey, null, {_PERIOD} from orders where month(o_orderdate) = 7")
+def _append(spark, d):
+    """Periods are texts like '007', which folders of partitions must not turn into numbers; the second part lacks a column."""
+    o = _periods_of_orders(spark, d)
+    return _written(spark, [o, o.filter("period = '007'").select((-F.col("o_orderkey")).alias("o_orderkey"), "period")], "append", by=("period",))
+
+
+@query("write_overwrite", f"select o_orderkey, {_PERIOD} as period from orders where o_orderstatus = 'F'")
+def _overwrite(spark, d):
+    o = _periods_of_orders(spark, d)
+    return _written(spark, [o, table(spark, d, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", F.lpad(F.month("o_orderdate").cast("string"), 3, "0").alias("period"))], "overwrite", by=("period",))
+
+
+@query("write_replace_by_partition", f"select o_orderkey, o_totalprice, {_PERIOD} as period from orders where month(o_orderdate) not in (7, 11) union all select -o_orderkey, o_totalprice, {_PERIOD} from orders where month(o_orderdate) in (7, 11)")
+def _replaced_periods(spark, d):
+    o = _periods_of_orders(spark, d)
+    return _written(spark, [o, o.filter("period in ('007', '011')").withColumn("o_orderkey", -F.col("o_orderkey"))], "replace_by_partition", {"replace_by": ["period"]}, by=("period",))
+
+
+@query("write_merge", f"select o_orderkey, case when o_orderstatus = 'F' then 0.0 else o_totalprice end as o_totalprice, {_PERIOD} as period from orders union all select -o_orderkey, 0.0, {_PERIOD} from orders where o_orderstatus = 'P'")
+def _merged_orders(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.lpad(F.month("o_orderdate").cast("string"), 3, "0").alias("period"), "o_orderstatus")
+    new = o.filter("o_orderstatus = 'F'").unionByName(o.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))).withColumn("o_totalprice", F.lit(0.0))
+    return _written(spark, [o.drop("o_orderstatus"), new.drop("o_orderstatus")], "merge", keys=("o_orderkey",), by=("period",), merge_strategy="update_changed")
+
+
+# --- plans with a layer's defaults --------------------------------------------------
+
+#: Defaults of a layer, in the form that plans of this kind come with: templates as a mapping by name.
+LAYER = {
+    "metrics": {"schema": "log", "auto_persist": True},
+    "dq": {"rejected_table": "log.rejected", "duplicates_table": "log.duplicates", "unresolved_fks_table": "log.unresolved_fks", "unresolved_records_table": "log.unresolved_records"},
+    "schemas": ["log", "dimension", "fact"],
+    "columns": {"default_string": "Unknown", "default_int": 0, "default_decimal": 0.0, "default_date": "1900-01-01"},
+    "common_columns": {"source_modified": {"data_type": "date", "nullable": False, "default": "${defaults.columns.default_date}"}, "source_period": {"data_type": "int", "nullable": False, "default": "${defaults.columns.default_int}"}},
+    "optimisation": {"load_mode": "merge", "merge_strategy": "update_changed", "partition_scheme": None},
+    "incremental": {"filter_mode": "none", "lookback_days": 0},
+}
+
+
+def _of_layer(spark: SparkSession, plan: dict, sources: dict[str, DataFrame]) -> DataFrame:
+    loaded = YamlConfigProvider().load_dict(plan, LAYER)
+    assert loaded.policies.load_mode == "merge"
+    return PlanBuilder(loaded).build(spark, sources=sources)
+
+
+@query("dialect_fact", """
+    select cast(o_orderkey as varchar) as OrderNaturalID, coalesce(strftime(day, '%Y%m%d'), 'NO_DATE') as FK_DateID, coalesce(cast(c_custkey as varchar), 'NO_CUSTOMER') as FK_CustomerID, cast(cast(o_orderdate as date) as varchar) as DateNaturalID,
+    o_shippriority as Quantity, cast(o_totalprice as decimal(18,2)) as TotalAmount, coalesce(case when o_orderstatus = 'F' then cast(o_orderdate as date) end, date '1900-01-01') as source_modified
+    from (select *, 1 as o_shippriority from orders) left join (select cast(unnest(generate_series(date '1996-01-01', date '2000-12-31', interval 1 day)) as date) as day) on cast(o_orderdate as date) = day left join (select * from customer where c_mktsegment <> 'BUILDING') on o_custkey = c_custkey""")
+def _dialect_fact(spark, d):
+    """A fact of the layer's form: columns beside stages, lookups with sentinels, templates and macros from the defaults, a check at the end."""
+    plan = {
+        "name": "f_orders", "layer": "gold", "target_schema": "fact", "natural_key": ["OrderNaturalID"],
+        "policies": {"orchestration": {"active": True, "batch": 2, "order": 10}, "creation": {"notebook_name": "template"}, "optimisation": {"load_mode": "merge"}},
+        "sources": [{"name": "src", "table": "silver.orders"}, {"name": "d_date", "table": "dimension.d_date", "broadcast": True}, {"name": "d_customer", "table": "dimension.d_customer", "broadcast": True}],
+        "incremental": {"filter_mode": "watermark", "watermark_column": "DateNaturalID", "source_watermark_column": "o_orderdate"},
+        "columns": [
+            {"name": "OrderNaturalID", "data_type": "string", "nullable": False, "inputs": [{"source": "src", "column": "o_orderkey"}]},
+            {"name": "FK_DateID", "data_type": "string", "nullable": False, "default": "NO_DATE", "inputs": [{"expression": "COALESCE(d_date.DateID, 'NO_DATE')"}]},
+            {"name": "FK_CustomerID", "data_type": "string", "nullable": False, "default": "NO_CUSTOMER", "inputs": [{"expression": "COALESCE(d_customer.CustomerID, 'NO_CUSTOMER')"}]},
+            {"name": "DateNaturalID", "data_type": "string", "nullable": False, "inputs": [{"source": "src", "column": "order_day"}]},
+            {"name": "Quantity", "data_type": "int", "default": "${defaults.columns.default_int}", "inputs": [{"expression": "1"}]},
+            {"name": "TotalAmount", "data_type": "decimal(18,2)", "nullable": False, "default": 0.0, "inputs": [{"source": "src", "column": "o_totalprice"}]},
+            {"name": "source_modified", "inputs": [{"expression": "CASE WHEN src.o_orderstatus = 'F' THEN src.order_day END"}]},
+        ],
+        "stages": [
+            {"name": "join_dimensions", "type": "transformation", "joins": [
+                {"source": "d_date", "type": "left", "conditions": [{"left": "DateNaturalID", "right": "DateKey"}]},
+                {"source": "d_customer", "type": "left", "conditions": [{"left_source": "src", "left_column": "o_custkey", "right": "CustomerNaturalID"}]},
+            ]},
+            {"name": "check_unresolved_fks", "extensions": {"stage_plugin": "check_unresolved_fks", "summary_table": "${defaults.dq.unresolved_fks_table}", "records_table": "${defaults.dq.unresolved_records_table}", "checks": [{"column": "FK_DateID", "sentinel": "NO_DATE"}, {"column": "FK_CustomerID", "sentinel": "NO_CUSTOMER"}]}},
+        ],
+    }
+    days = readers.generated(spark, {"date_start": "1996-01-01", "date_end": "2000-12-31"}).select(F.date_format("date_value", "yyyyMMdd").alias("DateID"), F.col("date_value").cast("string").alias("DateKey"))
+    customers = table(spark, d, "customer").filter("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").cast("string").alias("CustomerID"), F.col("c_custkey").alias("CustomerNaturalID"))
+    orders = table(spark, d, "orders").withColumn("order_day", F.col("o_orderdate").cast("date"))
+    return _of_layer(spark, plan, {"src": orders, "d_date": days, "d_customer": customers})
+
+
+@query("dialect_date", """
+    select md5(cast(day as varchar)) as DateID, cast(day as varchar) as DateNaturalID, day as FullDate, strftime(day, '%B') as MonthName, cast(year(day) as int) as Year, dayofweek(day) in (0, 6) as IsWeekend, date '2024-01-01' as source_modified, 0 as source_period
+    from (select cast(unnest(generate_series(date '2020-01-01', date '2030-01-01', interval 1 day)) as date) as day)
+    union all select 'NO_DATE', '1900-01-01', date '1900-01-01', '!! Unknown', 1900, null, null, null""")
+def _dialect_date(spark, d):
+    """A generated dimension with a sentinel row; its period column comes whole from the layer's template."""
+    shown = {"DateID": ("string", "md5(CAST(date_value AS STRING))"), "DateNaturalID": ("string", "CAST(date_value AS STRING)"), "FullDate": ("date", "date_value"), "MonthName": ("string", "date_format(date_value, 'MMMM')"), "Year": ("int", "year(date_value)"), "IsWeekend": ("boolean", "dayofweek(date_value) IN (1, 7)")}
+    plan = {
+        "name": "d_date", "layer": "gold", "target_schema": "dimension", "natural_key": ["DateNaturalID"], "policies": {"orchestration": {"active": True, "batch": 0}, "optimisation": {"load_mode": "merge", "merge_strategy": "insert_only"}},
+        "sources": [{"name": "generated", "generated": {"kind": "dates"}}],
+        "columns": [{"name": n, "data_type": t, "nullable": False, "inputs": [{"expression": e}]} for n, (t, e) in shown.items()] + [{"name": "source_modified", "inputs": [{"expression": "DATE'2024-01-01'"}]}, {"name": "source_period"}],
+        "stages": [{"name": "add_sentinels", "extensions": {"stage_plugin": "ensure_sentinels", "records": [{"DateID": "NO_DATE", "DateNaturalID": "1900-01-01", "FullDate": "1900-01-01", "MonthName": "!! Unknown", "Year": 1900}]}}],
+    }
+    return _of_layer(spark, plan, {"generated": readers.generated(spark, {"kind": "dates"})})
+
+
+@query("dialect_customer", "select cast(c_custkey as varchar) as customer_id, coalesce(nullif(c_mktsegment, 'BUILDING'), 'Unknown') as segment, cast(c_nationkey as varchar) as country, c_acctbal > 0 as is_active, date '1900-01-01' as source_modified from customer")
+def _dialect_customer(spark, d):
+    plan = {
+        "name": "customer", "layer": "silver", "target_schema": "silver", "natural_key": ["customer_id"], "policies": {"optimisation": {"merge_strategy": "update_changed", "hash_columns": ["segment", "country"]}}, "sources": [{"name": "src", "table": "bronze.raw_customers"}],
+        "columns": [
+            {"name": "customer_id", "data_type": "string", "nullable": False, "inputs": [{"source": "src", "column": "c_custkey"}]},
+            {"name": "segment", "data_type": "string", "default": "${defaults.columns.default_string}", "inputs": [{"expression": "nullif(src.c_mktsegment, 'BUILDING')"}]},
+            {"name": "country", "data_type": "string", "inputs": [{"source": "src", "column": "c_nationkey"}]},
+            {"name": "is_active", "data_type": "boolean", "default": True, "inputs": [{"expression": "CASE WHEN src.c_acctbal > 0 THEN true ELSE false END"}]},
+            {"name": "source_modified", "inputs": [{"expression": "CAST(NULL AS DATE)"}]},
+        ],
+    }
+    return _of_layer(spark, plan, {"src": table(spark, d, "customer")})
+
+
+@query("fact_three_stages", """
+    with a as (select l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey as line_key, l_partkey, o_custkey, l_quantity, l_extendedprice, l_discount, o_orderstatus from lineitem join orders on l_orderkey = o_orderkey),
+    b as (select a.*, coalesce(c_custkey, -1) as fk_customer, coalesce(p_partkey, -1) as fk_part, p_size, p_retailprice, c_nationkey from a left join (select * from customer where c_mktsegment <> 'BUILDING') on o_custkey = c_custkey left join (select * from part where p_size > 5) on l_partkey = p_partkey)
+    select line_key, fk_customer, fk_part, round(case when n_name = 'FRANCE' then l_extendedprice else l_extendedprice / nullif(1 + n_nationkey, 0) end, 6) as amount_in_currency, l_quantity * p_size as volume, round(l_extendedprice - coalesce(p_retailprice * l_quantity, 0) - coalesce(l_discount, 0), 6) as margin
+    from b left join nation on c_nationkey = n_nationkey where upper(o_orderstatus) = 'F'""")
+def _three_stages(spark, d):
+    """Natural keys, then lookups with defaults, then other currencies, volume and margin; only invoiced rows stay."""
+    lines = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    own = lines.select(measures.natural_key(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")).alias("line_key"), "l_partkey", "o_custkey", "l_quantity", "l_extendedprice", "l_discount", "o_orderstatus")
+    customers, parts = table(spark, d, "customer").filter("c_mktsegment <> 'BUILDING'"), table(spark, d, "part").filter("p_size > 5")
+    found = own.join(customers, F.col("o_custkey") == F.col("c_custkey"), "left").join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+    found = found.withColumns({"fk_customer": measures.fk(F.col("o_custkey"), F.col("c_custkey")), "fk_part": measures.fk(F.col("l_partkey"), F.col("p_partkey"))})
+    rated = found.join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left").filter(F.upper("o_orderstatus") == "F")
+    amount, quantity = F.col("l_extendedprice"), F.col("l_quantity")
+    return rated.select(
+        "line_key", "fk_customer", "fk_part", F.round(measures.in_other_currency(amount, F.col("n_name"), "FRANCE", (1 + F.col("n_nationkey")).cast("double")), 6).alias("amount_in_currency"),
+        measures.volume(quantity, F.col("p_size")).alias("volume"), F.round(measures.margin(amount, F.col("p_retailprice"), quantity, F.col("l_discount")), 6).alias("margin"),
+    )
+
+
+@query("dim_attribute_chain", "select s_suppkey, s_name like '%1%' as has_one, region from supplier left join (select n_nationkey, r_name as region from nation join region on n_regionkey = r_regionkey where r_name in ('ASIA', 'EUROPE')) on s_nationkey = n_nationkey")
+def _attribute(spark, d):
+    named = table(spark, d, "region").filter(F.col("r_name").isin("ASIA", "EUROPE"))
+    chain = [(table(spark, d, "nation"), "s_nationkey", "n_nationkey"), (named, "n_regionkey", "r_regionkey")]
+    out = measures.with_attribute(table(spark, d, "supplier"), "s_nationkey", chain, "r_name", "region")
+    return out.select("s_suppkey", F.col("s_name").like("%1%").alias("has_one"), "region")
+
+
+@query("bridge_users", "select distinct cast(user_id as varchar) || '|' || event_type as natural_key, coalesce(c_custkey, -1) as fk_user, coalesce(n_nationkey, -1) as fk_entity, event_type = 'error' as is_delete from events left join customer on user_id = c_custkey left join (select * from nation where n_regionkey <> 1) on c_nationkey = n_nationkey")
+def _bridge(spark, d):
+    pairs = table(spark, d, "events").select("user_id", "event_type").distinct()
+    both = pairs.join(table(spark, d, "customer"), F.col("user_id") == F.col("c_custkey"), "left").join(table(spark, d, "nation").filter("n_regionkey <> 1"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    return both.select(measures.natural_key(F.col("user_id"), F.col("event_type")).alias("natural_key"), F.coalesce("c_custkey", F.lit(-1)).alias("fk_user"), F.coalesce("n_nationkey", F.lit(-1)).alias("fk_entity"), (F.col("event_type") == "error").alias("is_delete"))
+
+
+@query("m_field_parameter", "select o_orderstatus, field, field_order, value from (select o_orderstatus, cast(count(*) as double) as n, cast(max(o_custkey) as double) as m from orders group by 1) cross join (values ('Orders', 0), ('Last customer', 1)) as v(field, field_order) cross join lateral (select case field_order when 0 then n else m end as value)")
+def _field_parameter(spark, d):
+    sums = table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.max("o_custkey").alias("m"))
+    return measures.by_field(sums, ["o_orderstatus"], [("Orders", "n"), ("Last customer", "m")])
+
+
+@query("m_selected_value", "select o_custkey, case when min(o_orderstatus) = max(o_orderstatus) then min(o_orderstatus) else 'several' end as status, '£' || format('{:,}', cast(max(o_custkey) as bigint)) as shown from orders group by 1")
+def _selected(spark, d):
+    return table(spark, d, "orders").groupBy("o_custkey").agg(measures.selected(F.col("o_orderstatus"), "several").alias("status"), measures.shown(F.max("o_custkey"), "£").alias("shown"))
+
+
+@query("v_dq_layers", "select 'rejected' as kind, layer, cast(o_orderkey as varchar) as id from (select 'silver' as layer, * from orders where o_orderstatus = 'P' union all select 'gold', * from orders where o_orderstatus = 'F') union all select 'duplicates', 'silver', l_orderkey || ',' || l_linenumber from (select * from lineitem qualify count(*) over (partition by l_orderkey, l_linenumber) > 1)")
+def _dq_layers(spark, d):
+    of = lambda status: stages.rejected_records(table(spark, d, "orders").filter(F.col("o_orderstatus") == status), ["o_orderkey"], "r", "o_orderstatus", "in_set", "orders")
+    bad = views.rejected({"silver": of("P"), "gold": of("F")}).select(F.lit("rejected").alias("kind"), "layer", F.get_json_object("natural_id", "$.o_orderkey").alias("id"))
+    # natural_keys names the columns; the rows' own keys stand in the records
+    again = views.of_layers({"silver": stages.duplicate_records(table(spark, d, "lineitem"), _LINE, "lineitem")}, views.DUPLICATES | {"_dq_natural_id": "natural_id"})
+    id_ = F.concat_ws(",", F.get_json_object("natural_id", "$.l_orderkey"), F.get_json_object("natural_id", "$.l_linenumber"))
+    return bad.unionByName(again.select(F.lit("duplicates").alias("kind"), "layer", id_.alias("id")))
+
+
+@query("v_unresolved", f"select 'gold' as layer, 'fk_customer' as fk_column, count(*) filter (fk_customer = -1) as unresolved_count from {_FACT} union all select 'silver', 'fk_status', count(*) filter (fk_status = 'NO_STATUS') from {_FACT}")
+def _unresolved_views(spark, d):
+    f = _fact(spark, d)
+    return views.unresolved({"gold": stages.unresolved_fks(f, _CHECKS[:1]), "silver": stages.unresolved_fks(f, _CHECKS[1:])}).select("layer", "fk_column", "unresolved_count")
+
+
+@query("v_dim_run", f"select run_id, load_id, table_name, {_LAYER}, status, started_at, duration_seconds from {_RUNS_SQL}")
+def _dim_run(spark, d):
+    return views.dim_run(_runs(spark, d))
+
+
+def _logged(name: str, action: str, condition: str, sql: str, **options: object) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        context = registry.Context(keys=["k"], table="t", run_id="r1")
+        plan = plan_from(one([{"name": "orders", "path": f"{d}/orders.parquet"}], columns=[{"name": "k", "inputs": [{"column": "o_orderkey"}]}, {"name": "s", "inputs": [{"expression": "nullif(o_orderstatus, 'P')"}], "extensions": {"transform": {"name": name, "log_table": "log", "sample_limit": 1_000_000_000, condition: action} | options}}]) | {"name": name})
+        kept = PlanBuilder(plan).build(spark, context)
+        logged = context.rows["log"][0]
+        return kept.select(F.lit("kept").alias("part"), F.col("k").cast("string").alias("k")).unionByName(logged.select(F.lit("logged").alias("part"), F.regexp_extract(F.to_json(F.struct(*logged.columns)), r"k[^0-9]*([0-9]+)", 1).alias("k")))
+
+    QUERIES[name], ORACLE[name] = run, sql
+
+
+_logged("log_nulls_to_table", "reject", "on_null", "select 'kept' as part, cast(o_orderkey as varchar) as k from orders where o_orderstatus <> 'P' union all select 'logged', cast(o_orderkey as varchar) from orders where o_orderstatus = 'P'")
+_logged("log_invalid_to_table", "warn", "on_violation", "select 'kept' as part, cast(o_orderkey as varchar) as k from orders union all select 'logged', cast(o_orderkey as varchar) from orders where o_orderstatus = 'O'", allowed_values=["F"])
+
+
+@query("watermark_overrides", "select o_orderkey from orders where o_orderdate > timestamp '1997-06-30'")
+def _overrides(spark, d):
+    """A date given by hand beats the table's, which counts only where it is earlier than the high-water mark."""
+    o = table(spark, d, "orders")
+    mark = incremental.high_mark(o, "o_orderdate")
+    mark = incremental.chosen_mark(mark, "not a date", None)
+    assert mark == incremental.high_mark(o, "o_orderdate")
+    return incremental.later_than(o, "o_orderdate", incremental.chosen_mark(mark, "1997-06-30", None)).select("o_orderkey")
+
+
+# --- text files -----------------------------------------------------------------------
+
+
+def _csv_file(spark: SparkSession, d: str, below: int) -> str:
+    """The nations as a CSV file with title lines, a header and quoted cells; names and headers as systems give them out."""
+    folder = _folder(spark)
+    rows = table(spark, d, "nation").select(F.lit(1).alias("o"), F.col("n_nationkey").alias("k"), F.concat(F.col("n_nationkey"), F.lit(',"'), F.col("n_name"), F.lit(', the ""great"""'), F.lit(","), F.col("n_regionkey")).alias("value"))
+    head = spark.createDataFrame([(0, i, f"Title {i}") for i in range(below)] + [(0, below, "Nation ID,Nation Name,Region,,Region")], "o int, k int, value string")
+    head.unionByName(rows).orderBy("o", "k").coalesce(1).sortWithinPartitions("o", "k").select("value").write.text(folder)
+    return folder
+
+
+@query("csv_header_marker", "select cast(n_nationkey as varchar) as nation_id, n_name || ', the \"great\"' as nation_name, cast(n_regionkey as varchar) as region, null as c3, null as region_1 from nation")
+def _csv_marker(spark, d):
+    df = readers.read_csv_file(spark, _csv_file(spark, d, 3), header_marker="nation id")
+    return df.toDF(*ingest.sanitized(df.columns)).withColumnsRenamed({"_c3": "c3", "col_3": "c3"})
+
+
+@query("csv_header_line", "select cast(n_nationkey as varchar) as id, cast(n_regionkey as varchar) as area, 'r1' as _run_id, 'nations.csv' as _source_file from nation")
+def _csv_line(spark, d):
+    """A header by line number, columns by rules of prefixes, all as text with the run's marks."""
+    df = readers.read_file(spark, {"path": _csv_file(spark, d, 2), "extension": "csv", "header_start": 3})
+    df = ingest.normalized(df.toDF(*ingest.sanitized(df.columns)), "nation_id:id,region:area").select("id", "area")
+    out = ingest.stamped(df, "r1", {"source": "s", "file_name": "nations.csv", "folder": "f"}, None)
+    return out.select("id", "area", "_run_id", "_source_file")
+
+
+@query("csv_profile", "select 'csv' as extension, 4 as header_start, 'Nation ID|Nation Name|Region|col_3|Region' as columns, (select count(*) from nation) + 4 as row_count from region where r_regionkey = 0")
+def _csv_profile(spark, d):
+    """Blank title lines aren't taken for a header, nor are lines of fewer cells than half."""
+    folder = _folder(spark)
+    rows = table(spark, d, "nation").select(F.lit(1).alias("o"), F.concat_ws(",", "n_nationkey", "n_name", "n_regionkey").alias("value"))
+    spark.createDataFrame([(0, " "), (0, ""), (0, ",,,"), (0, "Nation ID,Nation Name,Region,,Region")], "o int, value string").unionByName(rows).coalesce(1).select("value").write.text(folder)
+    path = spark.read.text(folder).select("_metadata.file_path").first()[0]
+    files = spark.createDataFrame([("f", "nations 2401.csv", path, "csv", None)], "folder string, file_name string, path string, extension string, modified_on timestamp")
+    return profiling.profiled(spark, files).select("extension", F.col("header_start").cast("int").alias("header_start"), F.concat_ws("|", "column_names").alias("columns"), "row_count")

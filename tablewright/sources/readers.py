@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tablewright.errors import ConfigError
@@ -62,19 +61,22 @@ def _named(values: list[str | None]) -> list[str]:
 
 
 def read_csv_file(spark: SparkSession, path: str, delimiter: str = ",", header_start: int = 1, header_marker: str | None = None, multi_line: bool = True) -> DataFrame:
-    """One file, all columns text. The header is line header_start, or the first whose first cell begins with header_marker (in any case)."""
+    """One file, all columns text. The header is line header_start, or the first whose first cell begins with header_marker (in any case); lines without a sign don't count.
+
+    Lines are told apart by ids that rise along the file, so that nothing is sorted or moved
+    to one task; a file of multi_line records is read by one task, as Spark can't split it.
+    """
     reader = spark.read.options(**CSV | {"sep": delimiter, "multiLine": str(multi_line).lower()})
     if header_start <= 1 and not header_marker:
         return reader.csv(path)
-    width = 500
+    # as many columns as any line has, or more where delimiters stand in quotes
+    width = (spark.read.text(path).agg(F.max(F.size(F.split("value", f"\\Q{delimiter}\\E")))).first()[0] or 1)
     wide = ", ".join(f"c{i} string" for i in range(width))
-    # lines of one file have an order only where one task reads it: a file to ingest is small, and multiLine files aren't split
-    rows = spark.read.options(**CSV | {"header": "false", "sep": delimiter, "multiLine": "true"}).schema(wide).csv(path).coalesce(1)
-    rows = rows.withColumn("__line", F.row_number().over(W.orderBy(F.monotonically_increasing_id())))
+    rows = reader.option("header", "false").schema(wide).csv(path).withColumn("__line", F.monotonically_increasing_id())
     if header_marker:
-        head = rows.filter(F.lower(F.trim("c0")).startswith(header_marker.strip().lower())).orderBy("__line").take(1)
+        head = rows.filter(F.lower(F.trim("c0")).startswith(header_marker.strip().lower())).take(1)
     else:
-        head = rows.filter(F.col("__line") == header_start).take(1)
+        head = rows.take(header_start)[header_start - 1 :]
     if not head:
         raise ConfigError(f"{path}: no header line")
     cells = [head[0][f"c{i}"] for i in range(width)]

@@ -130,3 +130,45 @@ def test_columns_and_environment():
         e.source("bronze", "b")
     with pytest.warns(UserWarning, match="duplicates_table"):
         config.table({"name": "t", "sources": [{"name": "s", "table": "x"}], "dq": {"duplicates_table": "d"}, "columns": [{"name": "a"}]})
+
+
+def test_layer_defaults_from_files(tmp_path):
+    """Templates as a mapping by name, bare or under defaults, in files as they come with a layer."""
+    yaml = pytest.importorskip("yaml")
+    from tablewright.queries import LAYER
+
+    plan = {"name": "t", "layer": "gold", "target_schema": "fact", "natural_key": ["k"], "sources": [{"name": "s", "table": "x.y"}], "columns": [{"name": "k", "inputs": [{"source": "s", "column": "k"}]}, {"name": "source_modified", "nullable": True}]}
+    (tmp_path / "t.yaml").write_text(yaml.safe_dump(plan))
+    for k, defaults in enumerate((LAYER, {"defaults": LAYER})):
+        (tmp_path / f"layer{k}.yaml").write_text(yaml.safe_dump(defaults))
+        t = config.YamlConfigProvider(str(tmp_path / f"layer{k}.yaml")).load(tmp_path / "t.yaml")
+        modified = t.columns[1]
+        assert (modified.data_type.to_spark_sql(), modified.default, modified.nullable) == ("DATE", "1900-01-01", True)
+        assert t.policies.merge_strategy == "update_changed" and t.dq["rejected_table"] == "log.rejected"
+
+
+def test_catalogue_entities():
+    from tablewright.plans import catalogue
+
+    t = config.table({"name": "f", "layer": "gold", "target_schema": "fact", "natural_key": ["k"], "description": "d", "sources": [{"name": "s", "table": "x"}], "policies": {"load_mode": "merge"}, "columns": [{"name": "k", "data_type": "int", "nullable": False, "inputs": [{"column": "k"}], "extensions": {"description": "key"}}, {"name": "tmp", "temporary": True, "default": 1}]})
+    e = catalogue.entity(t, "lake://main", "f.yaml")
+    assert e["attributes"] == {"qualifiedName": "lake://main/fact/f", "name": "f", "description": "d", "layer": "gold", "target_schema": "fact", "load_mode": "merge", "merge_strategy": "update_all", "natural_key": "k", "config_file": "f.yaml", "column_count": 1}
+    assert e["relationshipAttributes"]["schema"] == [{"qualifiedName": "lake://main/fact/f#k", "name": "k", "type": "INTEGER", "isNullable": False, "description": "key"}]
+
+    class Fake:
+        def __init__(self):
+            self.calls = []
+
+        def get_type(self, name):
+            return None
+
+        def put_types(self, d):
+            self.calls.append([a["name"] for a in d["entityDefs"][0]["attributeDefs"]])
+
+        def put_entities(self, es):
+            self.calls.append(len(es))
+            return {"mutatedEntities": {"CREATE": es}}
+
+    fake = Fake()
+    assert catalogue.register(None, [t], dry_run=True)["created"] == 0
+    assert catalogue.register(fake, [t])["created"] == 1 and fake.calls == [list(catalogue.ATTRIBUTES), 1]

@@ -6,7 +6,7 @@ import pytest
 
 from tablewright.errors import ConfigError
 from tablewright.plans import config, orchestrate
-from tablewright.sources import connectors, ingest, readers
+from tablewright.sources import connectors, ingest, profiling, readers
 
 AT = dt.datetime(2024, 1, 1)
 
@@ -147,3 +147,29 @@ def test_manual_csv(spark, tmp_path):
     assert orchestrate.drop_tables(spark, "tw_x", "a") == []
     orchestrate.drop_schema(spark, "tw_x", True)
     assert "tw_x" not in readers.schema_names(spark)
+
+
+def test_header_of_sampled_rows():
+    assert profiling.header_start([]) is None and profiling.header_start([None, [None, ""], [" "]]) is None
+    assert profiling.header_start([[None, None], ["Title", None, None], ["a", "b"]]) == 2
+    assert profiling.header_start([[1.0, None, None, None, None, None], [1, 2, 3], ["x"]]) == 2
+
+
+def test_profiles(spark, tmp_path):
+    files = []
+    for name, text in (("sales 2401.csv", "\n , \nid,name\n1,\"a, b\"\n2,c\n"), ("t.txt", "k\tv\n1\t2\n"), ("book.xlsx", "not a workbook"), ("x.pdf", "x")):
+        (tmp_path / name).write_text(text)
+        files.append(("f", name, str(tmp_path / name), name.rpartition(".")[2], None))
+    got = {r.file_name: r for r in profiling.profiled(spark, spark.createDataFrame(files, "folder string, file_name string, path string, extension string, modified_on timestamp")).collect()}
+    assert (got["sales 2401.csv"].header_start, got["sales 2401.csv"].column_names, got["sales 2401.csv"].row_count, got["sales 2401.csv"].period) == (3, ["id", "name"], 5, "240101")
+    assert (got["t.txt"].header_start, got["t.txt"].column_names) == (1, ["k", "v"])
+    assert got["book.xlsx"].error and got["x.pdf"].row_count is None
+
+
+def test_wide_files_keep_all_columns(spark, tmp_path):
+    names = [f"c_{i}" for i in range(700)]
+    path = tmp_path / "wide.csv"
+    path.write_text("title\n" + ",".join(names) + "\n" + ",".join(map(str, range(700))) + "\n")
+    for multi in (True, False):
+        df = readers.read_csv_file(spark, str(path), header_start=2, multi_line=multi)
+        assert df.columns == names and list(df.collect()[0]) == [str(i) for i in range(700)]

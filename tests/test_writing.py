@@ -85,6 +85,44 @@ def test_modes(spark, tmp_path):
     assert not w.store.exists("x.t")
 
 
+def test_versions_of_a_table(spark, tmp_path):
+    """Partition values keep their types, of two writers one finds out, and a lost draft changes nothing."""
+    store = writer.SnapshotStore(spark, str(tmp_path))
+    df = lambda *data: spark.createDataFrame(list(data), "k int, period string")
+    store.append("x.t", df((1, "007"), (2, None)), ("period",))
+    store.append("x.t", df((3, "1e2")))  # another layout
+    assert rows(store.read("x.t")) == [(1, "007"), (2, None), (3, "1e2")] and store.version("x.t").rows == 3
+    base = store.version("x.t")
+    assert store.replace("x.t", df((4, "08")), ("period",), base) == 1
+    with pytest.raises(WriterError, match="came first"):
+        store.replace("x.t", df((5, "09")), (), base)
+    assert not store.commit("x.t", base, base.schema, base.parts)
+    (tmp_path / "x.t" / "_versions" / "draft-lost").write_text("{")
+    assert rows(store.read("x.t")) == [(4, "08")] and rows(store.read("x.t", store.version("x.t", 1))) == [(1, "007"), (2, None)]
+    with pytest.raises(WriterError, match="int, not string"):
+        store.append("x.t", spark.createDataFrame([("a",)], "k string"))
+    assert store.vacuum("x.t") == 4 and rows(store.read("x.t")) == [(4, "08")]
+
+
+def test_a_source_is_evaluated_once(spark, tmp_path):
+    """A source that gives other rows each time is written and counted as one of them."""
+    store = writer.SnapshotStore(spark, str(tmp_path))
+    w = writer.TableWriter(store)
+    once = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k int, v string")
+    w.write(spark, once, plan("append"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    for mode in ("replace_by_partition", "merge", "overwrite", "append"):
+        seen.value = 0
+        r = w.write(spark, once.filter("k > 1").mapInPandas(look, once.schema), plan(mode), registry.Context(state={"replace_by": ["k"]}))
+        assert seen.value == 2 and r.rows_inserted + r.rows_updated + r.rows_unchanged >= 2
+
+
 def test_first_versions_and_hooks(spark, tmp_path):
     seen = []
     w = writer.TableWriter(writer.SnapshotStore(spark, str(tmp_path)), lambda *a: seen.append(len(a)), lambda *a: seen.append(a[4]))

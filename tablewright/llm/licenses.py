@@ -8,6 +8,11 @@ underscore). Texts that differ only in what the canonical form drops are equal.
 licence follows a copyright notice on the notice's own line, the line is dropped from the
 digest given out, and the licence is looked up by a second form without the notice alone.
 
+A document may also hold a licence's entire text on a line of its own, such as the usual
+one-sentence notices. Lines with one of the words that all known texts of one line have
+(MARKS) are digested in the same way and looked up in the same digests, which by then are
+a constant of the plan: license_lines names the licences found so.
+
 Defined cases: a null text is an empty one; an empty canonical form matches nothing; a
 text that several ids share gets the first of them; extra columns play no part.
 """
@@ -82,6 +87,19 @@ def digest_behind_notice(text: Column) -> Column:
     return F.when(there, digest(F.regexp_replace(lower, NOTICE, "")))
 
 
+#: Words of which a line must have one to be looked up; every known text that could stand on one line has one.
+MARKS = r"licen[cs]e|permission|redistribution|warrant|copyright|public domain|software"
+
+
+def line_licenses(text: Column, ids: dict[str, str]) -> Column:
+    """The sorted ids of licences whose entire text is a line of the text; ids by digest."""
+    if not ids:
+        return F.array().cast("array<string>")
+    known = F.create_map(*[F.lit(x) for pair in sorted(ids.items()) for x in pair])
+    lines = F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), "\n"), lambda x: x.rlike(MARKS))
+    return F.array_sort(F.array_distinct(F.array_compact(F.transform(lines, lambda x: F.try_element_at(known, digest(x))))))
+
+
 def whole_licenses() -> list[tuple[str, str]]:
     """(id, text) of the files of texts/, each also without what follows its terms, and all of these also on one line (where no notice is a line to drop)."""
     out = []
@@ -101,10 +119,11 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] | None = Non
 
 
 def scanned(docs: DataFrame, known: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Per row of docs: doc_id, digest, license_id (null: none known) and is_license."""
+    """Per row of docs: doc_id, digest, license_id (null: none known), is_license, and license_lines, the ids of licences that lines of the text are."""
     # texts of this module or of a caller on the driver; what is broadcast are their digests, a few kilobytes
     ids = known_digests(docs.sparkSession, known)
     second = F.broadcast(ids.select(F.col("digest").alias("second"), F.col("license_id").alias("second_id")))
-    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), digest_behind_notice(F.col("text")).alias("second"))
+    by_digest = {r.digest: r.license_id for r in ids.collect()}  # as many as texts known, about a hundred
+    rows = docs.select("doc_id", digest(F.col("text")).alias("digest"), digest_behind_notice(F.col("text")).alias("second"), line_licenses(F.col("text"), by_digest).alias("license_lines"))
     found = rows.join(F.broadcast(ids), "digest", "left").join(second, "second", "left").withColumn("license_id", F.coalesce("license_id", "second_id"))
-    return found.select("doc_id", "digest", "license_id", F.col("license_id").isNotNull().alias("is_license"))
+    return found.select("doc_id", "digest", "license_id", F.col("license_id").isNotNull().alias("is_license"), "license_lines")

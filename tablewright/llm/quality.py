@@ -103,7 +103,8 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> list[tuple[in
     label = labels.select("doc_id", "quality").dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
     sizes = docs.filter(usable).select("doc_id", F.octet_length("text").alias("size")).dropna()
     fold = F.when(F.crc32(F.concat(F.lit("fold:"), F.col("doc_id").cast("string"))) % 3 == 0, 0).otherwise(1)
-    pool = stored(sizes.join(label, "doc_id").filter((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES // 8)).withColumn("fold", fold), "quality-pool")
+    pool = sizes.filter((F.col("size") > 0) & (F.col("size") <= SAMPLE_BYTES // 8)).join(label, "doc_id").groupBy("doc_id", "quality").agg(F.max("size").alias("size"))
+    pool = stored(pool.withColumn("fold", fold), "quality-pool")
     picked: dict[int, tuple[int, int]] = {}
     for f in (0, 1):
         for q in (0, 1):
@@ -114,10 +115,11 @@ def _sample(docs: DataFrame, labels: DataFrame, usable: Column) -> list[tuple[in
                     picked[r.doc_id], room = (f, q), room - r["size"]
     if not picked:
         return []
-    # at most 4 * SAMPLE_ROWS ids
+    # at most 4 * SAMPLE_ROWS ids; a doc_id that stands in many rows gives its smallest text, found by partial minima
     ids = docs.sparkSession.createDataFrame([(i,) for i in picked], docs.select("doc_id").schema)
-    texts = docs.filter(F.octet_length("text") <= SAMPLE_BYTES // 8).select("doc_id", "text").join(F.broadcast(ids), "doc_id").collect()
-    out = {r.doc_id: r.text for r in sorted(texts, key=lambda r: (r.doc_id, r.text), reverse=True) if r.text}
+    fits = (F.octet_length("text") > 0) & (F.octet_length("text") <= SAMPLE_BYTES // 8)
+    texts = docs.filter(fits).select("doc_id", "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
+    out = {r.doc_id: r.text for r in texts}
     return [(picked[i][0], out[i], picked[i][1]) for i in sorted(out)]
 
 

@@ -32,7 +32,8 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scanned(table(spark, sf_dir, "documents"))
+    found = licenses.scanned(table(spark, sf_dir, "documents"))
+    return found.withColumn("license_lines", F.concat_ws(",", "license_lines"))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,10 +35,15 @@ def _canonical(column: str) -> str:
     return f"trim(regexp_replace({out}, {_quoted(licenses.PUNCTUATION)}, ' ', 'g'))"
 
 
+#: The four one-sentence notices as they stand in documents, written out here once more.
+_NOTICES = [("Apache-2.0", "licensed under the apache license version 2 0"), ("MIT", "released under the mit license"), ("CC-BY-NC-4.0", "licensed under cc by nc 4 0"), ("GPL-3.0", "this work is licensed under the gnu general public license version 3")]
+_PLAIN = f"trim(regexp_replace({_lower('line')}, '[^a-z0-9]+', ' ', 'g'))"
 OP6 = f"""
 with known as (select sha256({_canonical("t")}) as digest, min(id) as license_id from (values {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in licenses.KNOWN)}) as v(id, t) where {_canonical("t")} <> '' group by 1),
+notices as (select * from (values {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in _NOTICES)}) as v(id, words)),
+lines as (select doc_id, string_agg(distinct id, ',' order by id) as license_lines from (select doc_id, {_PLAIN} as words from (select doc_id, unnest(string_split(text, chr(10))) as line from documents)) join notices using (words) group by 1),
 d as (select doc_id, sha256({_canonical("text")}) as digest from documents)
-select doc_id, digest, license_id, license_id is not null as is_license from d left join known using (digest)"""
+select doc_id, digest, license_id, license_id is not null as is_license, coalesce(license_lines, '') as license_lines from d left join known using (digest) left join lines using (doc_id)"""
 
 _WORDS = f"regexp_extract_all({_lower('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 OP7 = f"""

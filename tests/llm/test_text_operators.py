@@ -41,6 +41,63 @@ def test_quality_of_odd_rows(spark):
     assert kept.columns == docs(spark, extra=True).columns
 
 
+def plain_quality(rows, labels, threshold):
+    """Scores worked out without Spark: sample, dictionaries, features and curve written out plainly."""
+    import zstandard
+
+    crc = lambda x: zlib.crc32(x.encode())
+    label = {}
+    for i, v in labels:
+        if i is not None and v is not None:
+            label[i] = min(v, label.get(i, v))
+    text = {i: t for i, t in rows if i in label and t and len(t.encode()) <= quality.SAMPLE_BYTES // 8 and crc(str(i)) % 4 != 2}
+    import hashlib
+
+    sample = {}
+    for fold in (0, 1):
+        for v in (0, 1):
+            room, order = quality.SAMPLE_BYTES, sorted((i for i in text if label[i] == v and (crc(f"fold:{i}") % 3 != 0) == fold), key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))
+            for i in order[: quality.SAMPLE_ROWS]:
+                if len(text[i].encode()) <= room:
+                    sample[i], room = (fold, v), room - len(text[i].encode())
+    pieces = lambda t: [t.encode()[k : k + quality.BLOCK] for k in range(0, len(t.encode()), quality.BLOCK)]
+    sides = []
+    for v in (1, 0):
+        known = zstandard.train_dictionary(quality.DICTIONARY_BYTES, [b for i in sorted(sample) if sample[i] == (1, v) for b in pieces(text[i])], k=256, d=8, level=quality.LEVEL)
+        sides.append(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=known, write_content_size=False, write_dict_id=False))
+
+    def features(t):
+        size = [sum(len(c.compress(b)) - len(c.compress(b"")) for b in pieces(t or "")) for c in sides]
+        n = len((t or "").encode())
+        return (size[1] - size[0]) / (n + 64), math.log((sum(size) + 32) / (2 * n + 32))
+
+    curve = [i for i in sorted(sample) if sample[i][0] == 0]
+    x, y = np.array([features(text[i]) for i in curve]), np.array([sample[i][1] for i in curve])
+    scale = np.abs(x).max(axis=0)
+    design, w = np.column_stack([x / scale, np.ones(len(x))]), np.zeros(3)
+    for _ in range(500):  # gradient steps with the curvature's bound, slower than the operator's Newton steps
+        p = 1 / (1 + np.exp(-design @ w))
+        h = design.T @ (design * (p * (1 - p))[:, None]) + 1e-2 * np.eye(3)
+        w = w + 0.7 * np.linalg.solve(h, design.T @ (y - p) - 1e-2 * w)
+    score = lambda t: 1 / (1 + math.exp(-(np.array(features(t)) / scale @ w[:2] + w[2])))
+    return {i: score(t) for i, t in rows}
+
+
+def test_quality_against_a_plain_version(spark):
+    sf = "/root/testdata/sf0.01"
+    d, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    want = plain_quality([(r.doc_id, r.text) for r in d.collect()], [(r.doc_id, r.quality) for r in labels.collect()], 0.7)
+    got = {r.doc_id: r.score for r in q.op1_quality(spark, sf).collect()}
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in got) < 1e-3
+
+
+def test_a_document_that_stands_often_is_one_sample(spark):
+    rows = [(1, f"text {i} " * 30, "", "", 0) for i in range(3000)] + [(i, prose(i, 60), "", "", 0) for i in range(2, 12)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 12)], "doc_id long, quality int, toxic int")
+    sample = quality._sample(docs(spark, rows), labels, F.lit(True))
+    assert len(sample) == 11 and min(f"text {i} " * 30 for i in range(3000)) in {t for _, t, _ in sample}
+
+
 def test_quality_ignores_other_columns(spark):
     d, labels = docs(spark), spark.createDataFrame([(1, 1, 0), (11, 0, 1), (7, 1, 0), (12, 0, 0)], "doc_id long, quality int, toxic int")
     a = {r.doc_id: r.score for r in quality.scores(d, labels).collect()}
@@ -60,6 +117,22 @@ def test_licences(spark):
     assert licenses.scanned(docs(spark, rows)).count() == len(rows) and licenses.scanned(docs(spark, [])).count() == 0
 
 
+def test_licences_on_lines_of_their_own(spark):
+    mit = licenses.KNOWN[0][1]
+    rows = [(1, "prose of some words\nReleased under the MIT licence.\n\nmore", "", "", 0), (2, "x\n" + mit.upper() + "\nLicensed under  CC-BY-NC 4.0\r\nReleased under the MIT License.", "", "", 0), (3, "we say: Released under the MIT License.", "", "", 0), (4, None, "", "", 0), (5, "Copyright 2020 Me\nlicense", "", "", 0), (6, mit, "", "", 0)]
+    out = {r.doc_id: (r.license_id, r.license_lines) for r in licenses.scanned(docs(spark, rows, extra=True)).collect()}
+    assert out == {1: (None, ["MIT"]), 2: (None, ["CC-BY-NC-4.0", "MIT"]), 3: (None, []), 4: (None, []), 5: (None, []), 6: ("MIT", ["MIT"])}
+    # every known text has a mark in each of its forms
+    import re
+
+    assert all(re.search(licenses.MARKS, lower(t)) for _, t in licenses.KNOWN + licenses.whole_licenses())
+
+
+def test_licence_lines_in_the_drivers_tables(spark):
+    d = q.op6_license_digest(spark, "/root/testdata/sf0.01").filter("license_lines <> ''")
+    assert d.count() > 30 and {x for r in d.collect() for x in r.license_lines.split(",")} == {"Apache-2.0", "MIT", "CC-BY-NC-4.0", "GPL-3.0"}
+
+
 def test_whole_licences_and_licences_behind_a_notice(spark):
     whole = dict(licenses.whole_licenses())
     mit, bsd = licenses.KNOWN[0][1], licenses.KNOWN[3][1]

@@ -4,6 +4,14 @@ quality: documents that score below the threshold go; near_duplicates: one docum
 each group stays; decontamination: benchmark passages are cut out of the texts; mixing:
 documents are left out or repeated to meet the sources' target weights; sharding: every
 row gets its shard and slot. All stages but the last return the columns of documents.
+
+Defined cases: a null or empty text is scored as the model scores no text, links with
+nothing, holds no benchmark passage, weighs nothing in the mix (its row is taken as often
+as its source's whole repetitions say) and fills a slot; a text whose words are all cut
+out goes; rows that repeat a doc_id are one document to the near-duplicate stage, which
+keeps one of them; a null doc_id or source is a value of its own; an empty table passes as
+an empty table; further columns, whatever their names, stay as they are, but shard and
+slot, which the last stage sets.
 """
 
 from __future__ import annotations

@@ -44,8 +44,8 @@ WORDS = 5
 LEAST = (75, 100)
 PERMUTATIONS, BANDS = 72, 36
 PIVOT_ROUNDS = 3
-#: Members and bytes of sets that meet in one task.
-BLOCK, BLOCK_BYTES = 256, 32_000_000
+#: Members and bytes of sets that are compared block against block in one task, and members tested against one pivot there.
+BLOCK, BLOCK_BYTES, TESTED = 256, 32_000_000, 48
 #: Members from which a bucket may be hot, share of all band rows from which it is, and parts into which it is dealt.
 HOT_ROWS, HOT_SHARE, SALTS = 1000, 4096, 32
 #: Rows without doc_id get numbers from here on, from a hash of their text.
@@ -164,12 +164,12 @@ def _parts(n_rows: Column, n_hashes: Column, rows: int) -> Column:
 
 
 def _tested(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those pairs (pivot, node, n: size of the node's set) whose sets are linked, as (a, b). A pivot's members are dealt into tasks of about BLOCK, or of BLOCK_BYTES.
+    """Those pairs (pivot, node, n: size of the node's set) whose sets are linked, as (a, b). A pivot's members are dealt into groups of about TESTED, or of BLOCK_BYTES.
 
     The pairs are stored first: their size is then known where they meet the sets, and a few pairs don't move all sets.
     """
     pairs = stored(pairs, "near-pairs")
-    parts = pairs.groupBy("pivot").agg(_parts(F.count("*"), F.sum("n"), BLOCK).alias("parts"))
+    parts = pairs.groupBy("pivot").agg(_parts(F.count("*"), F.sum("n"), TESTED).alias("parts"))
     dealt = pairs.join(parts, "pivot").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     dealt = stored(dealt.select("pivot", "part", "node"), "near-dealt")
     member = dealt.join(sets, "node").select("pivot", "part", "node", "set")

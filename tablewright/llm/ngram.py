@@ -48,7 +48,7 @@ import math
 import os
 import struct
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -153,8 +153,8 @@ class EliasFano:
         high, low = (x[:n] >> np.uint64(self.l)).astype(np.int64), x[:n] & np.uint64((1 << self.l) - 1)
         new = np.concatenate([[True], high[1:] != high[:-1]])
         h, at = high[new], np.cumsum(new) - 1
-        end = self._zero(h) - h
-        lo, hi = ((self._zero(np.maximum(h - 1, 0)) - h + 1) * (h > 0))[at], end[at]
+        zero, before = _and_before(self._zero, h)
+        lo, hi = ((before - h + 1) * (h > 0))[at], (zero - h)[at]
         if first is not None:
             lo, hi = np.maximum(lo, first[:n]), np.minimum(hi, last[:n])
         open_ = np.flatnonzero(lo < hi)
@@ -173,6 +173,15 @@ class EliasFano:
         return out
 
 
+def _and_before(f: Callable[[np.ndarray], np.ndarray], k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """f at each of the rising numbers k, and at the number before each: its neighbour's where that is next to it."""
+    at = f(k)
+    before = np.concatenate([at[:1], at[:-1]])
+    alone = np.concatenate([[True], k[1:] != k[:-1] + 1])
+    before[alone] = f(np.maximum(k[alone] - 1, 0))
+    return at, before
+
+
 def _codes(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-log10 / STEP), 0, 65535).astype(np.uint16)
 
@@ -203,9 +212,12 @@ class Level:
             return out
         new = np.concatenate([[True], parent[1:] != parent[:-1]])
         p, at = parent[new], np.cumsum(new) - 1
-        first, last = (self.pointers.at(x).astype(np.int64) for x in (p, p + 1))
-        base = np.where(first > 0, self.keys.at(np.maximum(first - 1, 0)).astype(np.int64) + 1, 0)
-        top = np.where(last > first, self.keys.at(np.maximum(last - 1, 0)).astype(np.int64), -1)
+        last, first = (x.astype(np.int64) for x in _and_before(self.pointers.at, p + 1))
+        end = self.keys.at(np.maximum(last - 1, 0)).astype(np.int64)
+        begin = np.concatenate([end[:1], end[:-1]])  # of the parent before, if that is next to it
+        alone = np.concatenate([[True], p[1:] != p[:-1] + 1])
+        begin[alone] = self.keys.at(np.maximum(first[alone] - 1, 0)).astype(np.int64)
+        base, top = np.where(first > 0, begin + 1, 0), np.where(last > first, end, -1)
         x = base[at] + word.astype(np.int64)
         near = np.flatnonzero(x <= top[at])
         out[near] = self.keys.find(x[near].astype(np.uint64), first[at[near]], last[at[near]])

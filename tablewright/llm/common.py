@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 #: Most rows and bytes of one Arrow batch handed to Python (one longer row is a batch of its own).
-BATCH_ROWS, BATCH_BYTES = 1000, 16_000_000
+BATCH_ROWS, BATCH_BYTES = 1000, 4_000_000
+#: Bytes of a row group of intermediate tables, which a writing task holds in memory.
+GROUP_BYTES = 16_000_000
 #: Shards up to which a chunk of texts sends each its own message; beyond, messages go to groups of shards first.
 DIRECT = 1 << 10
 #: Bytes of messages that a relay takes together.
@@ -55,7 +57,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends at files that outlive executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

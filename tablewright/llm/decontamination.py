@@ -35,7 +35,7 @@ from tablewright.llm.tokens import word_hashes
 
 WINDOW = 10
 BLOCK_BYTES = 4_000_000
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 2_000_000
 SAMPLE_EVERY = 8
 #: Bytes outside words become spaces and A-Z become a-z; bytes of other letters stay.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))

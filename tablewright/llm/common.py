@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 BATCH_ROWS, BATCH_BYTES = 1000, 4_000_000
 #: Bytes of a row group of intermediate tables, which a writing task holds in memory.
 GROUP_BYTES = 16_000_000
+#: Bytes from which glibc maps an allocation of its own, given back when freed, and the number of that setting (fixed).
+MAPPED_BYTES, _MMAP_THRESHOLD = 2_000_000, -3
 #: Shards up to which a chunk of texts sends each its own message; beyond, messages go to groups of shards first.
 DIRECT = 1 << 10
 #: Bytes of messages that a relay takes together.
@@ -42,6 +46,24 @@ def short_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def lean(batches: Iterator) -> Iterator:
+    """batches, in a Python worker that gives freed memory back to the system.
+
+    Workers live on between tasks and share an executor's memory with its JVM; what they
+    keep for later counts against it. Where the C library isn't glibc, nothing is done.
+    """
+    libc = ctypes.CDLL(None)
+    known = hasattr(libc, "mallopt") and hasattr(libc, "malloc_trim")
+    if known:
+        libc.mallopt(_MMAP_THRESHOLD, MAPPED_BYTES)
+    for batch in batches:
+        yield batch
+        del batch
+        if known:
+            pa.default_memory_pool().release_unused()
+            libc.malloc_trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a temporary one in local mode, an error on a cluster."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import short_batches, stored
+from tablewright.llm.common import lean, short_batches, stored
 from tablewright.llm.tokens import word_hashes
 
 WINDOW = 10
@@ -217,7 +217,7 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[str, str | None]]]:
 def _shards(batches: Iterator[pd.Series]) -> Iterator[list[str | None]]:
     """Texts of about SHARD_BYTES at a time; an empty list for an empty batch."""
     held, size = [], 0
-    for texts in batches:
+    for texts in lean(batches):
         for t in texts:
             n = len(t) if t else 0
             if held and size + n > SHARD_BYTES:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import mix64, short_batches, stored
+from tablewright.llm.common import lean, mix64, short_batches, stored
 from tablewright.llm.tokens import slices, word_hashes
 
 WORDS = 5
@@ -110,7 +110,7 @@ def described(text: Column) -> Column:
 
     @F.pandas_udf("n_shingles long, mark binary, bands array<long>")
     def done(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in batches:
+        for texts in lean(batches):
             raw, parts = _raw(texts), []
             for a, b in slices(raw):
                 sets, begin = distinct(*shingles(raw[a:b]))
@@ -134,7 +134,7 @@ def set_of(text: Column) -> Column:
 
     @F.pandas_udf("binary")
     def done(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
+        for texts in lean(batches):
             raw, out = _raw(texts), []
             for a, b in slices(raw):
                 sets, begin = distinct(*shingles(raw[a:b]))

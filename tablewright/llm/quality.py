@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import crc_mod, short_batches, stored
+from tablewright.llm.common import crc_mod, lean, short_batches, stored
 
 BLOCK, DICTIONARY_BYTES, LEVEL = 2048, 65_536, 3
 PRIOR_BYTES = 64
@@ -147,7 +147,7 @@ def score(text: Column, model: Model) -> Column:
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model) if model.good or model.bad else None
         constant = 1 / (1 + math.exp(-model.offset))
-        for texts in batches:
+        for texts in lean(batches):
             yield pd.Series([scorer.score(t) if scorer else constant for t in texts], dtype="float64")
 
     return scored(text)

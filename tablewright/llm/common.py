@@ -21,7 +21,7 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4_000_000
 #: Bytes of a row group of intermediate tables, which a writing task holds in memory.
 GROUP_BYTES = 16_000_000
 #: Bytes from which glibc maps an allocation of its own, given back when freed, and the number of that setting (fixed).
-MAPPED_BYTES, _MMAP_THRESHOLD = 2_000_000, -3
+MAPPED_BYTES, _MMAP_THRESHOLD = 4_000_000, -3
 #: Shards up to which a chunk of texts sends each its own message; beyond, messages go to groups of shards first.
 DIRECT = 1 << 10
 #: Bytes of messages that a relay takes together.

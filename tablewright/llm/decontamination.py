@@ -89,17 +89,25 @@ class FMIndex:
         sampled = np.zeros(n, bool)
         sampled[::SAMPLE_EVERY] = sampled[starts] = True
         self.is_sampled = sampled[order]
-        self.sample_at, self.samples = np.cumsum(self.is_sampled) - 1, order[self.is_sampled]
-        bwt = sequences[order - 1]
+        self.sample_at, self.samples = np.cumsum(self.is_sampled, dtype=np.int32) - 1, order[self.is_sampled]
+        bwt = sequences[order - 1].astype(np.int32)
         self.depth = max(1, int(sequences.max(initial=0)).bit_length())
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(sequences, minlength=(1 << self.depth)))])
+        counts = np.bincount(sequences, minlength=(1 << self.depth))
+        self.first = np.concatenate([[0], np.cumsum(counts)])
         self.ones, self.zeros = [], []
         for level in range(self.depth - 1, -1, -1):
-            bit = (bwt >> level) & 1
-            self.ones.append(np.concatenate([[0], np.cumsum(bit, dtype=np.int32)]).astype(np.int32))
-            self.zeros.append(int(n - bit.sum()))
-            bwt = np.concatenate([bwt[bit == 0], bwt[bit == 1]])
-        self.leaf = self._down(np.zeros(1 << self.depth, np.int64), np.arange(1 << self.depth))
+            bit = (bwt & (1 << level)) != 0
+            ones = np.zeros(n + 1, np.int32)
+            np.cumsum(bit, dtype=np.int32, out=ones[1:])
+            self.ones.append(ones)
+            self.zeros.append(n - int(ones[-1]))
+            bwt = np.concatenate([bwt[~bit], bwt[bit]])
+        # the last level has the symbols in the order of their bits read backwards
+        turned = np.zeros(1, np.int64)
+        for _ in range(self.depth):
+            turned = np.concatenate([turned * 2, turned * 2 + 1])
+        self.leaf = np.empty(1 << self.depth, np.int64)
+        self.leaf[turned] = np.cumsum(counts[turned]) - counts[turned]
 
     def _down(self, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         for k, level in enumerate(range(self.depth - 1, -1, -1)):

@@ -9,7 +9,7 @@ import numpy as np
 from tablewright.llm.common import mix64
 
 #: Bytes handled at once; single longer texts are handled alone.
-CHUNK_BYTES = 500_000
+CHUNK_BYTES = 250_000
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _IS_SPACE = np.array([c == 32 or 9 <= c <= 13 for c in range(256)])
 _OFFSETS = 1 << 16

@@ -730,9 +730,12 @@ def _replaced_periods(spark, d):
 
 @query("write_merge", f"select o_orderkey, case when o_orderstatus = 'F' then 0.0 else o_totalprice end as o_totalprice, {_PERIOD} as period from orders union all select -o_orderkey, 0.0, {_PERIOD} from orders where o_orderstatus = 'P'")
 def _merged_orders(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.lpad(F.month("o_orderdate").cast("string"), 3, "0").alias("period"), "o_orderstatus")
-    new = o.filter("o_orderstatus = 'F'").unionByName(o.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -F.col("o_orderkey"))).withColumn("o_totalprice", F.lit(0.0))
-    return _written(spark, [o.drop("o_orderstatus"), new.drop("o_orderstatus")], "merge", keys=("o_orderkey",), by=("period",), merge_strategy="update_changed")
+    """Finished orders are updated, reversals inserted. A reversal's negated key may be that of an order (0 always is), so kind is in the merge's key."""
+    kind = F.when(F.col("o_orderstatus") == "F", "finished").otherwise("open")
+    o = table(spark, d, "orders").select("o_orderkey", kind.alias("kind"), "o_totalprice", F.lpad(F.month("o_orderdate").cast("string"), 3, "0").alias("period"), "o_orderstatus")
+    back = o.filter("o_orderstatus = 'P'").withColumns({"o_orderkey": -F.col("o_orderkey"), "kind": F.lit("reversal")})
+    new = o.filter("o_orderstatus = 'F'").unionByName(back).withColumn("o_totalprice", F.lit(0.0))
+    return _written(spark, [o.drop("o_orderstatus"), new.drop("o_orderstatus")], "merge", keys=("o_orderkey", "kind"), by=("period",), merge_strategy="update_changed").drop("kind")
 
 
 # --- plans with a layer's defaults --------------------------------------------------
